@@ -36,29 +36,41 @@ def named_arrays(
 ) -> DataFrame:
     """Arrays called ``name`` with more than ``min_size`` items, at most ``depth`` steps down.
 
-    Each step opens only containers, so leaf values are dropped as soon as they are seen.
+    One pass over the input. Each step opens the containers found so far; a hit leaves as
+    a finished row that later steps only pass on, and leaf values are dropped at once.
     """
-    level = df.select(*keep, F.lit(root).alias("path"), F.col(value).alias("node"))
-    found = None
+    no_items = F.lit(None).cast("array<variant>")
+    rows = df.select(
+        *keep, F.lit(root).alias("path"), F.col(value).alias("node"), no_items.alias("items")
+    )
     for _ in range(depth):
-        opened = _entries(level, "node", [*keep, "path"]).select(
-            *keep,
-            F.concat_ws(".", "path", "step").alias("path"),
-            "step",
-            F.col("entry").alias("node"),
-        )
-        opened = opened.where(F.col("step").isNotNull() & variant_kind(F.col("node")).isin("ARRAY", "OBJECT"))
-        items = F.try_variant_get("node", "$", "array<variant>")
-        hits = opened.where(F.col("step") == name).select(*keep, "path", items.alias("_items"))
-        hits = hits.where(F.size("_items") > min_size).select(
-            *keep,
-            "path",
-            F.size("_items").alias("n_items"),
-            F.transform(F.slice("_items", 1, sample), lambda v: v.try_cast("string")).alias("sample"),
+        opened = _entries(rows, "node", [*keep, "path", "items"])
+        is_open = F.col("entry").isNotNull()
+        container = variant_kind(F.col("entry")).isin("ARRAY", "OBJECT")
+        path = F.when(is_open, F.concat_ws(".", "path", "step")).otherwise(F.col("path"))
+        found = F.when(F.col("step") == name, F.try_variant_get("entry", "$", "array<variant>"))
+        states = F.array(
+            F.struct(
+                path.alias("path"),
+                F.when(container, F.col("entry")).alias("node"),
+                no_items.alias("items"),
+            ),
+            F.struct(
+                path.alias("path"),
+                F.lit(None).cast("variant").alias("node"),
+                F.when(is_open, F.when(F.size(found) > min_size, found))
+                .otherwise(F.col("items"))
+                .alias("items"),
+            ),
         )
-        found = hits if found is None else found.unionByName(hits)
-        level = opened.drop("step")
-    return found
+        live = F.filter(states, lambda s: s["node"].isNotNull() | s["items"].isNotNull())
+        rows = opened.select(*keep, F.inline(live))
+    return rows.where(F.col("items").isNotNull()).select(
+        *keep,
+        "path",
+        F.size("items").alias("n_items"),
+        F.transform(F.slice("items", 1, sample), lambda v: v.try_cast("string")).alias("sample"),
+    )
 
 
 def id_list_keys(
@@ -133,14 +145,19 @@ def has_any_key(body: Column, names: Sequence[str] = tuple(ID_LIST_MARKS)) -> Co
     return F.coalesce(F.arrays_overlap(F.json_object_keys(body), wanted), F.lit(False))
 
 
-def _first_present(body: Column, keys: Column, names: Sequence[str]) -> Column:
-    """Text of the first key that is present; an explicit null ends the search as null."""
+def _first_present(
+    body: Column, keys: Column, names: Sequence[str], default: Column | None = None
+) -> Column:
+    """Text of the first key that is present; an explicit null ends the search as null.
+
+    Without any of the keys an object gives ``default``.
+    """
     chain = None
     for k in names:
         value = F.get_json_object(body, f"$.{k}")
         test = F.array_contains(keys, k)
         chain = F.when(test, value) if chain is None else chain.when(test, value)
-    return chain
+    return chain if default is None else chain.when(keys.isNotNull(), default)
 
 
 def response_shapes(
@@ -163,7 +180,11 @@ def response_shapes(
         F.when(kind == "ARRAY", F.lower(variant_kind(first))).alias("first_item"),
         F.slice("_keys", 1, n_keys).alias("first_keys"),
         _first_present(F.col("_text"), F.col("_keys"), TOTAL_KEYS).alias("total"),
-        _first_present(F.col("_text"), F.col("_keys"), DETAIL_KEYS).alias("detail"),
+        _first_present(
+            F.col("_text"), F.col("_keys"), DETAIL_KEYS, F.substring("_text", 1, 80)
+        ).alias("detail"),
+        F.when(~F.coalesce(kind.isin("ARRAY", "OBJECT"), F.lit(False)), F.substring("_text", 1, 100))
+        .alias("preview"),
     )
 
 
