@@ -18,7 +18,7 @@ CONTROL_CHARS = r"[\x00-\x1F\x7F]"
 NUMBER = r"(?i)^\s*[+-]?(?:inf|infinity|(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?)\s*$"
 
 # Double text as the JVM writes it outside [0.001, 10^7): one digit, fraction, exponent.
-JVM_EXPONENT = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+JVM_EXPONENT = r"^-?\d\.\d+E-?\d+$"
 
 
 def let(value: Column, body) -> Column:
@@ -51,29 +51,18 @@ def is_number(c: Column) -> Column:
 def plain_number(c: Column) -> Column:
     """Rewrite JVM exponent text (``1.2E-4``) to plain text (``0.00012``).
 
-    Exponents from -4 to 15 become positional, others ``1.2e-05`` / ``1.2e+16``. Texts
-    in any other form pass through untouched.
+    Sizes from 0.0001 up to 10^16 become positional, others ``1.2e-05`` / ``1.2e+16``.
+    Texts in any other form pass through untouched.
     """
-
-    def part(i: int) -> Column:
-        return F.regexp_extract(c, JVM_EXPONENT, i)
-
-    sign, head = part(1), part(2)
-    tail = F.regexp_replace(part(3), r"^0$", "")
-    exp = part(4).try_cast("int")
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), head, tail)
-    whole = F.concat(head, F.rpad(F.substring(part(3), F.lit(1), exp), exp, "0"))
-    rest = F.substring(part(3), exp + 1, F.length(part(3)))
-    large = F.concat(sign, whole, F.lit("."), F.when(rest == "", "0").otherwise(rest))
-    mantissa = F.concat(sign, head, F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)))
-    scientific = F.concat(
-        mantissa, F.when(exp < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exp).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exp).cast("string"))),
-               "0"),
-    )
+    size = F.abs(c.try_cast("double"))
+    digits = F.rtrim(c.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    positional = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    scientific = F.regexp_replace(c, r"(?:\.0)?E(\d+)$", r"e+$1")
+    scientific = F.regexp_replace(scientific, r"(?:\.0)?E-(\d\d+)$", r"e-$1")
+    scientific = F.regexp_replace(scientific, r"(?:\.0)?E-(\d)$", r"e-0$1")
     return F.when(
         F.contains(c, F.lit("E")) & c.rlike(JVM_EXPONENT),
-        F.when(exp.between(-4, -1), small).when(exp.between(0, 15), large).otherwise(scientific),
+        F.when((size >= 1e-4) & (size < 1e16), positional).otherwise(scientific),
     ).otherwise(c)
 
 

@@ -16,10 +16,13 @@ from recordlake.schema import (
     PROGRAM_LEVEL_FIELDS,
     SCALAR_FIELDS,
 )
+from recordlake.session import built_once
 
 
-def flat_columns(rec: Column) -> dict[str, Column]:
-    """Every output column as an expression over a parsed record."""
+@built_once
+def flat_columns(record: str) -> dict[str, Column]:
+    """Every output column as an expression over a parsed record column."""
+    rec = F.col(record)
     details = rec["partnerDetails"]
     level = F.get(rec["programLevels"], F.lit(0))
     out = {
@@ -41,7 +44,7 @@ def flat_columns(rec: Column) -> dict[str, Column]:
 
 def flatten_records(records: DataFrame, keep: Sequence[str] = (), rec: str = "rec") -> DataFrame:
     """The 39 string columns in output order, after any kept columns."""
-    flat = flat_columns(F.col(rec))
+    flat = flat_columns(rec)
     return records.select(*keep, *[flat[c].alias(c) for c in OUTPUT_COLUMNS])
 
 

@@ -16,9 +16,12 @@ ID_LIST_MARKS = ["total", "count", "ids", "partnerIds"]
 
 
 def _entries(df: DataFrame, value: str, keep: Sequence[str]) -> DataFrame:
-    """One row per entry of a variant object or array: key (or index), entry."""
+    """One row per entry of a variant object or array: key (or index), entry.
+
+    A row whose value cannot be opened stays, with a null step and entry.
+    """
     spark = df.sparkSession
-    opened = spark.tvf.variant_explode(F.col(value).outer())
+    opened = spark.tvf.variant_explode_outer(F.col(value).outer())
     joined = df.lateralJoin(opened.select(F.col("pos"), F.col("key"), F.col("value").alias("entry")))
     step = F.coalesce("key", F.col("pos").cast("string"))
     return joined.select(*keep, step.alias("step"), "entry")

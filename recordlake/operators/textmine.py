@@ -157,14 +157,12 @@ def known_id_hits(
     candidates = texts.select(text_key, F.explode(offered).alias("_id"))
     known = ids.select(F.col(id_column).cast("string").alias("_id")).distinct()
     pairs = candidates.join(known, "_id")
-    at = F.locate(F.col("_id"), F.col(text))
+    at = F.position(F.col("_id"), F.col(text))
     return texts.select(text_key, text).join(pairs, text_key).select(
         text_key,
         F.col("_id").alias("known_id"),
-        (F.expr(f"locate(_id, `{text}`)") - 1).alias("at"),
-        snippet(F.col(text), F.expr(f"locate(_id, `{text}`)"), before, after, before + after).alias(
-            "snippet"
-        ),
+        (at - 1).alias("at"),
+        snippet(F.col(text), at, before, after, before + after).alias("snippet"),
     )
 
 

@@ -7,26 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.text import contains_any, let
+from recordlake.functions.text import contains_any
 
 
-def micros_between(start: Column, end: Column) -> Column:
-    """Microseconds from start to end, independent of the session time zone."""
-    gap = end - start
-
-    def total(i: Column) -> Column:
-        days, hours = F.extract(F.lit("DAY"), i), F.extract(F.lit("HOUR"), i)
-        minutes, seconds = F.extract(F.lit("MINUTE"), i), F.extract(F.lit("SECOND"), i)
-        whole = ((days * 24 + hours) * 60 + minutes).cast("bigint") * 60_000_000
-        return whole + (seconds * 1_000_000).cast("bigint")
-
-    return let(gap, total)
+def micros(gap: Column) -> Column:
+    """A day-time interval in microseconds."""
+    days, hours = F.extract(F.lit("DAY"), gap), F.extract(F.lit("HOUR"), gap)
+    minutes, seconds = F.extract(F.lit("MINUTE"), gap), F.extract(F.lit("SECOND"), gap)
+    whole = ((days * 24 + hours) * 60 + minutes).cast("bigint") * 60_000_000
+    return whole + (seconds * 1_000_000).cast("bigint")
 
 
 def with_elapsed(log: DataFrame, ts: str = "ts") -> DataFrame:
     """Microseconds since the first event of the whole log."""
     start = log.agg(F.min(ts)).scalar()
-    return log.withColumn("elapsed_us", micros_between(start, F.col(ts)))
+    timed = log.withColumn("_gap", F.col(ts) - start)
+    return timed.withColumn("elapsed_us", micros(F.col("_gap"))).drop("_gap")
 
 
 def with_session_elapsed(log: DataFrame, session: str, ts: str = "ts") -> DataFrame:
@@ -36,8 +32,8 @@ def with_session_elapsed(log: DataFrame, session: str, ts: str = "ts") -> DataFr
     the log is never gathered in one task.
     """
     starts = log.groupBy(session).agg(F.min(ts).alias("_start"))
-    timed = log.join(starts, session)
-    return timed.withColumn("elapsed_us", micros_between(F.col("_start"), F.col(ts))).drop("_start")
+    timed = log.join(starts, session).withColumn("_gap", F.col(ts) - F.col("_start"))
+    return timed.withColumn("elapsed_us", micros(F.col("_gap"))).drop("_start", "_gap")
 
 
 def after_mark(log: DataFrame, mark, column: str = "seq") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordlake.functions.jsontext import is_object
 from recordlake.functions.text import let
 from recordlake.schema import LIST_KEYS, RECORD_DDL, SINGLE_KEYS
+from recordlake.session import built_once
 
 # A JSON string inside a list that starts like an object: only then is a type check needed.
 _OBJECT_LIKE_STRING = r'[\[,]\s*"(?:\{|\\u007[bB])'
@@ -58,13 +59,16 @@ def item_count(body: Column) -> Column:
     return F.greatest(F.coalesce(found, F.lit(0)), F.lit(0))
 
 
-def record_list(line: Column) -> Column:
-    """Records of one raw line as ``array<RECORD>``; an item that is no object is null.
+@built_once
+def record_list(line_column: str) -> Column:
+    """Records of each raw line as ``array<RECORD>``; an item that is no object is null.
 
     A body that is a plain list of objects, the usual case, is read in a single pass.
     Every other shape goes through its items' JSON text.
     """
 
+    line = F.col(line_column)
+
     def from_items(envelope: Column) -> Column:
         texts = _list_in(envelope, "string")
         by_text = F.transform(texts, lambda t: F.when(t.startswith("{"), t))
@@ -81,7 +85,7 @@ def record_list(line: Column) -> Column:
 def explode_records(raw: DataFrame, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
     """One row per object record: kept columns, ``pos`` in its list, ``rec``."""
     return raw.select(
-        *keep, F.posexplode(record_list(F.col(line))).alias("pos", "rec")
+        *keep, F.posexplode(record_list(line)).alias("pos", "rec")
     ).where(F.col("rec").isNotNull())
 
 

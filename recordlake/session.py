@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache, wraps
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,3 +41,14 @@ def pin(df: DataFrame) -> DataFrame:
     """Store ``df`` reliably and cut its lineage: same rows, partitions and order."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def built_once(build):
+    """Build large expressions once per application: columns are immutable and unbound."""
+    cached = lru_cache(maxsize=64)(lambda app, *args: build(*args))
+
+    @wraps(build)
+    def call(*args):
+        return cached(SparkContext.getOrCreate().applicationId, *args)
+
+    return call
