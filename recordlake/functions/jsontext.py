@@ -7,13 +7,32 @@ from pyspark.sql import functions as F
 
 from recordlake.functions.text import strip_ws
 
-# Texts that a falsy JSON literal turns into; the same text as a JSON string is truthy.
+# Falsy JSON literals other than null and blank text, as they start in compact JSON. The
+# same text inside quotes is truthy.
+FALSY_LITERALS = ["false", "0", "-0", "[]", "{}"]
 FALSY_TEXTS = ["false", "0", "-0", "0.0", "-0.0", "[]", "{}"]
 
 # Everything up to and including the next separator that is not inside a string.
 _UP_TO_SEPARATOR = r'\G((?:[^",:]++|"(?:[^"\\]++|\\.)*+")*+[,:])'
 
 
+def is_json(text: Column) -> Column:
+    """True for exactly one complete JSON value.
+
+    Spark's JSON functions ignore what follows the first value. Inside brackets trailing
+    text shows up as further items or an error, unless it closes the bracket first, and
+    the same text cannot close both a list and an object.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    closed = F.json_object_keys(F.concat(F.lit('{"x":'), text, F.lit("}"))).isNotNull()
+    return F.coalesce(alone & closed, F.lit(False))
+
+
+def parsed_json(text: Column) -> Column:
+    """The variant of a complete JSON value, else null."""
+    return F.when(is_json(text), F.try_parse_json(text))
+
+
 def variant_kind(v: Column) -> Column:
     """OBJECT, ARRAY, STRING, BOOLEAN, BIGINT, DECIMAL, DOUBLE or VOID (JSON null)."""
     return F.regexp_extract(F.schema_of_variant(v), r"^[A-Z]+", 0)
@@ -35,6 +54,14 @@ def spaced_json(c: Column) -> Column:
     return F.regexp_replace(c, _UP_TO_SEPARATOR, "$1 ")
 
 
+def has_falsy_literal(text: Column, field: str) -> Column:
+    """True when the compact JSON may give ``field`` an unquoted falsy value."""
+    hit = F.lit(False)
+    for literal in FALSY_LITERALS:
+        hit = hit | F.contains(text, F.lit(f'"{field}":{literal}'))
+    return hit
+
+
 def joined_items(text: Column) -> Column:
     """Each item of a JSON array as JSON text, joined by ``"; "``; blank if no array."""
     texts = F.from_json(text, "array<string>")
@@ -50,35 +77,40 @@ def joined_items(text: Column) -> Column:
     return F.when(text.isNull() | (text == "[]"), "").otherwise(opened)
 
 
-def joined_field(text: Column, field: str) -> Column:
-    """Truthy values of one field over a JSON array of objects, stripped, joined by ``"; "``."""
-    values = F.from_json(text, f"array<struct<{field}:string>>")[field]
+def joined_field(items: Column, text: Column, field: str) -> Column:
+    """Truthy values of one field over parsed items, stripped and joined by ``"; "``.
+
+    ``text`` is the JSON the items came from; it is opened again with types only when a
+    falsy literal may hide behind the item's text.
+    """
+    values = items[field]
     typed = F.from_json(text, f"array<struct<{field}:variant>>")[field]
-    plain = F.filter(values, lambda t: t.isNotNull() & (t != ""))
+    plain = F.filter(values, lambda t: t != "")
     exact = F.filter(
         F.zip_with(values, typed, lambda t, v: F.when(is_truthy(v), t)), lambda t: t.isNotNull()
     )
-    doubtful = F.exists(values, lambda t: t.isin(*FALSY_TEXTS))
-    kept = F.when(doubtful, exact).otherwise(plain)
-    joined = F.array_join(F.transform(kept, strip_ws), "; ")
-    return F.when(text.isNull() | (text == "[]"), "").otherwise(F.coalesce(joined, F.lit("")))
+    kept = F.when(has_falsy_literal(text, field), exact).otherwise(plain)
+    return F.coalesce(F.array_join(F.transform(kept, strip_ws), "; "), F.lit(""))
 
 
-def first_default(text: Column) -> Column:
-    """First truthy description of an item whose isDefault is truthy; null if none."""
-    items = F.from_json(text, "array<struct<description:string,isDefault:variant>>")
+def first_default(items: Column, text: Column) -> Column:
+    """First truthy description of an item whose isDefault is truthy; null if none.
+
+    As in ``joined_field`` the JSON is opened with types only when the items' text leaves
+    a doubt: an unquoted description that may be falsy, or a quoted isDefault.
+    """
     typed = F.from_json(text, "array<struct<description:variant,isDefault:variant>>")
-    plain = F.filter(items, lambda d: (d["description"] != "") & is_truthy(d["isDefault"]))
+    plain = F.filter(
+        items,
+        lambda d: (d["description"] != "") & ~d["isDefault"].isin("", *FALSY_TEXTS),
+    )
     exact = F.filter(
         F.zip_with(
             items,
             typed,
-            lambda d, v: F.when(
-                is_truthy(v["description"]) & is_truthy(v["isDefault"]), d
-            ),
+            lambda d, v: F.when(is_truthy(v["description"]) & is_truthy(v["isDefault"]), d),
         ),
         lambda d: d.isNotNull(),
     )
-    doubtful = F.exists(items, lambda d: d["description"].isin(*FALSY_TEXTS))
-    kept = F.when(doubtful, exact).otherwise(plain)
-    return F.get(kept, F.lit(0))["description"]
+    doubtful = has_falsy_literal(text, "description") | F.contains(text, F.lit('"isDefault":"'))
+    return F.get(F.when(doubtful, exact).otherwise(plain), F.lit(0))["description"]

@@ -12,7 +12,7 @@ WHITESPACE = "".join(
     map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
               *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
-CONTROL_CHARS = r"[\x00-\x1F\x7F]"
+CONTROL_CHARS = "".join(map(chr, [*range(0x20), 0x7F]))
 
 # A number literal with an optional exponent, or an infinity; "nan" is not a number here.
 NUMBER = r"(?i)^\s*[+-]?(?:inf|infinity|(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?)\s*$"
@@ -36,12 +36,20 @@ def strip_ws(c: Column) -> Column:
 
 
 def clean(c: Column) -> Column:
-    """Null becomes blank, each control character becomes one space, ends are stripped."""
-    return strip_ws(F.regexp_replace(blank_if_null(c), CONTROL_CHARS, " "))
+    """Null becomes blank, each control character becomes one space, ends are stripped.
+
+    Once control characters are spaces, pure ASCII text only needs the plain trim, which
+    works on bytes; the slower trim over a character set is left for other text.
+    """
+    spaced = F.translate(blank_if_null(c), CONTROL_CHARS, " " * len(CONTROL_CHARS))
+    is_ascii = F.octet_length(spaced) == F.length(spaced)
+    return F.when(is_ascii, F.trim(spaced)).otherwise(strip_ws(spaced))
 
 
 def is_filled(c: Column) -> Column:
-    return F.length(strip_ws(blank_if_null(c))) > 0
+    """True when anything but white space is in the text; mostly the first byte tells."""
+    visible = F.ascii(c).between(0x21, 0x7E)
+    return F.coalesce(visible | (strip_ws(c) != ""), F.lit(False))
 
 
 def is_number(c: Column) -> Column:

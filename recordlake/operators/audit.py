@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordlake.functions.jsontext import is_json
 from recordlake.operators.unwrap import item_count
 from recordlake.schema import BATCH_SIZE, CONCURRENCY, MAX_RETRIES, RETRY_BACKOFF
 from recordlake.session import pin
@@ -80,7 +81,7 @@ def attempt_outcomes(attempts: DataFrame) -> DataFrame:
     outcome = (
         F.when(F.col("error").isNotNull() & F.col("status").isNull(), "network_error")
         .when(F.col("status") == 500, "server_error")
-        .when(F.try_parse_json(body).isNull(), "parse_error")
+        .when(~is_json(body), "parse_error")
         .when(F.col("n_records") > 0, "success")
         .otherwise("empty")
     )

@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import first_default, joined_field, joined_items
+from recordlake.functions.jsontext import (
+    first_default,
+    joined_field,
+    joined_items,
+)
 from recordlake.functions.text import clean, plain_number
 from recordlake.schema import (
     DECIMAL_FIELDS,
@@ -20,9 +24,22 @@ from recordlake.session import built_once
 
 
 @built_once
-def flat_columns(record: str) -> dict[str, Column]:
-    """Every output column as an expression over a parsed record column."""
+def opened_lists(record: str) -> list[Column]:
+    """The lists of a record that are still JSON text, parsed once each."""
     rec = F.col(record)
+    return [
+        F.from_json(rec["businessType"], "array<struct<code:string,name:string>>").alias("_types"),
+        F.from_json(
+            rec["partnerDetails"]["descriptions"],
+            "array<struct<description:string,isDefault:string>>",
+        ).alias("_descriptions"),
+    ]
+
+
+@built_once
+def flat_columns(record: str) -> dict[str, Column]:
+    """Every output column, given a parsed record and its opened lists."""
+    rec, types = F.col(record), F.col("_types")
     details = rec["partnerDetails"]
     level = F.get(rec["programLevels"], F.lit(0))
     out = {
@@ -32,9 +49,9 @@ def flat_columns(record: str) -> dict[str, Column]:
         out[f] = clean(details[f])
     out["contact_email"] = clean(details["partnerContact"]["email"])
     out["contact_phone"] = clean(details["partnerContact"]["phone"])
-    out["description"] = clean(first_default(details["descriptions"]))
-    out["businessType_codes"] = joined_field(rec["businessType"], "code")
-    out["businessType_names"] = joined_field(rec["businessType"], "name")
+    out["description"] = clean(first_default(F.col("_descriptions"), details["descriptions"]))
+    out["businessType_codes"] = joined_field(types, rec["businessType"], "code")
+    out["businessType_names"] = joined_field(types, rec["businessType"], "name")
     for name, field in PROGRAM_LEVEL_FIELDS.items():
         out[name] = clean(level[field])
     for f in FREE_FORM_FIELDS:
@@ -45,7 +62,8 @@ def flat_columns(record: str) -> dict[str, Column]:
 def flatten_records(records: DataFrame, keep: Sequence[str] = (), rec: str = "rec") -> DataFrame:
     """The 39 string columns in output order, after any kept columns."""
     flat = flat_columns(rec)
-    return records.select(*keep, *[flat[c].alias(c) for c in OUTPUT_COLUMNS])
+    opened = records.select(*keep, rec, *opened_lists(rec))
+    return opened.select(*keep, *[flat[c].alias(c) for c in OUTPUT_COLUMNS])
 
 
 def order_columns(df: DataFrame) -> DataFrame:

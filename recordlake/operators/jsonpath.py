@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import variant_kind
+from recordlake.functions.jsontext import is_json, parsed_json, variant_kind
 
 # --- fixed values: keys whose presence marks a totals or id-list object ------------
 TOTAL_KEYS = ["total", "totalCount", "count"]
@@ -80,7 +80,7 @@ def id_list_keys(
     df: DataFrame, body: str, min_size: int = 50, sample: int = 5, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Keys of an object whose value is a long list that starts with a whole number."""
-    parsed = df.select(*keep, F.try_parse_json(F.col(body)).alias("_v"))
+    parsed = df.select(*keep, parsed_json(F.col(body)).alias("_v"))
     objects = parsed.where(variant_kind(F.col("_v")) == "OBJECT")
     entries = _entries(objects, "_v", keep)
     items = F.try_variant_get("entry", "$", "array<variant>")
@@ -107,7 +107,7 @@ def key_arrays(
     First means document order: outer keys as they stand in the text, then inner keys.
     """
     text = F.col(body)
-    parsed = df.select(*keep, text.alias("_doc"), F.try_parse_json(text).alias("_v"))
+    parsed = df.select(*keep, text.alias("_doc"), parsed_json(text).alias("_v"))
     outer = parsed.where(variant_kind(F.col("_v")) == "OBJECT")
     outer = _entries(outer, "_v", [*keep, "_doc"]).where(variant_kind(F.col("entry")) == "OBJECT")
     outer = outer.select(
@@ -171,8 +171,8 @@ def response_shapes(
     parsed = df.select(
         *keep,
         text.alias("_text"),
-        F.try_parse_json(text).alias("_v"),
-        F.json_object_keys(text).alias("_keys"),
+        parsed_json(text).alias("_v"),
+        F.when(is_json(text), F.json_object_keys(text)).alias("_keys"),
     )
     kind = variant_kind(F.col("_v"))
     first = F.try_variant_get("_v", "$[0]", "variant")

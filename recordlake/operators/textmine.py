@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordlake.functions.jsontext import parsed_json
 from recordlake.functions.text import contains_any, snippet, strip_ws
 
 JSON_SCRIPT = r"""(?s)<script[^>]*type=["']application/json["'][^>]*>(.*?)</script>"""
@@ -74,7 +75,7 @@ def embedded_json(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFra
     """JSON script blocks of each page: position, raw text and parsed value (null if broken)."""
     blocks = extract_all(df, text, JSON_SCRIPT, 1, keep)
     return blocks.select(
-        *keep, "pos", F.col("match").alias("blob"), F.try_parse_json("match").alias("parsed")
+        *keep, "pos", F.col("match").alias("blob"), parsed_json(F.col("match")).alias("parsed")
     )
 
 

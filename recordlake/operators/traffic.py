@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordlake.functions.jsontext import parsed_json
 from recordlake.functions.text import contains_any
 
 
@@ -69,7 +70,7 @@ def request_ids(
     log: DataFrame, body: str = "body", keep: Sequence[str] = (), sample: int = 5, preview: int = 150
 ) -> DataFrame:
     """Id lists sent in request bodies: length and first ids, else a preview of the body."""
-    ids = F.try_variant_get(F.try_parse_json(F.col(body)), "$.ids", "array<variant>")
+    ids = F.try_variant_get(parsed_json(F.col(body)), "$.ids", "array<variant>")
     return (
         log.where(F.col(body) != "")
         .select(*keep, body, ids.alias("_ids"))

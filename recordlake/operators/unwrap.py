@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import is_object
+from recordlake.functions.jsontext import is_json, is_object
 from recordlake.functions.text import let
 from recordlake.schema import LIST_KEYS, RECORD_DDL, SINGLE_KEYS
 from recordlake.session import built_once
@@ -21,7 +21,7 @@ def as_envelope(line: Column) -> Column:
     return F.when(
         F.array_contains(F.json_object_keys(line), "body"), line
     ).when(
-        F.try_parse_json(line).isNotNull(), F.concat(F.lit('{"body":'), line, F.lit("}"))
+        is_json(line), F.concat(F.lit('{"body":'), line, F.lit("}"))
     )
 
 
@@ -55,7 +55,7 @@ def body_items(line: Column) -> Column:
 def item_count(body: Column) -> Column:
     """Number of items a response body (JSON text) holds, objects or not."""
     wrapped = F.concat(F.lit('{"body":'), body, F.lit("}"))
-    found = F.when(F.try_parse_json(body).isNotNull(), F.size(_list_in(wrapped, "string")))
+    found = F.when(is_json(body), F.size(_list_in(wrapped, "string")))
     return F.greatest(F.coalesce(found, F.lit(0)), F.lit(0))
 
 
@@ -63,12 +63,21 @@ def item_count(body: Column) -> Column:
 def record_list(line_column: str) -> Column:
     """Records of each raw line as ``array<RECORD>``; an item that is no object is null.
 
-    A body that is a plain list of objects, the usual case, is read in a single pass.
-    Every other shape goes through its items' JSON text.
+    The usual shapes, a plain list of objects or an object around one, are read straight
+    into records. Whatever is left goes through its items' JSON text.
     """
-
     line = F.col(line_column)
 
+    def from_wrapped(o: Column) -> Column:
+        chosen = None
+        for i, k in enumerate(LIST_KEYS):
+            # A mixed list reads as null: look in the text whether one stands ahead.
+            ahead = rf'"(?:{"|".join(LIST_KEYS[:i])})"\s*:\s*\[\s*[^\s\]]'
+            found = F.when(~line.rlike(ahead), o[k]) if i else o[k]
+            filled = F.size(o[k]) > 0
+            chosen = F.when(filled, found) if chosen is None else chosen.when(filled, found)
+        return chosen
+
     def from_items(envelope: Column) -> Column:
         texts = _list_in(envelope, "string")
         by_text = F.transform(texts, lambda t: F.when(t.startswith("{"), t))
@@ -78,8 +87,10 @@ def record_list(line_column: str) -> Column:
         objects = F.when(envelope.rlike(_OBJECT_LIKE_STRING), by_type).otherwise(by_text)
         return F.transform(objects, lambda t: F.from_json(t, RECORD_DDL))
 
+    fields = ",".join(f"{k}:array<{RECORD_DDL}>" for k in LIST_KEYS)
     listed = F.from_json(line, f"body array<{RECORD_DDL}>")["body"]
-    return F.coalesce(listed, let(as_envelope(line), from_items))
+    wrapped = F.from_json(line, f"body struct<{fields}>")["body"]
+    return F.coalesce(listed, let(wrapped, from_wrapped), let(as_envelope(line), from_items))
 
 
 def explode_records(raw: DataFrame, keep: Sequence[str] = (), line: str = "value") -> DataFrame:

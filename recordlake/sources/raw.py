@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlake.functions.jsontext import is_json
 from recordlake.schema import OUTPUT_COLUMNS
 
 # Arrival order of a raw line: file, block of the file, line in scan order.
@@ -43,7 +44,9 @@ def stream_raw(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 def listing_entries(text: Column) -> Column:
     """Entries of a listing response as JSON text; empty when it has none or is broken."""
-    found = F.from_json(text, "partnerLocations array<string>")["partnerLocations"]
+    found = F.when(
+        is_json(text), F.from_json(text, "partnerLocations array<string>")["partnerLocations"]
+    )
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
@@ -63,7 +66,7 @@ def explode_locations(listings: DataFrame, text: str = "value", keep=()) -> Data
 
 def broken_listings(listings: DataFrame, text: str = "value") -> DataFrame:
     """Listing responses that are no JSON at all."""
-    return listings.where(F.try_parse_json(F.col(text)).isNull())
+    return listings.where(~is_json(F.col(text)))
 
 
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
