@@ -63,18 +63,26 @@ def has_falsy_literal(text: Column, field: str) -> Column:
 
 
 def joined_items(text: Column) -> Column:
-    """Each item of a JSON array as JSON text, joined by ``"; "``; blank if no array."""
+    """Each item of a JSON array as JSON text, joined by ``"; "``; blank if no array.
+
+    Lists of containers need no type check. Otherwise a text item could be a word or a
+    literal, and variants tell which one has to be quoted.
+    """
     texts = F.from_json(text, "array<string>")
     types = F.from_json(text, "array<variant>")
-    items = F.zip_with(
+    containers = F.transform(texts, spaced_json)
+    mixed = F.zip_with(
         texts,
         types,
         lambda t, v: F.when(t.isNull(), "null")
         .when(F.schema_of_variant(v) == "STRING", F.to_json(v))
         .otherwise(spaced_json(t)),
     )
-    opened = F.coalesce(F.array_join(items, "; "), F.lit(""))
-    return F.when(text.isNull() | (text == "[]"), "").otherwise(opened)
+    in_doubt = F.exists(texts, lambda t: ~F.coalesce(t.startswith("{"), F.lit(False)))
+    for start in ('["{', ',"{'):
+        in_doubt = in_doubt | F.contains(text, F.lit(start))
+    opened = F.array_join(F.when(in_doubt, mixed).otherwise(containers), "; ")
+    return F.when(text.isNull() | (text == "[]"), "").otherwise(F.coalesce(opened, F.lit("")))
 
 
 def joined_field(items: Column, text: Column, field: str) -> Column:

@@ -142,8 +142,10 @@ def coverage_gap(locations: DataFrame, records: DataFrame, key: str = "id") -> D
 
 
 def lookup_details(locations: DataFrame, records: DataFrame, key: str = "id") -> DataFrame:
-    """Records joined to their listing entry; listed ids without a record stay, with nulls.
+    """Records of listed ids; listed ids without a record stay, with nulls.
 
-    The listing is reduced to its ids, so a repeated entry does not repeat records.
+    A semi join and the gap instead of one outer join: adaptive execution can split a hot
+    id on the record side of a semi join, but not on the optional side of an outer join.
     """
-    return locations.select(key).distinct().join(records, key, "left")
+    found = records.join(locations.select(key).distinct(), key, "left_semi")
+    return found.unionByName(coverage_gap(locations, records, key), allowMissingColumns=True)

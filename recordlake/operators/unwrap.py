@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import is_json, is_object
+from recordlake.functions.jsontext import is_json, is_object, is_truthy
 from recordlake.functions.text import let
-from recordlake.schema import LIST_KEYS, RECORD_DDL, SINGLE_KEYS
+from recordlake.schema import FREE_FORM_FIELDS, LIST_KEYS, RECORD_DDL, SINGLE_KEYS
 from recordlake.session import built_once
 
 # A JSON string inside a list that starts like an object: only then is a type check needed.
@@ -68,15 +68,19 @@ def record_list(line_column: str) -> Column:
     """
     line = F.col(line_column)
 
+    def has_list(keys: Sequence[str]) -> Column:
+        """True when the text shows a non-empty list under one of the keys, mixed or not."""
+        return line.rlike(rf'"(?:{"|".join(keys)})"\s*:\s*\[\s*[^\s\]]')
+
     def from_wrapped(o: Column) -> Column:
-        chosen = None
-        for i, k in enumerate(LIST_KEYS):
-            # A mixed list reads as null: look in the text whether one stands ahead.
-            ahead = rf'"(?:{"|".join(LIST_KEYS[:i])})"\s*:\s*\[\s*[^\s\]]'
-            found = F.when(~line.rlike(ahead), o[k]) if i else o[k]
-            filled = F.size(o[k]) > 0
-            chosen = F.when(filled, found) if chosen is None else chosen.when(filled, found)
-        return chosen
+        # A mixed list reads as null, so the text must rule out one ahead of the choice.
+        chosen = F.when(F.size(o[LIST_KEYS[0]]) > 0, o[LIST_KEYS[0]])
+        for i, k in enumerate(LIST_KEYS[1:], 1):
+            chosen = chosen.when(F.size(o[k]) > 0, F.when(~has_list(LIST_KEYS[:i]), o[k]))
+        keys = F.json_object_keys(F.from_json(line, "body string")["body"])
+        single = F.arrays_overlap(keys, F.array(*[F.lit(k) for k in SINGLE_KEYS]))
+        only = F.array(F.from_json(line, f"body {RECORD_DDL}")["body"])
+        return chosen.when(o.isNotNull() & ~has_list(LIST_KEYS), F.when(single, only))
 
     def from_items(envelope: Column) -> Column:
         texts = _list_in(envelope, "string")
@@ -103,3 +107,41 @@ def explode_records(raw: DataFrame, keep: Sequence[str] = (), line: str = "value
 def records_per_line(raw: DataFrame, keep: Sequence[str], line: str = "value") -> DataFrame:
     """Number of list items in each raw line."""
     return raw.select(*keep, F.size(body_items(F.col(line))).alias("n_records"))
+
+
+def _malformed_fields(v: Column) -> Column:
+    """Names of nested fields whose JSON type does not fit; falsy values fit everywhere."""
+
+    def at(path: str) -> Column:
+        return F.try_variant_get(v, f"$.{path}", "variant")
+
+    def items(path: str) -> Column:
+        return F.try_variant_get(v, f"$.{path}", "array<variant>")
+
+    fits = {p: is_object(at(p)) for p in ("partnerDetails", "partnerDetails.partnerContact")}
+    for p in ("partnerDetails.descriptions", "businessType"):
+        fits[p] = F.forall(items(p), is_object)
+    fits["programLevels"] = is_object(F.get(items("programLevels"), F.lit(0)))
+    for p in FREE_FORM_FIELDS:
+        fits[p] = items(p).isNotNull()
+    return F.filter(
+        F.array(
+            *[
+                F.when(is_truthy(at(p)) & ~F.coalesce(ok, F.lit(False)), F.lit(p))
+                for p, ok in fits.items()
+            ]
+        ),
+        lambda name: name.isNotNull(),
+    )
+
+
+def malformed_records(raw: DataFrame, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
+    """Quarantine: object records with a nested field of the wrong type.
+
+    ``flatten_records`` leaves such a field blank; here are the record texts and the
+    names of the fields concerned.
+    """
+    items = raw.select(*keep, F.posexplode(body_items(F.col(line))).alias("pos", "record"))
+    objects = items.where(F.col("record").startswith("{"))
+    checked = objects.withColumn("fields", _malformed_fields(F.try_parse_json("record")))
+    return checked.where(F.size("fields") > 0)

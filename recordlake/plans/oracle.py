@@ -203,6 +203,18 @@ ORACLE: dict[str, str] = {
           || l_linestatus || '"; ' || l_quantity || '; null; true' AS competence,
         '' AS "openingHours"
       FROM lineitem""",
+    "malformed_records": """
+      WITH p AS (SELECT p_partkey, p_size, p_retailprice <= 1000 AND p_size <> 0 AS bad_details,
+          p_type IN ('ECONOMY', 'PROMO') AS bad_types,
+          CASE WHEN p_type = 'ECONOMY' THEN '[' || p_size || ']' WHEN p_type = 'PROMO' THEN '"word"'
+            ELSE '[{"code":"x"}]' END AS types,
+          CASE WHEN p_retailprice > 1000 THEN '{}' ELSE p_size::VARCHAR END AS details
+        FROM part)
+      SELECT p_partkey, 0 AS pos,
+        '{"id":' || p_partkey || ',"partnerDetails":' || details || ',"businessType":' || types || '}' AS record,
+        concat_ws(',', CASE WHEN bad_details THEN 'partnerDetails' END,
+          CASE WHEN bad_types THEN 'businessType' END) AS fields
+      FROM p WHERE bad_details OR bad_types""",
     "drop_empty_columns": f"""
       SELECT {", ".join(f'{CUSTOMER_COLUMNS[c]} AS "{c}"' for c in FILLED_COLUMNS)},
         c_custkey::VARCHAR AS source_key

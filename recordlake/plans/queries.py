@@ -113,6 +113,24 @@ def free_form_arrays(spark, sf_dir):
     return flat.select(*keys, "competence", "openingHours")
 
 
+def malformed_records(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    size = F.col("p_size").cast("string")
+    types = (
+        F.when(F.col("p_type") == "ECONOMY", F.concat(F.lit("["), size, F.lit("]")))
+        .when(F.col("p_type") == "PROMO", F.lit('"word"'))
+        .otherwise(F.lit('[{"code":"x"}]'))
+    )
+    record = F.concat(
+        F.lit('{"id":'), F.col("p_partkey").cast("string"), F.lit(',"partnerDetails":'),
+        F.when(F.col("p_retailprice") > 1000, F.lit("{}")).otherwise(size),
+        F.lit(',"businessType":'), types, F.lit("}"),
+    )
+    lines = part.select("p_partkey", derive.wrap(record).alias("value"))
+    found = unwrap.malformed_records(lines, ["p_partkey"])
+    return found.select("p_partkey", "pos", "record", _joined(F.col("fields")).alias("fields"))
+
+
 def drop_empty_columns(spark, sf_dir):
     facts = derive.customer_facts(spark, sf_dir)
     lines = facts.select("c_custkey", derive.wrap(derive.customer_record()).alias("value"))
@@ -544,8 +562,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         clean_text, unwrap_records, records_per_response, flatten_customers, default_description,
-        joined_types, program_levels, free_form_arrays, drop_empty_columns, dedupe_first,
-        ingest_documents, fill_rates, quality_summary, coordinate_ranges, duplicate_ids,
+        joined_types, program_levels, free_form_arrays, malformed_records, drop_empty_columns,
+        dedupe_first, ingest_documents, fill_rates, quality_summary, coordinate_ranges, duplicate_ids,
         country_counts, country_totals, type_counts, type_counts_from_arrays, sample_rows,
         batch_plan, batch_id_lists, attempt_outcomes, batch_status, lost_ids, coverage,
         coverage_gap, lookup_details, listing_locations, broken_listings, listing_contract,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recordlake.operators import profile
 from recordlake.operators.dedupe import first_wins
-from recordlake.operators.flatten import drop_empty_columns, flatten_records, order_columns
+from recordlake.operators.flatten import flatten_records
 from recordlake.operators.unwrap import explode_records
 from recordlake.schema import OUTPUT_COLUMNS
 from recordlake.sources import sinks
@@ -71,8 +71,9 @@ def run_batch(
 ) -> RunResult:
     """Unwrap, flatten, de-duplicate, store, export and profile.
 
-    The unique records are written once as Parquet; counters ride along with that job,
-    and everything after it reads the columnar table instead of the JSON.
+    The unique records are written once as Parquet; row counts and the columns that hold
+    anything ride along with that job. Everything after it reads the columnar table
+    instead of the JSON.
     """
     raw = read_raw(spark, raw_path)
     if backup:
@@ -80,19 +81,19 @@ def run_batch(
     parsed, unique = Observation("parsed"), Observation("unique")
     flat = flatten_records(explode_records(raw, ARRIVAL), ORDER)
     flat = flat.observe(parsed, F.count(F.lit(1)).alias("n"))
-    kept = first_wins(flat, ORDER).observe(unique, F.count(F.lit(1)).alias("n"))
+    filled = [F.max(F.col(c) != "").alias(c) for c in OUTPUT_COLUMNS]
+    kept = first_wins(flat, ORDER).observe(unique, F.count(F.lit(1)).alias("n"), *filled)
     stored = sinks.run_path(out_dir, "records", run_ts)
     kept.write.parquet(stored)
-    result = RunResult(parsed=parsed.get["n"], unique=unique.get["n"])
+    counted = unique.get
+    result = RunResult(parsed=parsed.get["n"], unique=counted["n"])
     log.info("records parsed: %d, unique: %d", result.parsed, result.unique)
     if result.unique == 0:
         log.error("no records in %s: no export and no report written", raw_path)
         return result
     ordered = spark.read.parquet(stored)
-    table = ordered.select(*OUTPUT_COLUMNS)
-    if drop_empty:
-        table = drop_empty_columns(table)
-    table = order_columns(table)
+    columns = [c for c in OUTPUT_COLUMNS if counted[c] or not drop_empty]
+    table = ordered.select(*columns)
     for fmt in formats:
         path = sinks.run_path(out_dir, f"distributors_{fmt}", run_ts)
         if fmt == "csv":

@@ -9,6 +9,19 @@ from functools import lru_cache, wraps
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+# Settings the jobs are meant to run with; the caller's session decides.
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Repeated JSON keys: the last one counts, instead of the value being rejected.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # Streaming state on disk with incremental snapshots instead of executor heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.

@@ -130,6 +130,23 @@ def test_malformed_nesting_blanks_only_its_field(lines):
     }
 
 
+def test_quarantine_names_the_fields(lines, full_record):
+    records = [
+        full_record,
+        {"id": 1, "partnerDetails": [], "businessType": 0, "competence": "", "programLevels": {}},
+        {"id": 2, "partnerDetails": "text", "businessType": [{"code": "x"}, 7]},
+        {"id": 3, "partnerDetails": {"partnerContact": 5, "descriptions": [{}, "x"]}, "openingHours": 7},
+        {"id": 4, "programLevels": [3]},
+        5,
+    ]
+    got = unwrap.malformed_records(lines([{"body": {"hits": records}}, {"body": "x"}]), ["i"])
+    assert {(r.pos, *r.fields) for r in got.collect()} == {
+        (2, "partnerDetails", "businessType"),
+        (3, "partnerDetails.partnerContact", "partnerDetails.descriptions", "openingHours"),
+        (4, "programLevels"),
+    }
+
+
 TEXTS = ["", " ", "a", "A b", "é ", "　x", "t\tt", "n\nn", "\x00", 'q"q', "back\\slash", "{x", "[y",
          "false", "0", "null", "ß", "日本", "a, b: c", '{"id":1}', "; "]
 
