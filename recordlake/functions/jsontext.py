@@ -85,20 +85,32 @@ def joined_items(text: Column) -> Column:
     return F.when(text.isNull() | (text == "[]"), "").otherwise(F.coalesce(opened, F.lit("")))
 
 
+def may_need_strip(text: Column) -> Column:
+    """False when no string in the compact JSON can begin or end with white space."""
+    escaped_or_wide = F.contains(text, F.lit("\\")) | (F.octet_length(text) != F.length(text))
+    return F.contains(text, F.lit('" ')) | F.contains(text, F.lit(' "')) | escaped_or_wide
+
+
 def joined_field(items: Column, text: Column, field: str) -> Column:
     """Truthy values of one field over parsed items, stripped and joined by ``"; "``.
 
-    ``text`` is the JSON the items came from; it is opened again with types only when a
-    falsy literal may hide behind the item's text.
+    ``text`` is the JSON the items came from. It is opened again with types only when a
+    falsy literal may hide behind an item's text, and values are only stripped when the
+    text shows blanks next to quotes; the usual case stays free of lambdas.
     """
     values = items[field]
     typed = F.from_json(text, f"array<struct<{field}:variant>>")[field]
-    plain = F.filter(values, lambda t: t != "")
     exact = F.filter(
         F.zip_with(values, typed, lambda t, v: F.when(is_truthy(v), t)), lambda t: t.isNotNull()
     )
-    kept = F.when(has_falsy_literal(text, field), exact).otherwise(plain)
-    return F.coalesce(F.array_join(F.transform(kept, strip_ws), "; "), F.lit(""))
+    filled = F.array_remove(values, "")
+    present = F.filter(filled, lambda t: t.isNotNull())
+    joined = (
+        F.when(has_falsy_literal(text, field), F.array_join(F.transform(exact, strip_ws), "; "))
+        .when(may_need_strip(text), F.array_join(F.transform(present, strip_ws), "; "))
+        .otherwise(F.array_join(filled, "; "))
+    )
+    return F.coalesce(joined, F.lit(""))
 
 
 def first_default(items: Column, text: Column) -> Column:
@@ -121,4 +133,10 @@ def first_default(items: Column, text: Column) -> Column:
         lambda d: d.isNotNull(),
     )
     doubtful = has_falsy_literal(text, "description") | F.contains(text, F.lit('"isDefault":"'))
-    return F.get(F.when(doubtful, exact).otherwise(plain), F.lit(0))["description"]
+    leading = F.get(items, F.lit(0))
+    kept = (
+        F.when(doubtful, F.get(exact, F.lit(0)))
+        .when((leading["isDefault"] == "true") & (leading["description"] != ""), leading)
+        .otherwise(F.get(plain, F.lit(0)))
+    )
+    return kept["description"]

@@ -15,6 +15,9 @@ from recordlake.session import pin
 # monotonically_increasing_id: partition number above, row number in the low 33 bits.
 _ROW_BITS = (1 << 33) - 1
 
+# Room for the record count of one attempt below the attempt number.
+_COUNT_BITS = 40
+
 
 def with_positions(df: DataFrame, order_by: Sequence[str], name: str = "pos") -> DataFrame:
     """Add the 0-based position of each row in a total order, without one global task.
@@ -51,9 +54,8 @@ def plan_batches(
 ) -> DataFrame:
     """Slice an ordered id list into batches and groups of batches sent together."""
     placed = with_positions(ids, order_by)
-    batch = F.floor(F.col("pos") / batch_size)
-    return placed.withColumn("batch_idx", batch).withColumn(
-        "group_idx", F.floor(F.col("batch_idx") / concurrency)
+    return placed.withColumn("batch_idx", F.expr(f"pos div {batch_size}")).withColumn(
+        "group_idx", F.expr(f"batch_idx div {concurrency}")
     )
 
 
@@ -102,17 +104,27 @@ def batch_status(
 ) -> DataFrame:
     """Final state of each batch: the stopping attempt's outcome, else FAILED.
 
-    Attempts after the stopping one, or beyond the retry limit, do not count.
+    Attempts after the stopping one, or beyond the retry limit, do not count. Attempt and
+    record count of a stop travel as one number, so that a hash aggregate can combine
+    them; a stop without records is an empty one.
     """
     allowed = outcomes.where(F.col("attempt") <= max_retries)
-    stop = F.when(F.col("stops"), F.struct("attempt", "outcome", "n_records"))
-    reduced = allowed.groupBy(key).agg(F.min(stop).alias("stop"), F.max("attempt").alias("last"))
-    retries = F.coalesce(F.col("stop.attempt"), F.col("last"))
+    packed = F.shiftleft(F.col("attempt").cast("bigint"), _COUNT_BITS).bitwiseOR(
+        F.col("n_records").cast("bigint")
+    )
+    reduced = allowed.groupBy(key).agg(
+        F.min(F.when(F.col("stops"), packed)).alias("stop"), F.max("attempt").alias("last")
+    )
+    n_records = F.coalesce(F.col("stop").bitwiseAND(F.lit((1 << _COUNT_BITS) - 1)), F.lit(0))
+    retries = F.coalesce(F.shiftright("stop", _COUNT_BITS), F.col("last"))
     return reduced.select(
         key,
-        F.coalesce(F.col("stop.outcome"), F.lit("FAILED")).alias("final_status"),
+        F.when(F.col("stop").isNull(), "FAILED")
+        .when(n_records > 0, "success")
+        .otherwise("empty")
+        .alias("final_status"),
         (retries + 1).alias("attempts_made"),
-        F.coalesce(F.col("stop.n_records"), F.lit(0)).alias("n_records"),
+        n_records.alias("n_records"),
         (F.lit(backoff) * (F.pow(F.lit(2.0), retries) - 1)).alias("wait_seconds"),
     )
 

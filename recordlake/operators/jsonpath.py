@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import is_json, parsed_json, variant_kind
+from recordlake.functions.jsontext import is_json, is_object, parsed_json, variant_kind
 
 # --- fixed values: keys whose presence marks a totals or id-list object ------------
 TOTAL_KEYS = ["total", "totalCount", "count"]
@@ -76,26 +76,35 @@ def named_arrays(
     )
 
 
+def _long_lists(entries: Column, min_size: int) -> Column:
+    """Map entries whose value is a list with more than ``min_size`` items, lists opened."""
+    opened = F.transform(
+        entries,
+        lambda e: F.struct(
+            e["key"].alias("key"), F.try_variant_get(e["value"], "$", "array<variant>").alias("items")
+        ),
+    )
+    return F.filter(opened, lambda e: F.size(e["items"]) > min_size)
+
+
+def _sampled(path: Column, items: Column, sample: int) -> Column:
+    first = F.transform(F.slice(items, 1, sample), lambda v: v.try_cast("string"))
+    return F.struct(path.alias("path"), F.size(items).alias("n_items"), first.alias("sample"))
+
+
 def id_list_keys(
     df: DataFrame, body: str, min_size: int = 50, sample: int = 5, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Keys of an object whose value is a long list that starts with a whole number."""
-    parsed = df.select(*keep, parsed_json(F.col(body)).alias("_v"))
-    objects = parsed.where(variant_kind(F.col("_v")) == "OBJECT")
-    entries = _entries(objects, "_v", keep)
-    items = F.try_variant_get("entry", "$", "array<variant>")
-    first = F.get(F.col("_items"), F.lit(0))
-    whole = variant_kind(first).isin("BIGINT", "BOOLEAN") | F.to_json(first).rlike(r"^-?\d+$")
-    return (
-        entries.select(*keep, F.col("step").alias("key"), items.alias("_items"))
-        .where((F.size("_items") > min_size) & whole)
-        .select(
-            *keep,
-            "key",
-            F.size("_items").alias("n_items"),
-            F.transform(F.slice("_items", 1, sample), lambda v: v.try_cast("string")).alias("sample"),
-        )
-    )
+
+    def starts_whole(e: Column) -> Column:
+        first = F.get(e["items"], F.lit(0))
+        return variant_kind(first).isin("BIGINT", "BOOLEAN") | F.to_json(first).rlike(r"^-?\d+$")
+
+    entries = F.map_entries(F.from_json(F.col(body), "map<string,variant>"))
+    lists = F.filter(_long_lists(entries, min_size), starts_whole)
+    shown = F.transform(lists, lambda e: _sampled(e["key"], e["items"], sample))
+    return df.select(*keep, F.inline(shown)).withColumnRenamed("path", "key")
 
 
 def key_arrays(
@@ -104,42 +113,27 @@ def key_arrays(
 ) -> DataFrame:
     """For each document the first array, two levels down, whose key contains ``word``.
 
-    First means document order: outer keys as they stand in the text, then inner keys.
+    First means document order: JSON maps keep their keys as they stand in the text. A
+    document is searched inside its row.
     """
-    text = F.col(body)
-    parsed = df.select(*keep, text.alias("_doc"), parsed_json(text).alias("_v"))
-    outer = parsed.where(variant_kind(F.col("_v")) == "OBJECT")
-    outer = _entries(outer, "_v", [*keep, "_doc"]).where(variant_kind(F.col("entry")) == "OBJECT")
-    outer = outer.select(
-        *keep,
-        F.col("step").alias("_outer"),
-        F.array_position(F.json_object_keys("_doc"), F.col("step")).alias("_outer_pos"),
-        F.from_json("_doc", "map<string,string>")[F.col("step")].alias("_inner_text"),
-        "entry",
+    texts = F.map_entries(F.from_json(F.col(body), "map<string,string>"))
+    types = F.map_entries(F.from_json(F.col(body), "map<string,variant>"))
+    objects = F.filter(
+        F.zip_with(texts, types, lambda t, v: F.when(is_object(v["value"]), t)),
+        lambda t: t.isNotNull(),
     )
-    inner = _entries(
-        outer.withColumnRenamed("entry", "_node"), "_node",
-        [*keep, "_outer", "_outer_pos", "_inner_text"],
-    )
-    items = F.try_variant_get("entry", "$", "array<variant>")
-    hits = (
-        inner.where(F.contains(F.lower("step"), F.lit(word)))
-        .select(
-            *keep,
-            F.col("_outer_pos"),
-            F.array_position(F.json_object_keys("_inner_text"), F.col("step")).alias("_inner_pos"),
-            F.concat_ws(".", "_outer", "step").alias("path"),
-            items.alias("_items"),
+
+    def inside(outer: Column) -> Column:
+        inner = F.map_entries(F.from_json(outer["value"], "map<string,variant>"))
+        named = F.filter(inner, lambda e: F.contains(F.lower(e["key"]), F.lit(word)))
+        return F.transform(
+            _long_lists(named, min_size),
+            lambda e: F.struct(F.concat_ws(".", outer["key"], e["key"]).alias("path"), e["items"]),
         )
-        .where(F.size("_items") > min_size)
-    )
-    shown = F.struct(
-        "path",
-        F.size("_items").alias("n_items"),
-        F.transform(F.slice("_items", 1, sample), lambda v: v.try_cast("string")).alias("sample"),
-    )
-    first = F.min_by(shown, F.struct("_outer_pos", "_inner_pos"))
-    return hits.groupBy(*keep).agg(first.alias("_hit")).select(*keep, "_hit.*")
+
+    found = df.select(*keep, F.get(F.flatten(F.transform(objects, inside)), F.lit(0)).alias("_hit"))
+    shown = _sampled(F.col("_hit.path"), F.col("_hit.items"), sample)
+    return found.where(F.col("_hit").isNotNull()).select(*keep, shown.alias("_s")).select(*keep, "_s.*")
 
 
 def has_any_key(body: Column, names: Sequence[str] = tuple(ID_LIST_MARKS)) -> Column:

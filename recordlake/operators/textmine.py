@@ -135,7 +135,8 @@ def known_id_hits(
 
     An id can only sit inside a run of digits. Each text therefore offers the pieces of
     its digit runs that have one of the id ``lengths``, and an equality join picks the
-    known ones: the work grows with the text, not with texts times ids.
+    known ones: the work grows with the text, not with texts times ids. The pairs are
+    merged with the texts, never broadcast: size estimates ignore the explode.
     """
 
     def pieces(run: Column) -> Column:
@@ -159,7 +160,7 @@ def known_id_hits(
     known = ids.select(F.col(id_column).cast("string").alias("_id")).distinct()
     pairs = candidates.join(known, "_id")
     at = F.position(F.col("_id"), F.col(text))
-    return texts.select(text_key, text).join(pairs, text_key).select(
+    return texts.select(text_key, text).join(pairs.hint("merge"), text_key).select(
         text_key,
         F.col("_id").alias("known_id"),
         (at - 1).alias("at"),
