@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from recordlake.plans import derive
 from recordlake.plans.queries import QUERIES
 from recordlake.plans.run import run_batch
-from recordlake.session import RECOMMENDED_CONF
+from recordlake.session import RECOMMENDED_CONF, scratch_path
 
 HEADLINE = [
     "clean_text", "unwrap_records", "flatten_customers", "free_form_arrays", "joined_types",
@@ -63,7 +62,7 @@ def main() -> None:
         name: timed(lambda: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
         for name in HEADLINE
     }
-    work = tempfile.mkdtemp(prefix="recordlake-bench-")
+    work = scratch_path(spark, "bench")
     size = write_envelopes(spark, sf_dir, f"{work}/in")
     done = {}
     times["complete_run"] = timed(

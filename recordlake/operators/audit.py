@@ -77,7 +77,10 @@ def backoff_seconds(attempt: Column, backoff: float = RETRY_BACKOFF) -> Column:
 
 
 def attempt_outcomes(attempts: DataFrame) -> DataFrame:
-    """Classify attempts (status, error, body): outcome, records, wait and whether it stops."""
+    """Classify attempts (status, error, body): outcome, records, wait and whether it stops.
+
+    Attempts without records keep the start of the body as a preview.
+    """
     body = F.coalesce(F.col("body"), F.lit(""))
     counted = attempts.withColumn("n_records", item_count(body))
     outcome = (
@@ -93,6 +96,12 @@ def attempt_outcomes(attempts: DataFrame) -> DataFrame:
         classed.withColumn("n_records", F.when(F.col("outcome") == "success", F.col("n_records")).otherwise(0))
         .withColumn("wait_seconds", backoff_seconds(F.col("attempt")))
         .withColumn("stops", stops)
+        .withColumn(
+            "preview",
+            F.when(F.col("outcome") == "parse_error", F.substring(body, 1, 100)).when(
+                F.col("outcome").isin("server_error", "empty"), F.substring(body, 1, 120)
+            ),
+        )
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordlake.functions.jsontext import parsed_json
 from recordlake.functions.text import contains_any, snippet, strip_ws
 
+# --- fixed value: script blocks that hold JSON ---------------------------------------
 JSON_SCRIPT = r"""(?s)<script[^>]*type=["']application/json["'][^>]*>(.*?)</script>"""
 
 # Elements without child elements: raw-text ones (groups 1, 2), then plain ones (3, 4).

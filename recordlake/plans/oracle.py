@@ -117,7 +117,10 @@ ATTEMPTS = """
   SELECT conv_id AS batch_idx, turn AS attempt,
     CASE WHEN role = 'system' THEN 'network_error' WHEN role = 'user' THEN 'server_error'
       WHEN contains(text, chr(10)) THEN 'success' WHEN contains(text, ',') THEN 'empty'
-      ELSE 'parse_error' END AS outcome
+      ELSE 'parse_error' END AS outcome,
+    CASE WHEN role = 'user' THEN text[1:120]
+      WHEN role = 'assistant' AND NOT contains(text, chr(10)) AND contains(text, ',') THEN '{"items":[]}'
+      WHEN role = 'assistant' AND NOT contains(text, chr(10)) THEN text[1:100] END AS preview
   FROM conversations"""
 
 BATCHES = f"""
@@ -276,7 +279,7 @@ ORACLE: dict[str, str] = {
     "attempt_outcomes": f"""
       SELECT batch_idx, attempt, outcome, (outcome = 'success')::INT AS n_records,
         CASE WHEN attempt > 0 THEN 2.0::DOUBLE * pow(2, attempt - 1) ELSE 0.0::DOUBLE END AS wait_seconds,
-        outcome IN ('success', 'empty') AS stops
+        outcome IN ('success', 'empty') AS stops, preview
       FROM ({ATTEMPTS})""",
     "batch_status": f"""
       SELECT batch_idx, coalesce(stop_with, 'FAILED') AS final_status,
@@ -287,6 +290,9 @@ ORACLE: dict[str, str] = {
     "lost_ids": f"""
       SELECT conv_id AS batch_idx, conv_id || '-' || turn AS id FROM conversations
       WHERE conv_id IN (SELECT batch_idx FROM ({BATCHES}) WHERE stop_with IS NULL)""",
+    "failed_ids_file": f"""
+      SELECT conv_id AS batch_idx, conv_id || '-' || turn AS id FROM conversations
+      WHERE conv_id IN (SELECT batch_idx FROM ({BATCHES}) WHERE stop_with IS NULL)""",
     "coverage": """
       SELECT c_custkey AS id, count(o_custkey) AS n_returned
       FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""",
@@ -309,8 +315,8 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'key_latitude', 2 * n, 3 * n, n = 0 FROM n
       UNION ALL SELECT 'n_entries', 3 * n, 3000, 3 * n > 3000 FROM n""",
     "combined_configs": """
-      SELECT '221' AS config_id, c_custkey AS id, c_mktsegment AS segment, NULL AS name FROM customer
-      UNION ALL SELECT '456', s_suppkey, NULL, s_name FROM supplier""",
+      SELECT 'customers' AS config_id, c_custkey AS id, c_mktsegment AS segment, NULL AS name FROM customer
+      UNION ALL SELECT 'suppliers', s_suppkey, NULL, s_name FROM supplier""",
     "link_extract": f"""
       SELECT page_id, unnest(range(len(m))) AS pos, unnest(m) AS match
       FROM (SELECT page_id, {HREFS} AS m FROM pages)""",

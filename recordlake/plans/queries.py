@@ -223,7 +223,7 @@ def batch_id_lists(spark, sf_dir):
 
 def attempt_outcomes(spark, sf_dir):
     return audit.attempt_outcomes(derive.attempts(spark, sf_dir)).select(
-        "batch_idx", "attempt", "outcome", "n_records", "wait_seconds", "stops"
+        "batch_idx", "attempt", "outcome", "n_records", "wait_seconds", "stops", "preview"
     )
 
 
@@ -239,6 +239,12 @@ def lost_ids(spark, sf_dir):
     return audit.lost_ids(plan, status)
 
 
+def failed_ids_file(spark, sf_dir):
+    path = scratch_path(spark, "failed-ids")
+    sinks.write_failed_ids(lost_ids(spark, sf_dir), path)
+    return spark.read.schema("batch_idx bigint, id string").json(path)
+
+
 def _customer_ids(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
 
@@ -302,8 +308,8 @@ def combined_configs(spark, sf_dir):
     supplier = table(spark, sf_dir, "supplier")
     both = combine_configs(
         {
-            "221": customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment")),
-            "456": supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")),
+            "customers": customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment")),
+            "suppliers": supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")),
         }
     )
     return both.select("config_id", "id", "segment", "name")
@@ -548,9 +554,8 @@ def stream_records(spark, sf_dir):
 def stream_dedupe(spark, sf_dir):
     out, state = scratch_path(spark, "seen"), scratch_path(spark, "seen-state")
     schema = table(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    # A pattern, because the table may be one file or a folder of files.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/event?.parquet")
     rows = events.select("event_id", "user_id", "event_type")
     key = F.concat_ws("||", "user_id", "event_type")
     unique = ingest.drop_seen(rows, key, F.col("event_id")).select("user_id", "event_type")
@@ -565,7 +570,7 @@ QUERIES: dict[str, Query] = {
         joined_types, program_levels, free_form_arrays, malformed_records, drop_empty_columns,
         dedupe_first, ingest_documents, fill_rates, quality_summary, coordinate_ranges, duplicate_ids,
         country_counts, country_totals, type_counts, type_counts_from_arrays, sample_rows,
-        batch_plan, batch_id_lists, attempt_outcomes, batch_status, lost_ids, coverage,
+        batch_plan, batch_id_lists, attempt_outcomes, batch_status, lost_ids, failed_ids_file, coverage,
         coverage_gap, lookup_details, listing_locations, broken_listings, listing_contract,
         combined_configs, link_extract, link_counts, distinct_paths, paths_per_page,
         embedded_json, keyword_context, keyword_context_documents, known_id_search,

@@ -77,7 +77,7 @@ def run_batch(
     """
     raw = read_raw(spark, raw_path)
     if backup:
-        sinks.write_raw(raw, sinks.run_path(out_dir, "raw_responses", run_ts))
+        sinks.write_raw(raw, sinks.run_path(out_dir, "raw", run_ts))
     parsed, unique = Observation("parsed"), Observation("unique")
     flat = flatten_records(explode_records(raw, ARRIVAL), ORDER)
     flat = flat.observe(parsed, F.count(F.lit(1)).alias("n"))
@@ -95,7 +95,7 @@ def run_batch(
     columns = [c for c in OUTPUT_COLUMNS if counted[c] or not drop_empty]
     table = ordered.select(*columns)
     for fmt in formats:
-        path = sinks.run_path(out_dir, f"distributors_{fmt}", run_ts)
+        path = sinks.run_path(out_dir, f"export_{fmt}", run_ts)
         if fmt == "csv":
             sinks.export_csv(ordered.select(*ORDER, *table.columns), path, ORDER)
         else:

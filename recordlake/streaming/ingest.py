@@ -46,11 +46,16 @@ def drop_seen(
 
 
 def stream_records(raw: DataFrame, spread: int = DEFAULT_SPREAD) -> DataFrame:
-    """Unique flat records of a raw line stream (columns value, file_path, block_start)."""
+    """Unique flat records of a raw line stream (columns value, file_path, block_start).
+
+    Each batch reports the records parsed and the new ones as observed metrics.
+    """
     keep = ["file_path", "block_start"]
     flat = flatten_records(explode_records(raw, keep), [*keep, "pos"])
+    flat = flat.observe("parsed", F.count(F.lit(1)).alias("n"))
     place = F.struct("file_path", "block_start", "pos")
-    return drop_seen(flat, fingerprint(), place, spread).select(*OUTPUT_COLUMNS)
+    unique = drop_seen(flat, fingerprint(), place, spread).select(*OUTPUT_COLUMNS)
+    return unique.observe("unique", F.count(F.lit(1)).alias("n"))
 
 
 def drain(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:

@@ -35,31 +35,34 @@ def lines(spark):
 
 
 FULL_RECORD = {
-    "id": 12345, "companyName": "ACME Corp", "city": "Paris", "country": "France", "countryId": "FR",
-    "address1": "1 Rue de Rivoli", "address2": None, "zipCode": "75001",
-    "latitude": 48.8566, "longitude": 2.3522,
-    "webSite": "https://acme.fr", "webSite2": None, "logoUrl": None,
-    "accountBfoId": "BFO-001", "idGroup": "G1",
-    "administrativeRegion": "Ile-de-France", "stateId": None,
-    "emailExists": True, "phoneExists": False, "openingHoursType": "standard",
-    "eshop": False, "productCount": 10,
+    "accountBfoId": "K-77", "id": 9081, "idGroup": "north", "country": "Norge",
+    "companyName": "Fjord Elektro AS", "address1": "Kaigata 12", "address2": None,
+    "zipCode": "0150", "city": "Oslo", "webSite": "https://fjord.example", "webSite2": None,
+    "countryId": "NO", "latitude": 59.9139, "longitude": 10.7522,
+    "administrativeRegion": "Viken", "stateId": None, "emailExists": False, "phoneExists": True,
+    "openingHoursType": "weekdays", "eshop": True, "productCount": 3, "logoUrl": None,
     "partnerDetails": {
-        "firstName": "Jean", "lastName": "Dupont", "about": "Authorized distributor",
-        "partnerContact": {"email": "jean@acme.fr", "phone": "+33 1 23 45 67 89"},
+        "about": "Switchgear since 1981",
+        "firstName": "Kari", "lastName": "Nordmann",
+        "partnerContact": {"phone": "+47 22 00 00 00", "email": "post@fjord.example"},
         "descriptions": [
-            {"description": "Main description", "isDefault": True},
-            {"description": "Alt description", "isDefault": False},
+            {"isDefault": False, "description": "Short text"},
+            {"isDefault": True, "description": "Panels and drives"},
+            {"isDefault": True, "description": "Never shown"},
         ],
     },
     "businessType": [
-        {"code": "DIST", "name": "Distributor"}, {"code": "INT", "name": "Integrator"},
+        {"name": "Panel builder", "code": "PB"},
+        {"name": "Wholesale", "code": "WS"},
+        {"name": "Service", "code": None},
     ],
     "programLevels": [
-        {"logoUrl": "https://logo.png", "globalProgramLevelId": "GOLD", "displayRank": 1,
-         "b2cAvailable": True},
+        {"globalProgramLevelId": "TIER2", "displayRank": 4, "b2cAvailable": False,
+         "logoUrl": "https://fjord.example/t2.svg"},
+        {"globalProgramLevelId": "TIER3", "displayRank": 5},
     ],
-    "openingHours": [], "preferredMarketServe": [], "competence": [], "areaOfFocus": [],
-    "customReference": [],
+    "competence": [], "areaOfFocus": [], "openingHours": [], "customReference": [],
+    "preferredMarketServe": [],
 }
 
 

@@ -43,7 +43,7 @@ def test_empty_plan(spark):
 
 
 def test_outcomes_retries_and_lost_ids(spark):
-    ok, fail = json.dumps([{"id": 1}]), '{"code": "RUNTIME_EXCEPTION"}'
+    ok, fail = json.dumps([{"id": 1}]), '{"code": "E17"}'
     rows = [
         (0, 0, 500, fail, None), (0, 1, 500, fail, None), (0, 2, 200, ok, None),
         *[(1, a, 500, "", None) for a in range(4)],

@@ -21,8 +21,8 @@ from tests.test_records import random_body
 def raw_lines():
     rng = random.Random(4)
     bodies = [random_body(rng) for _ in range(150)]
-    bodies += [[{"id": 1, "companyName": "Alpha", "city": "Paris", "country": "France"}] * 2]
-    bodies += [[{"id": 2, "companyName": "Beta", "city": "London", "country": "UK"}]]
+    bodies += [[{"id": 7, "companyName": "Kran", "city": "Oslo", "country": "Norge"}] * 2]
+    bodies += [[{"id": 8, "companyName": "Hjul", "city": "Bergen", "country": "Norge"}]]
     return [json.dumps({"url": "u", "body": b}, ensure_ascii=False) for b in bodies]
 
 
@@ -63,9 +63,9 @@ def test_batch_run_end_to_end(spark, raw_dir, raw_lines, expected, tmp_path):
     assert as_rows(result.table) == want
 
     # The backup holds the lines as they came, the export is one CSV in arrival order.
-    backup = spark.read.text(sinks.run_path(out, "raw_responses", "20240101_000000"))
+    backup = spark.read.text(sinks.run_path(out, "raw", "20240101_000000"))
     assert sorted(r.value for r in backup.collect()) == sorted(raw_lines)
-    parts = sinks.run_path(out, "distributors_csv", "20240101_000000")
+    parts = sinks.run_path(out, "export_csv", "20240101_000000")
     text = b"".join(
         open(p, "rb").read()
         for folder in ("header", "rows")
@@ -89,18 +89,21 @@ def test_a_run_without_records_writes_no_export(spark, tmp_path):
     (tmp_path / "in" / "a.jsonl").write_text('{"url":"u","body":[]}\n{"body":{"code":"E"}}\n')
     result = run.run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), "s")
     assert (result.parsed, result.unique, result.table, result.reports) == (0, 0, None, {})
-    assert not glob.glob(str(tmp_path / "out" / "distributors*"))
+    assert not glob.glob(str(tmp_path / "out" / "export*"))
 
 
 def test_stream_gives_the_same_identities_and_resumes(spark, raw_dir, raw_lines, expected, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     half = len(raw_lines) // 2
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    out, state, new = str(tmp_path / "out"), str(tmp_path / "state"), []
 
     def drain():
-        for query in ingest.run_stream(spark, str(source), out, state, backup=True):
+        queries = ingest.run_stream(spark, str(source), out, state, backup=True)
+        for query in queries:
             query.awaitTermination()
+        progress = [p for p in queries[0].recentProgress if "unique" in p.observedMetrics]
+        new.append(sum(p.observedMetrics["unique"].n for p in progress))
         return as_rows(spark.read.parquet(f"{out}/records"))
 
     (source / "a.jsonl").write_text("\n".join(raw_lines[:half]), encoding="utf-8")
@@ -108,7 +111,7 @@ def test_stream_gives_the_same_identities_and_resumes(spark, raw_dir, raw_lines,
     (source / "b.jsonl").write_text("\n".join(raw_lines), encoding="utf-8")
     got = drain()
     assert got.keys() == expected.keys()
-    assert spark.read.parquet(f"{out}/records").count() == len(expected)
+    assert spark.read.parquet(f"{out}/records").count() == len(expected) == sum(new)
     assert spark.read.text(f"{out}/raw").count() == half + len(raw_lines)
 
 
@@ -145,8 +148,8 @@ def test_json_by_country_and_failed_ids(spark, tmp_path):
 def test_configs_combine_with_missing_columns(spark):
     a = spark.createDataFrame([(1, "x")], "id int, a string")
     b = spark.createDataFrame([(2, "y")], "id int, b string")
-    got = run.combine_configs({"221": a, "456": b}).orderBy("id").collect()
-    assert [(r.config_id, r.id, r.a, r.b) for r in got] == [("221", 1, "x", None), ("456", 2, None, "y")]
+    got = run.combine_configs({"north": a, "south": b}).orderBy("id").collect()
+    assert [(r.config_id, r.id, r.a, r.b) for r in got] == [("north", 1, "x", None), ("south", 2, None, "y")]
 
 
 def test_pages_and_traffic_files(spark, tmp_path):
