@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from recordlake.functions.text import strip_ws
+from recordlake.functions.text import let, strip_ws
 
 # Falsy JSON literals other than null and blank text, as they start in compact JSON. The
 # same text inside quotes is truthy.
@@ -42,6 +42,12 @@ def is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
+def is_container(v: Column) -> Column:
+    """True for lists and objects."""
+    start = F.substring(F.schema_of_variant(v), 1, 5)
+    return F.coalesce(start.isin("ARRAY", "OBJEC"), F.lit(False))
+
+
 def is_truthy(v: Column) -> Column:
     """False for SQL null, JSON null, false, zero, blank text and empty containers."""
     text = F.to_json(v)
@@ -65,23 +71,27 @@ def has_falsy_literal(text: Column, field: str) -> Column:
 def joined_items(text: Column) -> Column:
     """Each item of a JSON array as JSON text, joined by ``"; "``; blank if no array.
 
-    Lists of containers need no type check. Otherwise a text item could be a word or a
+    Lists of objects need no type check. Otherwise a text item could be a word or a
     literal, and variants tell which one has to be quoted.
     """
-    texts = F.from_json(text, "array<string>")
     types = F.from_json(text, "array<variant>")
-    containers = F.transform(texts, spaced_json)
-    mixed = F.zip_with(
-        texts,
-        types,
-        lambda t, v: F.when(t.isNull(), "null")
-        .when(F.schema_of_variant(v) == "STRING", F.to_json(v))
-        .otherwise(spaced_json(t)),
-    )
-    in_doubt = F.exists(texts, lambda t: ~F.coalesce(t.startswith("{"), F.lit(False)))
-    for start in ('["{', ',"{'):
-        in_doubt = in_doubt | F.contains(text, F.lit(start))
-    opened = F.array_join(F.when(in_doubt, mixed).otherwise(containers), "; ")
+    worded = F.contains(text, F.lit('["{')) | F.contains(text, F.lit(',"{'))
+
+    def as_literal(t: Column, v: Column) -> Column:
+        return (
+            F.when(t.isNull(), "null")
+            .when(t.startswith("{") & ~worded, spaced_json(t))
+            .when(F.schema_of_variant(v) == "STRING", F.to_json(v))
+            .when(t.startswith("{") | t.startswith("["), spaced_json(t))
+            .otherwise(t)
+        )
+
+    def rendered(texts: Column) -> Column:
+        other = F.exists(texts, lambda t: ~F.coalesce(t.startswith("{"), F.lit(False)))
+        mixed = F.zip_with(texts, types, as_literal)
+        return F.when(other | worded, mixed).otherwise(F.transform(texts, spaced_json))
+
+    opened = F.array_join(let(F.from_json(text, "array<string>"), rendered), "; ")
     return F.when(text.isNull() | (text == "[]"), "").otherwise(F.coalesce(opened, F.lit("")))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import is_json, is_object, parsed_json, variant_kind
+from recordlake.functions.jsontext import is_container, is_json, is_object, parsed_json, variant_kind
 
 # --- fixed values: keys whose presence marks a totals or id-list object ------------
 TOTAL_KEYS = ["total", "totalCount", "count"]
@@ -49,13 +49,13 @@ def named_arrays(
     for _ in range(depth):
         opened = _entries(rows, "node", [*keep, "path", "items"])
         is_open = F.col("entry").isNotNull()
-        container = variant_kind(F.col("entry")).isin("ARRAY", "OBJECT")
+        opened = opened.where(is_container(F.col("entry")) | F.col("items").isNotNull())
         path = F.when(is_open, F.concat_ws(".", "path", "step")).otherwise(F.col("path"))
         found = F.when(F.col("step") == name, F.try_variant_get("entry", "$", "array<variant>"))
         states = F.array(
             F.struct(
                 path.alias("path"),
-                F.when(container, F.col("entry")).alias("node"),
+                F.col("entry").alias("node"),
                 no_items.alias("items"),
             ),
             F.struct(
