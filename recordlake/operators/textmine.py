@@ -128,16 +128,17 @@ def known_id_hits(
     text_key: str,
     text: str,
     id_column: str,
-    lengths: Sequence[int],
+    lengths: Sequence[int] = range(1, 20),
     before: int = 50,
     after: int = 100,
 ) -> DataFrame:
     """Digit-only ids found anywhere in a text, with the surroundings of the first place.
 
     An id can only sit inside a run of digits. Each text therefore offers the pieces of
-    its digit runs that have one of the id ``lengths``, and an equality join picks the
-    known ones: the work grows with the text, not with texts times ids. The pairs are
-    merged with the texts, never broadcast: size estimates ignore the explode.
+    its digit runs that have one of the id ``lengths`` (by default those of all 64-bit
+    ids), and an equality join picks the known ones: the work grows with the text, not
+    with texts times ids. The pairs are merged with the texts, never broadcast: size
+    estimates ignore the explode.
     """
 
     def pieces(run: Column) -> Column:

@@ -159,7 +159,7 @@ def keyword_hits(table, key, text, keywords, before, after, cap, most) -> str:
     )
     limit = f"QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY keyword_pos) <= {most}" if most else ""
     return f"""
-    SELECT {key}, keyword_pos, keyword, p - 1 AS "at",
+    SELECT {key}, keyword_pos, keyword, (p - 1)::INT AS "at",
       substring(t, greatest(1, p - {before}), least(p + {after} - greatest(1, p - {before}), {cap})) AS snippet
     FROM ({parts}) WHERE p > 0 {limit}"""
 
@@ -284,7 +284,7 @@ ORACLE: dict[str, str] = {
     "batch_status": f"""
       SELECT batch_idx, coalesce(stop_with, 'FAILED') AS final_status,
         coalesce(stop_at, last_at) + 1 AS attempts_made,
-        (coalesce(stop_with, '') = 'success')::INT AS n_records,
+        (coalesce(stop_with, '') = 'success')::BIGINT AS n_records,
         2.0::DOUBLE * (pow(2, coalesce(stop_at, last_at)) - 1) AS wait_seconds
       FROM ({BATCHES})""",
     "lost_ids": f"""
@@ -318,10 +318,10 @@ ORACLE: dict[str, str] = {
       SELECT 'customers' AS config_id, c_custkey AS id, c_mktsegment AS segment, NULL AS name FROM customer
       UNION ALL SELECT 'suppliers', s_suppkey, NULL, s_name FROM supplier""",
     "link_extract": f"""
-      SELECT page_id, unnest(range(len(m))) AS pos, unnest(m) AS match
+      SELECT page_id, unnest(range(len(m)))::INT AS pos, unnest(m) AS match
       FROM (SELECT page_id, {HREFS} AS m FROM pages)""",
     "link_counts": f"""
-      SELECT page_id, len(m) AS n_matches, {joined('m[1:10]')} AS sample
+      SELECT page_id, len(m)::INT AS n_matches, {joined('m[1:10]')} AS sample
       FROM (SELECT page_id, {HREFS} AS m FROM pages)""",
     "distinct_paths": f"""
       SELECT DISTINCT match FROM (SELECT unnest({HREFS}) AS match FROM pages)
@@ -337,7 +337,7 @@ ORACLE: dict[str, str] = {
         "documents", "doc_id", "text", TEXT_KEYWORDS, 100, 200, 200, None
     ),
     "known_id_search": """
-      SELECT doc_id, known_id, p - 1 AS "at",
+      SELECT doc_id, known_id, (p - 1)::INT AS "at",
         substring(text, greatest(1, p - 50), p + 100 - greatest(1, p - 50)) AS snippet
       FROM (SELECT doc_id, text, s_suppkey::VARCHAR AS known_id,
               strpos(text, s_suppkey::VARCHAR) AS p
@@ -347,7 +347,7 @@ ORACLE: dict[str, str] = {
       texts AS (SELECT page_id, [{LEAF_TEXT} FOR m IN ms IF {OPEN_NAME} = {CLOSE_NAME}] AS ts FROM leaves),
       wanted AS (SELECT page_id,
         [t FOR t IN ts IF regexp_matches(t, '[0-9]{{3,4}}') AND length(t) < 50][1:20] AS w FROM texts)
-      SELECT page_id, unnest(range(len(w))) AS pos, unnest(w) AS leaf_text FROM wanted""",
+      SELECT page_id, unnest(range(len(w)))::INT AS pos, unnest(w) AS leaf_text FROM wanted""",
     "url_parts": """
       SELECT page_id, split_part(url, '?', 2) AS query,
         string_split(url, '/')[-1] AS base_name,
@@ -386,14 +386,14 @@ ORACLE: dict[str, str] = {
     "id_marks": """
       SELECT event_id, event_type = 'purchase' AS has_marks FROM events""",
     "nested_id_paths": f"""
-      SELECT vec_id, unnest(['$.store.deep.ids', '$.store.list.0.ids']) AS path, len(v) AS n_items,
+      SELECT vec_id, unnest(['$.store.deep.ids', '$.store.list.0.ids']) AS path, len(v)::INT AS n_items,
         {joined('v[1:5]')} AS sample
       FROM ({VECTORS}) WHERE len(v) > 10""",
     "id_list_keys": f"""
-      SELECT vec_id, 'vals' AS key, len(v) AS n_items, {joined('v[1:5]')} AS sample
+      SELECT vec_id, 'vals' AS key, len(v)::INT AS n_items, {joined('v[1:5]')} AS sample
       FROM ({VECTORS}) WHERE len(v) > 50""",
     "country_key_arrays": f"""
-      SELECT vec_id, 'store.Countries' AS path, len(v) AS n_items, {joined('v[1:5]')} AS sample
+      SELECT vec_id, 'store.Countries' AS path, len(v)::INT AS n_items, {joined('v[1:5]')} AS sample
       FROM ({VECTORS}) WHERE len(v) > 10""",
     "distinct_last": """
       SELECT user_id, min(event_id) AS first_pos, arg_max(event_type, event_id) AS event_type,
@@ -402,7 +402,7 @@ ORACLE: dict[str, str] = {
     "ordered_distinct": f"""
       WITH l AS (SELECT doc_id, {LINES} AS l FROM documents),
       d AS (SELECT doc_id, [x FOR x, i IN l IF list_position(l, x) = i] AS d FROM l)
-      SELECT doc_id, len(d) AS n_lines, array_to_string(d, chr(10)) AS lines FROM d""",
+      SELECT doc_id, len(d)::INT AS n_lines, array_to_string(d, chr(10)) AS lines FROM d""",
     "snapshot_delta": """
       SELECT c_custkey AS id,
         CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'new' WHEN 'BUILDING' THEN 'removed'

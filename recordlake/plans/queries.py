@@ -367,7 +367,7 @@ def keyword_context_documents(spark, sf_dir):
 def known_id_search(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = table(spark, sf_dir, "supplier")
-    return textmine.known_id_hits(docs, ids, "doc_id", "text", "s_suppkey", range(1, 20))
+    return textmine.known_id_hits(docs, ids, "doc_id", "text", "s_suppkey")
 
 
 def numeric_leaf_texts(spark, sf_dir):
