@@ -4,10 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordlake.llm import bpe, tokencount
+from recordlake.llm import bpe, language, quality, rules, tokencount
 from recordlake.llm.store import table
 
 
+def op2_language(spark, sf_dir):
+    """The language of every document, by error-correcting output codes."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
+def op6_quality(spark, sf_dir):
+    """The quality score of every document, by hashed word n-grams."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_rules(spark, sf_dir):
+    """Rule statistics and verdicts of every document."""
+    return rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark, sf_dir):
     """Whole documents to token ids and back, as digests."""
     done = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents")))
@@ -29,6 +46,9 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_language": op2_language,
+    "op6_quality": op6_quality,
+    "op7_rules": op7_rules,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
 }
