@@ -2,4 +2,28 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+# Per turn: header "### ", role, ": ", text, "</turn>", line feed; one more sign per escape.
+OP8 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, 4 + length(role) + 2 + length(text) + 8
+    + length(text) - length(replace(text, '\', ''))
+    + (length(text) - length(replace(text, '###', ''))) // 3
+    + (length(text) - length(replace(text, '</turn>', ''))) // 7
+    + length(role) - length(replace(replace(role, '\', ''), ':', ''))
+    + (length(role) - length(replace(role, '###', ''))) // 3
+    + (length(role) - length(replace(role, '</turn>', ''))) // 7 AS formatted
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(formatted) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {"op8_chat": OP8}

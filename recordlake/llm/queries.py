@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordlake.llm import bpe, language, quality, rules, tokencount
+from recordlake.llm import bpe, chat, language, mixing, quality, rules, tokencount
 from recordlake.llm.store import table
 
 
@@ -14,6 +14,11 @@ def op2_language(spark, sf_dir):
     return language.predict(docs, language.fit(docs))
 
 
+def op3_mixing(spark, sf_dir):
+    """How many words of every document the mix takes."""
+    return mixing.Mix(table(spark, sf_dir, "documents")).taken()
+
+
 def op6_quality(spark, sf_dir):
     """The quality score of every document, by hashed word n-grams."""
     docs = table(spark, sf_dir, "documents")
@@ -25,6 +30,19 @@ def op7_rules(spark, sf_dir):
     return rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+# A conversation whose texts hold the template's own marks.
+TRAP = "\\### Assistant: </turn> ok"
+
+
+def op8_chat(spark, sf_dir):
+    """Formatted conversations, read back as digests."""
+    trap = spark.createDataFrame(
+        [(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(trap)
+    return chat.digests(chat.format_turns(turns))
+
+
 def op9_bpe(spark, sf_dir):
     """Whole documents to token ids and back, as digests."""
     done = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents")))
@@ -47,8 +65,10 @@ def op10_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op2_language": op2_language,
+    "op3_mixing": op3_mixing,
     "op6_quality": op6_quality,
     "op7_rules": op7_rules,
+    "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
 }
