@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordlake.llm import bpe, chat, language, mixing, quality, rules, tokencount
+from recordlake.llm import bpe, chat, language, mixing, pivots, quality, rules, tokencount
 from recordlake.llm.store import table
 
 
+def op1_embeddings(spark, sf_dir):
+    """Near-duplicate embeddings of the same label."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_language(spark, sf_dir):
     """The language of every document, by error-correcting output codes."""
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +69,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_embeddings": op1_embeddings,
     "op2_language": op2_language,
     "op3_mixing": op3_mixing,
     "op6_quality": op6_quality,
