@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordlake.llm import bpe, chat, language, mixing, pivots, quality, rules, tokencount
+from recordlake.llm import bpe, chat, forest, language, mixing, pivots, quality, rules, tokencount
 from recordlake.llm.store import table
 
 
@@ -24,6 +24,11 @@ def op3_mixing(spark, sf_dir):
     return mixing.Mix(table(spark, sf_dir, "documents")).taken()
 
 
+def op4_minhash(spark, sf_dir):
+    """Near-duplicate documents by shingle sets."""
+    return forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark, sf_dir):
     """The quality score of every document, by hashed word n-grams."""
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +77,7 @@ QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_language": op2_language,
     "op3_mixing": op3_mixing,
+    "op4_minhash": op4_minhash,
     "op6_quality": op6_quality,
     "op7_rules": op7_rules,
     "op8_chat": op8_chat,
