@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordlake.llm import bpe, chat, forest, language, mixing, pivots, quality, rules, tokencount
+from recordlake.llm import bpe, chat, forest, language, mixing, pivots, quality, rules, suffixes, tokencount
 from recordlake.llm.store import table
 
 
@@ -29,6 +29,11 @@ def op4_minhash(spark, sf_dir):
     return forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffixes(spark, sf_dir):
+    """Repeated passages of 100 bytes taken out of all documents, as digests."""
+    return suffixes.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark, sf_dir):
     """The quality score of every document, by hashed word n-grams."""
     docs = table(spark, sf_dir, "documents")
@@ -78,6 +83,7 @@ QUERIES = {
     "op2_language": op2_language,
     "op3_mixing": op3_mixing,
     "op4_minhash": op4_minhash,
+    "op5_suffixes": op5_suffixes,
     "op6_quality": op6_quality,
     "op7_rules": op7_rules,
     "op8_chat": op8_chat,
