@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from recordlake.llm import bytesets as bs
 from recordlake.llm.bpe import _type
 from recordlake.llm.components import components
-from recordlake.llm.store import release, stored
+from recordlake.llm.store import release, small, stored
 
 TREES, DEPTH, MIN_DEPTH = 14, 6, 4
 # Pairs whose signatures agree less than this many of TREES * DEPTH times are not confirmed:
@@ -267,7 +267,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     signed = stored(signatures(docs, size), "signed")
     reps = stored(classes(signed), "classes")
     forest = stored(regions(reps), "forest")
-    near = forest.select("rep").distinct()
+    near = small(forest.select("rep").distinct())
     texts = stored(
         docs.select("doc_id", "text").join(near, F.col("doc_id") == F.col("rep"), "left_semi"), "forest-texts"
     )
@@ -293,6 +293,16 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     return _result(signed, reps, parts)
 
 
+def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the documents whose group has a smaller id, columns as they are.
+
+    Rows with the same id stay or go together; rows with a null id stay.
+    """
+    gone = near_duplicates(docs, size, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = small(stored(gone, "near-copies"))
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
 def _result(signed: DataFrame, reps: DataFrame, parts: DataFrame) -> DataFrame:
     named = reps.join(parts, reps["rep"] == parts["id"], "left").select(
         F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.col("n_shingles").alias("_n"),

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,4 +49,9 @@ def bounded(df: DataFrame, key: str, bound: int, seed: int = 7) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(bound)
 
 
-Batches = Callable[..., object]
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A narrow table, marked for broadcast if it is counted to have at most ``rows`` rows.
+
+    Larger ones are joined by a shuffle.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
