@@ -9,6 +9,8 @@ import time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from recordlake.operators.flatten import flatten_records
+from recordlake.operators.unwrap import explode_records
 from recordlake.plans import derive
 from recordlake.plans.queries import QUERIES
 from recordlake.plans.run import run_batch
@@ -53,6 +55,15 @@ def write_envelopes(spark: SparkSession, sf_dir: str, path: str) -> int:
     return spark.read.text(path).select(F.sum(F.octet_length("value"))).first()[0]
 
 
+def write_many_lines(spark: SparkSession, sf_dir: str, path: str, least: int = 120_000) -> int:
+    """Customer lines, repeated until there are enough of them, in eight files."""
+    lines = derive.customer_lines(spark, sf_dir).select("value")
+    times = max(1, -(-least // lines.count()))
+    copies = lines.select(F.explode(F.array_repeat("value", times)).alias("value"))
+    copies.repartition(8).write.text(path)
+    return spark.read.text(path).count()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -69,6 +80,13 @@ def main() -> None:
         lambda: done.update(r=run_batch(spark, f"{work}/in", f"{work}/out", "bench"))
     )
     parsed = done["r"].parsed
+    n_lines = write_many_lines(spark, sf_dir, f"{work}/lines")
+
+    def flatten_lines():
+        flat = flatten_records(explode_records(spark.read.text(f"{work}/lines")))
+        flat.write.format("noop").mode("overwrite").save()
+
+    raw_lines = [timed(flatten_lines) for _ in range(3)]
     print(
         json.dumps(
             {
@@ -83,6 +101,13 @@ def main() -> None:
                     "raw_bytes": size,
                     "records_per_sec": round(parsed / times["complete_run"], 1),
                 },
+                "raw_lines": {
+                    "lines": n_lines,
+                    "first_sec": raw_lines[0],
+                    "second_sec": raw_lines[1],
+                    "third_sec": raw_lines[2],
+                    "lines_per_sec_per_core": round(n_lines / min(raw_lines[1:]) / int(cpus), 1),
+                },
             }
         )
     )

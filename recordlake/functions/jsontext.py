@@ -1,152 +1,37 @@
-"""JSON text rules. Variants decide the type of a value, JSON text carries its content."""
+"""Rules for the nested parts of a record, over typed text (see ``typed``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from recordlake.functions.text import let, strip_ws
+from recordlake.functions.text import strip_ws
+from recordlake.functions.typed import is_truthy, text_of
 
-# Falsy JSON literals other than null and blank text, as they start in compact JSON. The
-# same text inside quotes is truthy.
-FALSY_LITERALS = ["false", "0", "-0", "[]", "{}"]
-FALSY_TEXTS = ["false", "0", "-0", "0.0", "-0.0", "[]", "{}"]
 
-# Everything up to and including the next separator that is not inside a string.
-_UP_TO_SEPARATOR = r'\G((?:[^",:]++|"(?:[^"\\]++|\\.)*+")*+[,:])'
-
-
-def is_json(text: Column) -> Column:
-    """True for exactly one complete JSON value.
-
-    Spark's JSON functions ignore what follows the first value. Inside brackets trailing
-    text shows up as further items or an error, unless it closes the bracket first, and
-    the same text cannot close both a list and an object.
-    """
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    closed = F.json_object_keys(F.concat(F.lit('{"x":'), text, F.lit("}"))).isNotNull()
-    return F.coalesce(alone & closed, F.lit(False))
-
-
-def parsed_json(text: Column) -> Column:
-    """The variant of a complete JSON value, else null."""
-    return F.when(is_json(text), F.try_parse_json(text))
-
-
-def variant_kind(v: Column) -> Column:
-    """OBJECT, ARRAY, STRING, BOOLEAN, BIGINT, DECIMAL, DOUBLE or VOID (JSON null)."""
-    return F.regexp_extract(F.schema_of_variant(v), r"^[A-Z]+", 0)
-
-
-def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-
-
-def is_container(v: Column) -> Column:
-    """True for lists and objects."""
-    start = F.substring(F.schema_of_variant(v), 1, 5)
-    return F.coalesce(start.isin("ARRAY", "OBJEC"), F.lit(False))
-
-
-def is_truthy(v: Column) -> Column:
-    """False for SQL null, JSON null, false, zero, blank text and empty containers."""
-    text = F.to_json(v)
-    falsy = text.isin(*FALSY_TEXTS, "null", '""') | F.is_variant_null(v)
-    return F.coalesce(v.isNotNull() & ~falsy, F.lit(False))
-
-
-def spaced_json(c: Column) -> Column:
-    """Compact JSON text with one space after each comma and colon outside strings."""
-    return F.regexp_replace(c, _UP_TO_SEPARATOR, "$1 ")
-
-
-def has_falsy_literal(text: Column, field: str) -> Column:
-    """True when the compact JSON may give ``field`` an unquoted falsy value."""
-    hit = F.lit(False)
-    for literal in FALSY_LITERALS:
-        hit = hit | F.contains(text, F.lit(f'"{field}":{literal}'))
-    return hit
-
-
-def joined_items(text: Column) -> Column:
-    """Each item of a JSON array as JSON text, joined by ``"; "``; blank if no array.
-
-    Lists of objects need no type check. Otherwise a text item could be a word or a
-    literal, and variants tell which one has to be quoted.
-    """
-    types = F.from_json(text, "array<variant>")
-    worded = F.contains(text, F.lit('["{')) | F.contains(text, F.lit(',"{'))
-
-    def as_literal(t: Column, v: Column) -> Column:
-        return (
-            F.when(t.isNull(), "null")
-            .when(t.startswith("{") & ~worded, spaced_json(t))
-            .when(F.schema_of_variant(v) == "STRING", F.to_json(v))
-            .when(t.startswith("{") | t.startswith("["), spaced_json(t))
-            .otherwise(t)
-        )
-
-    def rendered(texts: Column) -> Column:
-        other = F.exists(texts, lambda t: ~F.coalesce(t.startswith("{"), F.lit(False)))
-        mixed = F.zip_with(texts, types, as_literal)
-        return F.when(other | worded, mixed).otherwise(F.transform(texts, spaced_json))
-
-    opened = F.array_join(let(F.from_json(text, "array<string>"), rendered), "; ")
-    return F.when(text.isNull() | (text == "[]"), "").otherwise(F.coalesce(opened, F.lit("")))
-
-
-def may_need_strip(text: Column) -> Column:
-    """False when no string in the compact JSON can begin or end with white space."""
-    escaped_or_wide = F.contains(text, F.lit("\\")) | (F.octet_length(text) != F.length(text))
-    return F.contains(text, F.lit('" ')) | F.contains(text, F.lit(' "')) | escaped_or_wide
+def _all_plain(text: Column) -> Column:
+    """True when a list's text shows no mark, no container inside its objects, and no string
+    that could begin or end with white space: then its values are their own text."""
+    marked = F.contains(text, F.lit("\\"))
+    nested = F.contains(text, F.lit(":[")) | F.contains(text, F.lit(":{"))
+    padded = F.contains(text, F.lit('" ')) | F.contains(text, F.lit(' "'))
+    return ~(marked | nested | padded) & (F.octet_length(text) == F.length(text))
 
 
 def joined_field(items: Column, text: Column, field: str) -> Column:
     """Truthy values of one field over parsed items, stripped and joined by ``"; "``.
 
-    ``text`` is the JSON the items came from. It is opened again with types only when a
-    falsy literal may hide behind an item's text, and values are only stripped when the
-    text shows blanks next to quotes; the usual case stays free of lambdas.
+    ``text`` is the JSON the items came from; the usual case stays free of lambdas.
     """
     values = items[field]
-    typed = F.from_json(text, f"array<struct<{field}:variant>>")[field]
-    exact = F.filter(
-        F.zip_with(values, typed, lambda t, v: F.when(is_truthy(v), t)), lambda t: t.isNotNull()
-    )
-    filled = F.array_remove(values, "")
-    present = F.filter(filled, lambda t: t.isNotNull())
-    joined = (
-        F.when(has_falsy_literal(text, field), F.array_join(F.transform(exact, strip_ws), "; "))
-        .when(may_need_strip(text), F.array_join(F.transform(present, strip_ws), "; "))
-        .otherwise(F.array_join(filled, "; "))
+    exact = F.transform(F.filter(values, is_truthy), lambda t: strip_ws(text_of(t)))
+    joined = F.when(_all_plain(text), F.array_join(F.array_remove(values, ""), "; ")).otherwise(
+        F.array_join(exact, "; ")
     )
     return F.coalesce(joined, F.lit(""))
 
 
-def first_default(items: Column, text: Column) -> Column:
-    """First truthy description of an item whose isDefault is truthy; null if none.
-
-    As in ``joined_field`` the JSON is opened with types only when the items' text leaves
-    a doubt: an unquoted description that may be falsy, or a quoted isDefault.
-    """
-    typed = F.from_json(text, "array<struct<description:variant,isDefault:variant>>")
-    plain = F.filter(
-        items,
-        lambda d: (d["description"] != "") & ~d["isDefault"].isin("", *FALSY_TEXTS),
-    )
-    exact = F.filter(
-        F.zip_with(
-            items,
-            typed,
-            lambda d, v: F.when(is_truthy(v["description"]) & is_truthy(v["isDefault"]), d),
-        ),
-        lambda d: d.isNotNull(),
-    )
-    doubtful = has_falsy_literal(text, "description") | F.contains(text, F.lit('"isDefault":"'))
-    leading = F.get(items, F.lit(0))
-    kept = (
-        F.when(doubtful, F.get(exact, F.lit(0)))
-        .when((leading["isDefault"] == "true") & (leading["description"] != ""), leading)
-        .otherwise(F.get(plain, F.lit(0)))
-    )
-    return kept["description"]
+def first_default(items: Column) -> Column:
+    """First truthy description (typed text) of an item whose isDefault is truthy; null if none."""
+    wanted = F.filter(items, lambda d: is_truthy(d["description"]) & is_truthy(d["isDefault"]))
+    return F.get(wanted, F.lit(0))["description"]

@@ -17,10 +17,6 @@ CONTROL_CHARS = "".join(map(chr, [*range(0x20), 0x7F]))
 # A number literal with an optional exponent, or an infinity; "nan" is not a number here.
 NUMBER = r"(?i)^\s*[+-]?(?:inf|infinity|(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?)\s*$"
 
-# Double text as the JVM writes it outside [0.001, 10^7): one digit, fraction, exponent.
-JVM_EXPONENT = r"^-?\d\.\d+E-?\d+$"
-
-
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it any number of times in ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -35,15 +31,25 @@ def strip_ws(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def clean(c: Column) -> Column:
-    """Null becomes blank, each control character becomes one space, ends are stripped.
+def spaced(c: Column) -> Column:
+    """Null becomes blank, each control character becomes one space."""
+    text = blank_if_null(c)
+    swapped = F.translate(text, CONTROL_CHARS, " " * len(CONTROL_CHARS))
+    return F.when(text.rlike(r"[\x00-\x1f\x7f]"), swapped).otherwise(text)
 
-    Once control characters are spaces, pure ASCII text only needs the plain trim, which
-    works on bytes; the slower trim over a character set is left for other text.
+
+def stripped(c: Column) -> Column:
+    """White space removed at both ends of a text without control characters.
+
+    Pure ASCII text then only needs the plain trim, which works on bytes; the slower trim
+    over a character set is left for other text.
     """
-    spaced = F.translate(blank_if_null(c), CONTROL_CHARS, " " * len(CONTROL_CHARS))
-    is_ascii = F.octet_length(spaced) == F.length(spaced)
-    return F.when(is_ascii, F.trim(spaced)).otherwise(strip_ws(spaced))
+    return F.when(F.octet_length(c) == F.length(c), F.trim(c)).otherwise(strip_ws(c))
+
+
+def clean(c: Column) -> Column:
+    """Null becomes blank, each control character becomes one space, ends are stripped."""
+    return stripped(spaced(c))
 
 
 def is_filled(c: Column) -> Column:
@@ -56,24 +62,6 @@ def is_number(c: Column) -> Column:
     return blank_if_null(c).rlike(NUMBER)
 
 
-def plain_number(c: Column) -> Column:
-    """Rewrite JVM exponent text (``1.2E-4``) to plain text (``0.00012``).
-
-    Sizes from 0.0001 up to 10^16 become positional, others ``1.2e-05`` / ``1.2e+16``.
-    Texts in any other form pass through untouched.
-    """
-    size = F.abs(c.try_cast("double"))
-    digits = F.rtrim(c.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
-    positional = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    scientific = F.regexp_replace(c, r"(?:\.0)?E(\d+)$", r"e+$1")
-    scientific = F.regexp_replace(scientific, r"(?:\.0)?E-(\d\d+)$", r"e-$1")
-    scientific = F.regexp_replace(scientific, r"(?:\.0)?E-(\d)$", r"e-0$1")
-    return F.when(
-        F.contains(c, F.lit("E")) & c.rlike(JVM_EXPONENT),
-        F.when((size >= 1e-4) & (size < 1e16), positional).otherwise(scientific),
-    ).otherwise(c)
-
-
 def contains_any(c: Column, words: Sequence[str]) -> Column:
     """True when ``c`` contains at least one of the given words, letter case as given."""
     hit = F.lit(False)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import is_json
+from recordlake.functions.typed import typed_json
 from recordlake.operators.unwrap import item_count
 from recordlake.schema import BATCH_SIZE, CONCURRENCY, MAX_RETRIES, RETRY_BACKOFF
 from recordlake.session import pin
@@ -82,11 +82,12 @@ def attempt_outcomes(attempts: DataFrame) -> DataFrame:
     Attempts without records keep the start of the body as a preview.
     """
     body = F.coalesce(F.col("body"), F.lit(""))
-    counted = attempts.withColumn("n_records", item_count(body))
+    parsed = attempts.withColumn("_typed", typed_json(body))
+    counted = parsed.withColumn("n_records", item_count(F.col("_typed")))
     outcome = (
         F.when(F.col("error").isNotNull() & F.col("status").isNull(), "network_error")
         .when(F.col("status") == 500, "server_error")
-        .when(~is_json(body), "parse_error")
+        .when(F.col("_typed").isNull(), "parse_error")
         .when(F.col("n_records") > 0, "success")
         .otherwise("empty")
     )
@@ -96,6 +97,7 @@ def attempt_outcomes(attempts: DataFrame) -> DataFrame:
         classed.withColumn("n_records", F.when(F.col("outcome") == "success", F.col("n_records")).otherwise(0))
         .withColumn("wait_seconds", backoff_seconds(F.col("attempt")))
         .withColumn("stops", stops)
+        .drop("_typed")
         .withColumn(
             "preview",
             F.when(F.col("outcome") == "parse_error", F.substring(body, 1, 100)).when(
@@ -113,16 +115,18 @@ def batch_status(
 ) -> DataFrame:
     """Final state of each batch: the stopping attempt's outcome, else FAILED.
 
-    Attempts after the stopping one, or beyond the retry limit, do not count. Attempt and
-    record count of a stop travel as one number, so that a hash aggregate can combine
-    them; a stop without records is an empty one.
+    Attempts after the stopping one, or beyond the retry limit, do not count; a batch with
+    nothing but such attempts has failed after its last allowed one. Attempt and record count
+    of a stop travel as one number, so that a hash aggregate can combine them; a stop without
+    records is an empty one.
     """
-    allowed = outcomes.where(F.col("attempt") <= max_retries)
+    allowed = F.col("attempt") <= max_retries
     packed = F.shiftleft(F.col("attempt").cast("bigint"), _COUNT_BITS).bitwiseOR(
         F.col("n_records").cast("bigint")
     )
-    reduced = allowed.groupBy(key).agg(
-        F.min(F.when(F.col("stops"), packed)).alias("stop"), F.max("attempt").alias("last")
+    reduced = outcomes.groupBy(key).agg(
+        F.min(F.when(F.col("stops") & allowed, packed)).alias("stop"),
+        F.max(F.least("attempt", F.lit(max_retries))).alias("last"),
     )
     n_records = F.coalesce(F.col("stop").bitwiseAND(F.lit((1 << _COUNT_BITS) - 1)), F.lit(0))
     retries = F.coalesce(F.shiftright("stop", _COUNT_BITS), F.col("last"))
@@ -165,8 +169,12 @@ def coverage_gap(locations: DataFrame, records: DataFrame, key: str = "id") -> D
 def lookup_details(locations: DataFrame, records: DataFrame, key: str = "id") -> DataFrame:
     """Records of listed ids; listed ids without a record stay, with nulls.
 
-    A semi join and the gap instead of one outer join: adaptive execution can split a hot
-    id on the record side of a semi join, but not on the optional side of an outer join.
+    Whole records are read and moved once, in a semi join, whose record side adaptive
+    execution can split at a hot id (the optional side of an outer join it cannot). Which
+    listed ids have a record comes from the key column alone, reduced before its shuffle.
     """
-    found = records.join(locations.select(key).distinct(), key, "left_semi")
-    return found.unionByName(coverage_gap(locations, records, key), allowMissingColumns=True)
+    listed = locations.select(F.col(key).alias("_listed")).distinct()
+    present = records.select(F.col(key).alias("_present")).distinct()
+    gap = listed.join(present, F.col("_listed") == F.col("_present"), "left_anti")
+    found = records.join(listed, F.col(key) == F.col("_listed"), "left_semi")
+    return found.unionByName(gap.select(F.col("_listed").alias(key)), allowMissingColumns=True)

@@ -27,9 +27,13 @@ def snapshot_delta(
 
     def side(df: DataFrame, name: str) -> DataFrame:
         row = F.struct(*columns).alias(name)
-        return first_by(df, [key], order_by).select(key, row)
+        return first_by(df, [key], order_by).select(F.col(key).alias(f"{name}_key"), row)
 
-    both = side(previous, "_old").join(side(current, "_new"), key, "full_outer")
+    # A null id is an id like any other.
+    same = F.col("_old_key").eqNullSafe(F.col("_new_key"))
+    both = side(previous, "_old").join(side(current, "_new"), same, "full_outer").withColumn(
+        key, F.coalesce("_old_key", "_new_key")
+    )
     changed = F.filter(
         F.array(
             *[
@@ -66,10 +70,12 @@ def apply_aliases(df: DataFrame, column: str, aliases: Mapping[str, str]) -> Dat
 
 def join_aliases(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
     """As ``apply_aliases`` with an alias table (alias, name) of any size."""
-    known = first_by(aliases, ["alias"], ["name"]).withColumnRenamed("alias", column)
+    known = first_by(aliases, ["alias"], ["name"]).select(
+        F.col("alias").alias("_alias"), F.col("name").alias("_alias_name")
+    )
     stripped = df.withColumn(column, strip_ws(blank_if_null(F.col(column))))
-    named = stripped.join(known, column, "left")
-    return named.withColumn(column, F.coalesce("name", column)).select(*df.columns)
+    named = stripped.join(known, F.col(column) == F.col("_alias"), "left")
+    return named.withColumn(column, F.coalesce("_alias_name", column)).select(*df.columns)
 
 
 def null_island_to_null(df: DataFrame) -> DataFrame:

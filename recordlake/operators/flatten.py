@@ -7,14 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import (
-    first_default,
-    joined_field,
-    joined_items,
-)
-from recordlake.functions.text import clean, plain_number
+from recordlake.functions.jsontext import first_default, joined_field
+from recordlake.functions.text import spaced, stripped
+from recordlake.functions.typed import joined_items, text_of
 from recordlake.schema import (
-    DECIMAL_FIELDS,
     FREE_FORM_FIELDS,
     OUTPUT_COLUMNS,
     PROGRAM_LEVEL_FIELDS,
@@ -23,46 +19,49 @@ from recordlake.schema import (
 from recordlake.session import built_once
 
 
+# Output columns that are one cleaned scalar each; the rest is joined from lists.
+JOINED_COLUMNS = ["businessType_codes", "businessType_names", *FREE_FORM_FIELDS]
+LEAF_COLUMNS = [c for c in OUTPUT_COLUMNS if c not in JOINED_COLUMNS]
+
+
 @built_once
-def opened_lists(record: str) -> list[Column]:
-    """The lists of a record that are still JSON text, parsed once each."""
+def leaf_values(record: str) -> Column:
+    """The scalars of a record as typed text, in the order of ``LEAF_COLUMNS``."""
     rec = F.col(record)
-    return [
-        F.from_json(rec["businessType"], "array<struct<code:string,name:string>>").alias("_types"),
-        F.from_json(
-            rec["partnerDetails"]["descriptions"],
-            "array<struct<description:string,isDefault:string>>",
-        ).alias("_descriptions"),
-    ]
+    details, level = rec["partnerDetails"], F.get(rec["programLevels"], F.lit(0))
+    at = {f: rec[f] for f in SCALAR_FIELDS}
+    at |= {f: details[f] for f in ("firstName", "lastName", "about")}
+    at |= {f"contact_{f}": details["partnerContact"][f] for f in ("email", "phone")}
+    at |= {name: level[field] for name, field in PROGRAM_LEVEL_FIELDS.items()}
+    descriptions = F.from_json(details["descriptions"], "array<struct<description:string,isDefault:string>>")
+    at["description"] = first_default(descriptions)
+    return F.array(*[at[c] for c in LEAF_COLUMNS])
 
 
 @built_once
 def flat_columns(record: str) -> dict[str, Column]:
-    """Every output column, given a parsed record and its opened lists."""
+    """Every output column, given a parsed record, its cleaned leaves and its opened types."""
     rec, types = F.col(record), F.col("_types")
-    details = rec["partnerDetails"]
-    level = F.get(rec["programLevels"], F.lit(0))
-    out = {
-        f: clean(plain_number(rec[f]) if f in DECIMAL_FIELDS else rec[f]) for f in SCALAR_FIELDS
-    }
-    for f in ("firstName", "lastName", "about"):
-        out[f] = clean(details[f])
-    out["contact_email"] = clean(details["partnerContact"]["email"])
-    out["contact_phone"] = clean(details["partnerContact"]["phone"])
-    out["description"] = clean(first_default(F.col("_descriptions"), details["descriptions"]))
+    out = {c: F.get("_leaves", F.lit(i)) for i, c in enumerate(LEAF_COLUMNS)}
     out["businessType_codes"] = joined_field(types, rec["businessType"], "code")
     out["businessType_names"] = joined_field(types, rec["businessType"], "name")
-    for name, field in PROGRAM_LEVEL_FIELDS.items():
-        out[name] = clean(level[field])
     for f in FREE_FORM_FIELDS:
         out[f] = joined_items(rec[f])
     return out
 
 
 def flatten_records(records: DataFrame, keep: Sequence[str] = (), rec: str = "rec") -> DataFrame:
-    """The 39 string columns in output order, after any kept columns."""
+    """The 39 string columns in output order, after any kept columns.
+
+    All scalars go through one rule in one expression: repeated for every column it would
+    make generated code too long for the JVM to compile.
+    """
     flat = flat_columns(rec)
-    opened = records.select(*keep, rec, *opened_lists(rec))
+    types = F.from_json(F.col(rec)["businessType"], "array<struct<code:string,name:string>>")
+    leaves = leaf_values(rec)
+    for rule in (text_of, spaced, stripped):  # one after the other, so each is evaluated once
+        leaves = F.transform(leaves, rule)
+    opened = records.select(*keep, rec, leaves.alias("_leaves"), types.alias("_types"))
     return opened.select(*keep, *[flat[c].alias(c) for c in OUTPUT_COLUMNS])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import is_container, is_json, is_object, parsed_json, variant_kind
+from recordlake.functions import typed
 
 # --- fixed values: keys whose presence marks a totals or id-list object ------------
 TOTAL_KEYS = ["total", "totalCount", "count"]
@@ -15,21 +15,13 @@ DETAIL_KEYS = ["detail", "message", "code"]
 ID_LIST_MARKS = ["total", "count", "ids", "partnerIds"]
 
 
-def _entries(df: DataFrame, value: str, keep: Sequence[str]) -> DataFrame:
-    """One row per entry of a variant object or array: key (or index), entry.
-
-    A row whose value cannot be opened stays, with a null step and entry.
-    """
-    spark = df.sparkSession
-    opened = spark.tvf.variant_explode_outer(F.col(value).outer())
-    joined = df.lateralJoin(opened.select(F.col("pos"), F.col("key"), F.col("value").alias("entry")))
-    step = F.coalesce("key", F.col("pos").cast("string"))
-    return joined.select(*keep, step.alias("step"), "entry")
+def _texts(items: Column, sample: int) -> Column:
+    return F.transform(F.slice(items, 1, sample), typed.text_of)
 
 
 def named_arrays(
     df: DataFrame,
-    value: str,
+    body: str,
     name: str = "ids",
     min_size: int = 10,
     depth: int = 4,
@@ -42,54 +34,46 @@ def named_arrays(
     One pass over the input. Each step opens the containers found so far; a hit leaves as
     a finished row that later steps only pass on, and leaf values are dropped at once.
     """
-    no_items = F.lit(None).cast("array<variant>")
+    none = F.lit(None).cast("string")
     rows = df.select(
-        *keep, F.lit(root).alias("path"), F.col(value).alias("node"), no_items.alias("items")
+        *keep, F.lit(root).alias("path"), typed.typed_json(F.col(body)).alias("node"), none.alias("hit")
     )
     for _ in range(depth):
-        opened = _entries(rows, "node", [*keep, "path", "items"])
-        is_open = F.col("entry").isNotNull()
-        opened = opened.where(is_container(F.col("entry")) | F.col("items").isNotNull())
-        path = F.when(is_open, F.concat_ws(".", "path", "step")).otherwise(F.col("path"))
-        found = F.when(F.col("step") == name, F.try_variant_get("entry", "$", "array<variant>"))
-        states = F.array(
-            F.struct(
-                path.alias("path"),
-                F.col("entry").alias("node"),
-                no_items.alias("items"),
-            ),
-            F.struct(
-                path.alias("path"),
-                F.lit(None).cast("variant").alias("node"),
-                F.when(is_open, F.when(F.size(found) > min_size, found))
-                .otherwise(F.col("items"))
-                .alias("items"),
+        inside = F.transform(
+            F.filter(typed.entries(F.col("node")), lambda e: typed.is_container(e["value"])),
+            lambda e: F.struct(
+                F.concat_ws(".", "path", e["step"]).alias("path"), e["value"].alias("node"),
+                F.when((e["step"] == name) & typed.is_list(e["value"]), e["value"]).alias("hit"),
             ),
         )
-        live = F.filter(states, lambda s: s["node"].isNotNull() | s["items"].isNotNull())
-        rows = opened.select(*keep, F.inline(live))
-    return rows.where(F.col("items").isNotNull()).select(
-        *keep,
-        "path",
-        F.size("items").alias("n_items"),
-        F.transform(F.slice("items", 1, sample), lambda v: v.try_cast("string")).alias("sample"),
+        # A hit goes on as a finished row, and once more as a container to be opened.
+        split = F.flatten(F.transform(inside, lambda s: F.array(
+            F.struct(s["path"].alias("path"), s["node"].alias("node"), none.alias("hit")),
+            F.struct(s["path"].alias("path"), none.alias("node"), s["hit"].alias("hit")),
+        )))
+        done = F.array(F.struct("path", none.alias("node"), "hit"))
+        kept = F.when(F.col("hit").isNotNull(), done).otherwise(
+            F.filter(split, lambda s: s["node"].isNotNull() | s["hit"].isNotNull())
+        )
+        rows = rows.select(*keep, F.inline(kept))
+    found = rows.where(F.col("hit").isNotNull()).select(*keep, "path", typed.items(F.col("hit")).alias("_items"))
+    return found.where(F.size("_items") > min_size).select(
+        *keep, "path", F.size("_items").alias("n_items"), _texts(F.col("_items"), sample).alias("sample")
     )
 
 
 def _long_lists(entries: Column, min_size: int) -> Column:
-    """Map entries whose value is a list with more than ``min_size`` items, lists opened."""
+    """Entries whose value is a list with more than ``min_size`` items, lists opened."""
     opened = F.transform(
-        entries,
-        lambda e: F.struct(
-            e["key"].alias("key"), F.try_variant_get(e["value"], "$", "array<variant>").alias("items")
-        ),
+        entries, lambda e: F.struct(e["step"].alias("path"), typed.items(e["value"]).alias("items"))
     )
     return F.filter(opened, lambda e: F.size(e["items"]) > min_size)
 
 
-def _sampled(path: Column, items: Column, sample: int) -> Column:
-    first = F.transform(F.slice(items, 1, sample), lambda v: v.try_cast("string"))
-    return F.struct(path.alias("path"), F.size(items).alias("n_items"), first.alias("sample"))
+def _sampled(hit: Column, sample: int) -> Column:
+    return F.struct(
+        hit["path"].alias("path"), F.size(hit["items"]).alias("n_items"), _texts(hit["items"], sample).alias("sample")
+    )
 
 
 def id_list_keys(
@@ -98,13 +82,13 @@ def id_list_keys(
     """Keys of an object whose value is a long list that starts with a whole number."""
 
     def starts_whole(e: Column) -> Column:
-        first = F.get(e["items"], F.lit(0))
-        return variant_kind(first).isin("BIGINT", "BOOLEAN") | F.to_json(first).rlike(r"^-?\d+$")
+        return typed.kind(F.get(e["items"], F.lit(0))).isin("bigint", "boolean")
 
-    entries = F.map_entries(F.from_json(F.col(body), "map<string,variant>"))
+    top = df.select(*keep, typed.typed_json(F.col(body)).alias("_body"))
+    entries = F.when(typed.is_object(F.col("_body")), typed.entries(F.col("_body")))
     lists = F.filter(_long_lists(entries, min_size), starts_whole)
-    shown = F.transform(lists, lambda e: _sampled(e["key"], e["items"], sample))
-    return df.select(*keep, F.inline(shown)).withColumnRenamed("path", "key")
+    shown = F.transform(lists, lambda e: _sampled(e, sample))
+    return top.select(*keep, F.inline(shown)).withColumnRenamed("path", "key")
 
 
 def key_arrays(
@@ -116,24 +100,20 @@ def key_arrays(
     First means document order: JSON maps keep their keys as they stand in the text. A
     document is searched inside its row.
     """
-    texts = F.map_entries(F.from_json(F.col(body), "map<string,string>"))
-    types = F.map_entries(F.from_json(F.col(body), "map<string,variant>"))
-    objects = F.filter(
-        F.zip_with(texts, types, lambda t, v: F.when(is_object(v["value"]), t)),
-        lambda t: t.isNotNull(),
-    )
+    top = df.select(*keep, typed.typed_json(F.col(body)).alias("_body"))
+    outer = F.when(typed.is_object(F.col("_body")), typed.entries(F.col("_body")))
+    objects = F.filter(outer, lambda e: typed.is_object(e["value"]))
 
-    def inside(outer: Column) -> Column:
-        inner = F.map_entries(F.from_json(outer["value"], "map<string,variant>"))
-        named = F.filter(inner, lambda e: F.contains(F.lower(e["key"]), F.lit(word)))
+    def inside(o: Column) -> Column:
+        named = F.filter(typed.entries(o["value"]), lambda e: F.contains(F.lower(e["step"]), F.lit(word)))
         return F.transform(
             _long_lists(named, min_size),
-            lambda e: F.struct(F.concat_ws(".", outer["key"], e["key"]).alias("path"), e["items"]),
+            lambda e: F.struct(F.concat_ws(".", o["step"], e["path"]).alias("path"), e["items"].alias("items")),
         )
 
-    found = df.select(*keep, F.get(F.flatten(F.transform(objects, inside)), F.lit(0)).alias("_hit"))
-    shown = _sampled(F.col("_hit.path"), F.col("_hit.items"), sample)
-    return found.where(F.col("_hit").isNotNull()).select(*keep, shown.alias("_s")).select(*keep, "_s.*")
+    found = top.select(*keep, F.get(F.flatten(F.transform(objects, inside)), F.lit(0)).alias("_hit"))
+    hits = found.where(F.col("_hit").isNotNull())
+    return hits.select(*keep, _sampled(F.col("_hit"), sample).alias("_s")).select(*keep, "_s.*")
 
 
 def has_any_key(body: Column, names: Sequence[str] = tuple(ID_LIST_MARKS)) -> Column:
@@ -142,46 +122,43 @@ def has_any_key(body: Column, names: Sequence[str] = tuple(ID_LIST_MARKS)) -> Co
     return F.coalesce(F.arrays_overlap(F.json_object_keys(body), wanted), F.lit(False))
 
 
-def _first_present(
-    body: Column, keys: Column, names: Sequence[str], default: Column | None = None
-) -> Column:
+def _first_present(m: Column, names: Sequence[str], default: Column | None = None) -> Column:
     """Text of the first key that is present; an explicit null ends the search as null.
 
     Without any of the keys an object gives ``default``.
     """
     chain = None
     for k in names:
-        value = F.get_json_object(body, f"$.{k}")
-        test = F.array_contains(keys, k)
+        test, value = F.map_contains_key(m, k), typed.text_of(m[k])
         chain = F.when(test, value) if chain is None else chain.when(test, value)
-    return chain if default is None else chain.when(keys.isNotNull(), default)
+    return chain if default is None else chain.when(m.isNotNull(), default)
 
 
 def response_shapes(
-    df: DataFrame, body: str = "body", keep: Sequence[str] = (), n_keys: int = 6
+    df: DataFrame, body: str = "body", keep: Sequence[str] = (), n_keys: int = 6, sample: int = 3
 ) -> DataFrame:
-    """Shape of each response: kind, list length, first item kind, first keys, total, detail."""
+    """Shape of each response: kind, list length, first item kind, first keys, total, detail.
+
+    Lists also show their first items and the keys of the first object.
+    """
     text = F.col(body)
-    parsed = df.select(
-        *keep,
-        text.alias("_text"),
-        parsed_json(text).alias("_v"),
-        F.when(is_json(text), F.json_object_keys(text)).alias("_keys"),
+    opened = df.select(*keep, text.alias("_text"), typed.typed_json(text).alias("_typed")).select(
+        *keep, "_text", "_typed", typed.fields(F.col("_typed")).alias("_fields"),
+        typed.items(F.col("_typed")).alias("_items"),
     )
-    kind = variant_kind(F.col("_v"))
-    first = F.try_variant_get("_v", "$[0]", "variant")
-    return parsed.select(
+    listed, named = F.col("_items").isNotNull(), F.col("_fields").isNotNull()
+    first = F.get("_items", F.lit(0))
+    return opened.select(
         *keep,
-        F.when(kind == "ARRAY", "list").when(kind == "OBJECT", "object").otherwise("raw").alias("shape"),
-        F.when(kind == "ARRAY", F.json_array_length("_text")).alias("n_items"),
-        F.when(kind == "ARRAY", F.lower(variant_kind(first))).alias("first_item"),
-        F.slice("_keys", 1, n_keys).alias("first_keys"),
-        _first_present(F.col("_text"), F.col("_keys"), TOTAL_KEYS).alias("total"),
-        _first_present(
-            F.col("_text"), F.col("_keys"), DETAIL_KEYS, F.substring("_text", 1, 80)
-        ).alias("detail"),
-        F.when(~F.coalesce(kind.isin("ARRAY", "OBJECT"), F.lit(False)), F.substring("_text", 1, 100))
-        .alias("preview"),
+        F.when(listed, "list").when(named, "object").otherwise("raw").alias("shape"),
+        F.when(listed, F.size("_items")).alias("n_items"),
+        F.when(listed & (F.size("_items") > 0), typed.kind(first)).alias("first_item"),
+        F.slice(F.map_keys("_fields"), 1, n_keys).alias("first_keys"),
+        _first_present(F.col("_fields"), TOTAL_KEYS).alias("total"),
+        _first_present(F.col("_fields"), DETAIL_KEYS, F.substring("_text", 1, 80)).alias("detail"),
+        F.when(~listed & ~named, F.substring("_text", 1, 100)).alias("preview"),
+        F.transform(F.slice("_items", 1, sample), typed.json_of).alias("first_items"),
+        F.map_keys(typed.fields(first)).alias("item_keys"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import parsed_json
+from recordlake.functions.typed import typed_json
 from recordlake.functions.text import contains_any, snippet, strip_ws
 
 # --- fixed value: script blocks that hold JSON ---------------------------------------
@@ -73,10 +73,10 @@ def distinct_matches_per_text(
 
 
 def embedded_json(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
-    """JSON script blocks of each page: position, raw text and parsed value (null if broken)."""
+    """JSON script blocks of each page: position, raw text, typed text (null if broken)."""
     blocks = extract_all(df, text, JSON_SCRIPT, 1, keep)
     return blocks.select(
-        *keep, "pos", F.col("match").alias("blob"), parsed_json(F.col("match")).alias("parsed")
+        *keep, "pos", F.col("match").alias("blob"), typed_json(F.col("match")).alias("parsed")
     )
 
 
@@ -122,52 +122,74 @@ def keyword_hits(
     return df.select(*keep, F.inline(shown))
 
 
+# Ids of a checked number and size are searched inside the row of the text; more are joined.
+IDS_IN_ROW = 2_000
+_SEED = 8
+
+
 def known_id_hits(
     texts: DataFrame,
     ids: DataFrame,
     text_key: str,
     text: str,
     id_column: str,
-    lengths: Sequence[int] = range(1, 20),
     before: int = 50,
     after: int = 100,
+    in_row: int = IDS_IN_ROW,
 ) -> DataFrame:
-    """Digit-only ids found anywhere in a text, with the surroundings of the first place.
-
-    An id can only sit inside a run of digits. Each text therefore offers the pieces of
-    its digit runs that have one of the id ``lengths`` (by default those of all 64-bit
-    ids), and an equality join picks the known ones: the work grows with the text, not
-    with texts times ids. The pairs are merged with the texts, never broadcast: size
-    estimates ignore the explode.
+    """Ids found anywhere in a text, with the surroundings of the first place.
+
+    An id may be any non-empty text of any length. Place and snippet are cut in the row of
+    the text, so texts may repeat a key and are never shuffled. Up to ``in_row`` distinct ids
+    are tried in each row, against what is left of the text when all characters are blanked
+    that no id has. More ids are found by their first letters: a text offers every piece of
+    that length with its place and the text that follows, an equality join picks the ids that
+    begin like it, and the rest of the id is compared.
     """
+    known = ids.select(F.col(id_column).cast("string").alias("_id")).where("_id <> ''").distinct()
+    few = sorted(r["_id"] for r in known.limit(in_row + 1).collect())
+    if len(few) > in_row:
+        return _joined_ids(texts, known, text_key, text, before, after)
+    letters = sorted({c for i in few for c in i})
+    blank = next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in letters)
+    other = "[^" + "".join(f"\\x{{{ord(c):X}}}" for c in letters) + "]+" if letters else "(?s).+"
+    body = F.col(text)
+    hay = F.regexp_replace(body, other, blank)
+    rows = texts.select(text_key, text, hay.alias("_hay"))
+    held = F.filter(F.lit(few).cast("array<string>"), lambda i: F.contains(F.col("_hay"), i))
+    found = rows.select(text_key, text, F.explode(held).alias("known_id"))
+    at = F.position(F.col("known_id"), body)
+    return found.select(
+        text_key, "known_id", (at - 1).alias("at"),
+        snippet(body, at, before, after, before + after).alias("snippet"),
+    )
 
-    def pieces(run: Column) -> Column:
-        return F.flatten(
-            F.array(
-                *[
-                    F.transform(
-                        F.when(
-                            F.length(run) >= size, F.sequence(F.lit(1), F.length(run) - size + 1)
-                        ).otherwise(F.array().cast("array<int>")),
-                        lambda start: F.substring(run, start, F.lit(size)),
-                    )
-                    for size in lengths
-                ]
-            )
-        )
-
-    runs = find_all(F.col(text), r"\d+")
-    offered = F.array_distinct(F.flatten(F.transform(runs, pieces)))
-    candidates = texts.select(text_key, F.explode(offered).alias("_id"))
-    known = ids.select(F.col(id_column).cast("string").alias("_id")).distinct()
-    pairs = candidates.join(known, "_id")
-    at = F.position(F.col("_id"), F.col(text))
-    return texts.select(text_key, text).join(pairs.hint("merge"), text_key).select(
-        text_key,
-        F.col("_id").alias("known_id"),
-        (at - 1).alias("at"),
-        snippet(F.col(text), at, before, after, before + after).alias("snippet"),
+
+def _joined_ids(texts, known, text_key, text, before, after):
+    """Many ids: pieces of the texts meet the ids that begin with them.
+
+    Ids are sorted into classes by length up to ``_SEED`` letters; longer ones share a class
+    and are checked against the text behind the piece, cut to the longest id.
+    """
+    sized = known.withColumn("_seed", F.substring("_id", 1, _SEED))
+    spans = sized.agg(F.sort_array(F.collect_set(F.length("_seed"))), F.max(F.length("_id"))).first()
+    lengths, longest = spans[0] or [1], spans[1] or 1
+    body, place = F.col(text), F.col("_at")
+    numbered = texts.select(F.monotonically_increasing_id().alias("_row"), text_key, text)
+    pieces = numbered.where(F.length(body) > 0).select(
+        "_row", text_key, text, F.explode(F.sequence(F.lit(1), F.length(body))).alias("_at")
+    )
+    offered = pieces.select(
+        "_row", text_key, "_at",
+        F.substring(body, place, F.lit(longest)).alias("_rest"),
+        snippet(body, place, before, after, before + after).alias("snippet"),
+        F.explode(F.array(*[F.lit(n) for n in lengths])).alias("_n"),
+    ).withColumn("_seed", F.substring("_rest", F.lit(1), F.col("_n"))).where(F.length("_seed") == F.col("_n"))
+    hits = offered.join(sized, "_seed").where(F.startswith(F.col("_rest"), F.col("_id")))
+    first = hits.groupBy("_row", "_id").agg(
+        F.min(F.struct("_at", text_key, "snippet")).alias("_h")
     )
+    return first.select(f"_h.{text_key}", F.col("_id").alias("known_id"), (F.col("_h._at") - 1).alias("at"), "_h.snippet")
 
 
 def leaf_texts(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import parsed_json
+from recordlake.functions import typed
 from recordlake.functions.text import contains_any
 
 
@@ -27,14 +27,15 @@ def with_elapsed(log: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def with_session_elapsed(log: DataFrame, session: str, ts: str = "ts") -> DataFrame:
-    """Microseconds since the first event of the row's session.
+    """Microseconds since the first event of the row's session; null is a session too.
 
     The start times are a combined aggregate joined back, so a session that holds much of
     the log is never gathered in one task.
     """
-    starts = log.groupBy(session).agg(F.min(ts).alias("_start"))
-    timed = log.join(starts, session).withColumn("_gap", F.col(ts) - F.col("_start"))
-    return timed.withColumn("elapsed_us", micros(F.col("_gap"))).drop("_start", "_gap")
+    starts = log.groupBy(F.col(session).alias("_session")).agg(F.min(ts).alias("_start"))
+    same = F.col(session).eqNullSafe(F.col("_session"))
+    timed = log.join(starts, same).withColumn("_gap", F.col(ts) - F.col("_start"))
+    return timed.withColumn("elapsed_us", micros(F.col("_gap"))).drop("_session", "_start", "_gap")
 
 
 def after_mark(log: DataFrame, mark, column: str = "seq") -> DataFrame:
@@ -70,15 +71,11 @@ def request_ids(
     log: DataFrame, body: str = "body", keep: Sequence[str] = (), sample: int = 5, preview: int = 150
 ) -> DataFrame:
     """Id lists sent in request bodies: length and first ids, else a preview of the body."""
-    ids = F.try_variant_get(parsed_json(F.col(body)), "$.ids", "array<variant>")
-    return (
-        log.where(F.col(body) != "")
-        .select(*keep, body, ids.alias("_ids"))
-        .select(
-            *keep,
-            F.size("_ids").alias("n_ids"),
-            F.transform(F.slice("_ids", 1, sample), lambda v: v.try_cast("string")).alias("first_ids"),
-            F.when(F.col("_ids").isNull(), F.substring(F.col(body), 1, preview)).alias("preview"),
-        )
-        .withColumn("n_ids", F.when(F.col("preview").isNull(), F.col("n_ids")))
+    filled = log.where(F.col(body) != "").select(*keep, body, typed.typed_json(F.col(body)).alias("_typed"))
+    ids = typed.items(typed.fields(F.col("_typed"))["ids"])
+    return filled.select(*keep, body, ids.alias("_ids")).select(
+        *keep,
+        F.when(F.col("_ids").isNotNull(), F.size("_ids")).alias("n_ids"),
+        F.transform(F.slice("_ids", 1, sample), typed.text_of).alias("first_ids"),
+        F.when(F.col("_ids").isNull(), F.substring(F.col(body), 1, preview)).alias("preview"),
     )

@@ -1,4 +1,9 @@
-"""From raw response lines to one row per record."""
+"""From raw response lines to one row per record.
+
+A raw line is checked and read once by a strict parser (``typed_body``). Its first character
+tells a list from an object; in an object the list key is chosen from its fields; the chosen
+list is parsed once into records. No record depends on its neighbours in the line.
+"""
 
 from __future__ import annotations
 
@@ -7,132 +12,112 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import is_json, is_object, is_truthy
+from recordlake.functions import typed
 from recordlake.functions.text import let
+from recordlake.functions.typed import is_object, is_truthy, typed_body
 from recordlake.schema import FREE_FORM_FIELDS, LIST_KEYS, RECORD_DDL, SINGLE_KEYS
 from recordlake.session import built_once
 
-# A JSON string inside a list that starts like an object: only then is a type check needed.
-_OBJECT_LIKE_STRING = r'[\[,]\s*"(?:\{|\\u007[bB])'
 
+def list_text(body: Column) -> Column:
+    """Typed text of the record list in a body (typed text); null when the body has none."""
 
-def as_envelope(line: Column) -> Column:
-    """The line itself when it has a ``body`` key, else the whole line as the body."""
-    return F.when(
-        F.array_contains(F.json_object_keys(line), "body"), line
-    ).when(
-        is_json(line), F.concat(F.lit('{"body":'), line, F.lit("}"))
-    )
+    def chosen(m: Column) -> Column:
+        filled = [
+            F.when(typed.is_list(m[k]) & (m[k] != "[]"), m[k]) for k in LIST_KEYS
+        ]
+        single = F.arrays_overlap(F.map_keys(m), F.array(*[F.lit(k) for k in SINGLE_KEYS]))
+        return F.coalesce(*filled, F.when(single, F.concat(F.lit("["), body, F.lit("]"))))
 
+    inside = let(F.from_json(body, "map<string,string>"), chosen)
+    return F.when(typed.is_list(body), body).when(is_object(body), inside)
 
-def _list_in(envelope: Column, item_type: str) -> Column:
-    """The record list of a body as ``array<item_type>``; null when the body has none."""
-    direct = F.from_json(envelope, f"body array<{item_type}>")["body"]
-    fields = ",".join(f"{k}:array<{item_type}>" for k in LIST_KEYS)
-    wrapped = F.from_json(envelope, f"body struct<{fields}>")["body"]
-    whole = F.from_json(envelope, f"body {item_type}")["body"]
-    keys = F.json_object_keys(F.from_json(envelope, "body string")["body"])
 
-    def first_filled(o: Column) -> Column:
-        return F.coalesce(
-            *[F.when(F.size(o[k]) > 0, o[k]) for k in LIST_KEYS],
-            F.when(
-                o.isNotNull()
-                & F.arrays_overlap(keys, F.array(*[F.lit(k) for k in SINGLE_KEYS])),
-                F.array(whole),
-            ),
-        )
+def body_items(body: Column) -> Column:
+    """Items of the record list of a typed body, whatever their type; empty when none."""
+    return F.coalesce(typed.items(list_text(body)), F.array().cast("array<string>"))
 
-    return F.coalesce(direct, let(wrapped, first_filled))
 
+def item_count(body: Column) -> Column:
+    """Number of items that a typed response body holds, objects or not."""
+    return F.coalesce(F.size(F.from_json(list_text(body), "array<string>")), F.lit(0))
 
-def body_items(line: Column) -> Column:
-    """Items of the record list as JSON text, whatever their type; empty when none."""
-    items = let(as_envelope(line), lambda e: _list_in(e, "string"))
-    return F.coalesce(items, F.array().cast("array<string>"))
 
+@built_once
+def record_list(column: str, ddl: str = RECORD_DDL) -> Column:
+    """Records of a list's typed text as an array; an item that is no object is null.
 
-def item_count(body: Column) -> Column:
-    """Number of items a response body (JSON text) holds, objects or not."""
-    wrapped = F.concat(F.lit('{"body":'), body, F.lit("}"))
-    found = F.when(is_json(body), F.size(_list_in(wrapped, "string")))
-    return F.greatest(F.coalesce(found, F.lit(0)), F.lit(0))
+    A list of objects is parsed in one go; a mixed one item by item, with the same result.
+    """
+    text = F.col(column)
+    direct = F.from_json(text, f"array<{ddl}>")
+    single = F.transform(
+        F.from_json(text, "array<string>"), lambda t: F.when(is_object(t), F.from_json(t, ddl))
+    )
+    return F.coalesce(direct, single)
 
 
-@built_once
-def record_list(line_column: str) -> Column:
-    """Records of each raw line as ``array<RECORD>``; an item that is no object is null.
+def explode_records(
+    raw: DataFrame, keep: Sequence[str] = (), line: str = "value", ddl: str = RECORD_DDL
+) -> DataFrame:
+    """One row per object record: kept columns, ``pos`` in its list, ``rec``.
 
-    The usual shapes, a plain list of objects or an object around one, are read straight
-    into records. Whatever is left goes through its items' JSON text.
+    ``ddl`` may name fewer fields, if only those are needed.
     """
-    line = F.col(line_column)
-
-    def has_list(keys: Sequence[str]) -> Column:
-        """True when the text shows a non-empty list under one of the keys, mixed or not."""
-        return line.rlike(rf'"(?:{"|".join(keys)})"\s*:\s*\[\s*[^\s\]]')
-
-    def from_wrapped(o: Column) -> Column:
-        # A mixed list reads as null, so the text must rule out one ahead of the choice.
-        chosen = F.when(F.size(o[LIST_KEYS[0]]) > 0, o[LIST_KEYS[0]])
-        for i, k in enumerate(LIST_KEYS[1:], 1):
-            chosen = chosen.when(F.size(o[k]) > 0, F.when(~has_list(LIST_KEYS[:i]), o[k]))
-        keys = F.json_object_keys(F.from_json(line, "body string")["body"])
-        single = F.arrays_overlap(keys, F.array(*[F.lit(k) for k in SINGLE_KEYS]))
-        only = F.array(F.from_json(line, f"body {RECORD_DDL}")["body"])
-        return chosen.when(o.isNotNull() & ~has_list(LIST_KEYS), F.when(single, only))
-
-    def from_items(envelope: Column) -> Column:
-        texts = _list_in(envelope, "string")
-        by_text = F.transform(texts, lambda t: F.when(t.startswith("{"), t))
-        by_type = F.zip_with(
-            texts, _list_in(envelope, "variant"), lambda t, v: F.when(is_object(v), t)
-        )
-        objects = F.when(envelope.rlike(_OBJECT_LIKE_STRING), by_type).otherwise(by_text)
-        return F.transform(objects, lambda t: F.from_json(t, RECORD_DDL))
-
-    fields = ",".join(f"{k}:array<{RECORD_DDL}>" for k in LIST_KEYS)
-    listed = F.from_json(line, f"body array<{RECORD_DDL}>")["body"]
-    wrapped = F.from_json(line, f"body struct<{fields}>")["body"]
-    return F.coalesce(listed, let(wrapped, from_wrapped), let(as_envelope(line), from_items))
-
-
-def explode_records(raw: DataFrame, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
-    """One row per object record: kept columns, ``pos`` in its list, ``rec``."""
-    return raw.select(
-        *keep, F.posexplode(record_list(line)).alias("pos", "rec")
-    ).where(F.col("rec").isNotNull())
+    listed = raw.select(*keep, typed_body(F.col(line)).alias("_body")).select(
+        *keep, list_text(F.col("_body")).alias("_list")
+    )
+    records = listed.select(*keep, F.posexplode(record_list("_list", ddl)).alias("pos", "rec"))
+    return records.where(F.col("rec").isNotNull())
+
+
+def explode_all(raw: DataFrame, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
+    """As ``explode_records``, and one row per line that cannot be parsed.
+
+    Such a row has a null ``rec`` and its text in ``rejected``, which is null elsewhere; both
+    come from one pass over the lines.
+    """
+    text = F.col(line)
+    bodies = raw.select(*keep, text.alias("_line"), typed_body(text).alias("_body"))
+    listed = bodies.select(
+        *keep, F.when(F.col("_body").isNull(), F.col("_line")).alias("rejected"),
+        list_text(F.col("_body")).alias("_list"),
+    )
+    rows = listed.select(*keep, "rejected", F.posexplode_outer(record_list("_list")).alias("pos", "rec"))
+    return rows.where(F.col("rec").isNotNull() | F.col("rejected").isNotNull())
+
+
+def rejected_lines(raw: DataFrame, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
+    """Lines that are not one complete JSON value: kept columns and the text."""
+    checked = raw.select(*keep, F.col(line).alias("line"), typed_body(F.col(line)).alias("_body"))
+    return checked.where(F.col("_body").isNull()).drop("_body")
 
 
 def records_per_line(raw: DataFrame, keep: Sequence[str], line: str = "value") -> DataFrame:
     """Number of list items in each raw line."""
-    return raw.select(*keep, F.size(body_items(F.col(line))).alias("n_records"))
+    bodies = raw.select(*keep, typed_body(F.col(line)).alias("_body"))
+    return bodies.select(*keep, item_count(F.col("_body")).alias("n_records"))
 
 
-def _malformed_fields(v: Column) -> Column:
+def _malformed_fields(record: Column) -> Column:
     """Names of nested fields whose JSON type does not fit; falsy values fit everywhere."""
+    names = ["partnerDetails", "businessType", "programLevels", *FREE_FORM_FIELDS]
+    at = {n: F.from_json(record, ",".join(f"{x}:string" for x in names).join(["struct<", ">"]))[n] for n in names}
+    inside = F.from_json(at["partnerDetails"], "partnerContact string, descriptions string")
+    at["partnerDetails.partnerContact"] = inside["partnerContact"]
+    at["partnerDetails.descriptions"] = inside["descriptions"]
 
-    def at(path: str) -> Column:
-        return F.try_variant_get(v, f"$.{path}", "variant")
-
-    def items(path: str) -> Column:
-        return F.try_variant_get(v, f"$.{path}", "array<variant>")
-
-    fits = {p: is_object(at(p)) for p in ("partnerDetails", "partnerDetails.partnerContact")}
-    for p in ("partnerDetails.descriptions", "businessType"):
-        fits[p] = F.forall(items(p), is_object)
-    fits["programLevels"] = is_object(F.get(items("programLevels"), F.lit(0)))
-    for p in FREE_FORM_FIELDS:
-        fits[p] = items(p).isNotNull()
-    return F.filter(
-        F.array(
-            *[
-                F.when(is_truthy(at(p)) & ~F.coalesce(ok, F.lit(False)), F.lit(p))
-                for p, ok in fits.items()
-            ]
-        ),
-        lambda name: name.isNotNull(),
-    )
+    def objects(v: Column) -> Column:
+        return F.forall(typed.items(v), is_object)
+
+    fits = {p: is_object(at[p]) for p in ("partnerDetails", "partnerDetails.partnerContact")}
+    fits |= {p: objects(at[p]) for p in ("partnerDetails.descriptions", "businessType")}
+    fits["programLevels"] = is_object(F.get(typed.items(at["programLevels"]), F.lit(0)))
+    fits |= {p: typed.is_list(at[p]) for p in FREE_FORM_FIELDS}
+    named = [
+        F.when(is_truthy(at[p]) & ~F.coalesce(ok, F.lit(False)), F.lit(p)) for p, ok in fits.items()
+    ]
+    return F.array_compact(F.array(*named))
 
 
 def malformed_records(raw: DataFrame, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
@@ -141,7 +126,9 @@ def malformed_records(raw: DataFrame, keep: Sequence[str] = (), line: str = "val
     ``flatten_records`` leaves such a field blank; here are the record texts and the
     names of the fields concerned.
     """
-    items = raw.select(*keep, F.posexplode(body_items(F.col(line))).alias("pos", "record"))
-    objects = items.where(F.col("record").startswith("{"))
-    checked = objects.withColumn("fields", _malformed_fields(F.try_parse_json("record")))
-    return checked.where(F.size("fields") > 0)
+    bodies = raw.select(*keep, typed_body(F.col(line)).alias("_body"))
+    found = bodies.select(*keep, F.posexplode(body_items(F.col("_body"))).alias("pos", "_record"))
+    checked = found.where(is_object(F.col("_record"))).withColumn("fields", _malformed_fields(F.col("_record")))
+    return checked.where(F.size("fields") > 0).select(
+        *keep, "pos", typed.compact_json(F.col("_record")).alias("record"), "fields"
+    )

@@ -7,6 +7,7 @@ code nor intermediate data with the Spark side.
 from __future__ import annotations
 
 from recordlake.functions.text import WHITESPACE
+from recordlake.plans.edge_oracle import EDGE_ORACLE
 from recordlake.plans.queries import (
     COUNTRY_ALIASES,
     HREF,
@@ -379,7 +380,8 @@ ORACLE: dict[str, str] = {
           WHEN 'purchase' THEN 'count,ids' END AS first_keys,
         CASE WHEN event_type = 'purchase' THEN user_id::VARCHAR END AS total,
         CASE WHEN event_type IN ('view', 'purchase') THEN body[1:80] END AS detail,
-        CASE WHEN event_type = 'signup' THEN body[1:100] END AS preview
+        CASE WHEN event_type = 'signup' THEN body[1:100] END AS preview,
+        CASE WHEN event_type = 'click' THEN 'k' END AS item_keys
       FROM ({TRAFFIC})""",
     "shape_counts": f"""
       SELECT {SHAPE} AS shape, status, count(*) AS n FROM ({TRAFFIC}) GROUP BY ALL""",
@@ -442,3 +444,7 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT * FROM ({customers(['id', 'companyName', 'city', 'country'])})""",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
 }
+
+ORACLE |= {
+    name: sql.replace("<BATCHES>", BATCHES).replace("<TRAFFIC>", TRAFFIC) for name, sql in EDGE_ORACLE.items()
+}

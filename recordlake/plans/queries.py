@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.functions import text as tx
+from recordlake.functions import typed
 from recordlake.operators import (
     audit,
     dedupe,
@@ -21,6 +22,7 @@ from recordlake.operators import (
 )
 from recordlake.plans import derive
 from recordlake.plans.derive import table
+from recordlake.plans.edge_queries import EDGE_QUERIES
 from recordlake.plans.run import combine_configs, unique_records
 from recordlake.schema import OUTPUT_COLUMNS
 from recordlake.session import scratch_path
@@ -347,7 +349,7 @@ def embedded_json(spark, sf_dir):
     blocks = textmine.embedded_json(pages, "html", ["page_id"])
     return blocks.select(
         "page_id", "pos", "blob",
-        F.try_variant_get("parsed", "$.page", "bigint").alias("state_page"),
+        typed.text_of(typed.fields(F.col("parsed"))["page"]).try_cast("bigint").alias("state_page"),
         F.col("parsed").isNotNull().alias("is_json"),
     )
 
@@ -416,7 +418,7 @@ def request_ids(spark, sf_dir):
 
 def response_shapes(spark, sf_dir):
     shapes = jsonpath.response_shapes(derive.traffic(spark, sf_dir), keep=["event_id", "status"])
-    return shapes.withColumn("first_keys", _joined(F.col("first_keys")))
+    return shapes.drop("first_items").withColumns({c: _joined(F.col(c)) for c in ("first_keys", "item_keys")})
 
 
 def shape_counts(spark, sf_dir):
@@ -431,8 +433,7 @@ def id_marks(spark, sf_dir):
 
 def nested_id_paths(spark, sf_dir):
     docs = derive.vector_documents(spark, sf_dir)
-    parsed = docs.select("vec_id", F.try_parse_json("body").alias("doc"))
-    found = jsonpath.named_arrays(parsed, "doc", keep=["vec_id"])
+    found = jsonpath.named_arrays(docs, "body", keep=["vec_id"])
     return found.withColumn("sample", _joined(F.col("sample")))
 
 
@@ -548,7 +549,7 @@ def stream_records(spark, sf_dir):
     sinks.write_raw(lines.unionByName(derive.customer_lines(spark, sf_dir).select("value")), raw_path)
     for query in ingest.run_stream(spark, raw_path, out, state):
         query.awaitTermination()
-    return spark.read.parquet(f"{out}/records").select("id", "companyName", "city", "country")
+    return ingest.landed_records(spark, out).select("id", "companyName", "city", "country")
 
 
 def stream_dedupe(spark, sf_dir):
@@ -581,4 +582,4 @@ QUERIES: dict[str, Query] = {
         threshold_checks, without_pii, csv_round_trip, raw_round_trip, json_by_country,
         stream_records, stream_dedupe,
     )
-}
+} | EDGE_QUERIES

@@ -31,9 +31,6 @@ SCALAR_FIELDS = [
     "emailExists", "phoneExists", "openingHoursType", "eshop", "productCount", "logoUrl",
 ]
 
-# Scalar fields that carry JSON numbers with a fraction.
-DECIMAL_FIELDS = ["latitude", "longitude", "productCount"]
-
 # --- fixed values: array fields kept as JSON text --------------------------------
 FREE_FORM_FIELDS = [
     "openingHours", "preferredMarketServe", "competence", "areaOfFocus", "customReference",
@@ -69,9 +66,8 @@ CONCURRENCY = 6
 MAX_RETRIES = 3
 RETRY_BACKOFF = 2.0
 
-# Every scalar leaf is a STRING: from_json then hands over the JSON literal as text.
-# Lists whose items need a type check (is `false` a boolean or a word?) stay JSON text
-# and are opened in flatten.py.
+# Records are read from typed text (functions/typed.py), where every scalar is a string.
+# Lists that may hold anything stay JSON text and are opened in flatten.py.
 RECORD_DDL = "struct<{scalars},{details},{types},{levels},{free}>".format(
     scalars=",".join(f"{f}:string" for f in SCALAR_FIELDS),
     details=(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache, wraps
@@ -13,8 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Repeated JSON keys: the last one counts, instead of the value being rejected.
-    "spark.sql.variant.allowDuplicateKeys": "true",
     # Streaming state on disk with incremental snapshots instead of executor heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -26,9 +27,10 @@ RECOMMENDED_CONF = {
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine; on a
-    cluster the setting is required, because executors can be lost and their disks
-    with them.
+    Only a session in one JVM (``local``, ``local[n]``) may fall back to a temporary folder
+    of this machine, removed when the process ends. Anywhere else the setting is required,
+    because executors can be lost and their disks with them, and it must name storage that
+    all of them reach; a ``file:`` address is taken to be a mounted shared file system.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -38,9 +40,11 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", ""
     )
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        # One JVM: a folder of this machine is shared. It goes when the process ends.
         configured = tempfile.mkdtemp(prefix="recordlake-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.functions.jsontext import is_json
+from recordlake.functions import typed
 from recordlake.schema import OUTPUT_COLUMNS
 
 # Arrival order of a raw line: file, block of the file, line in scan order.
 ARRIVAL = ["file_path", "block_start", "line_id"]
 
+ATTEMPT_DDL = "batch_idx long, attempt int, status int, error string, body string"
 TRAFFIC_DDL = (
     "t double, method string, url string, status int, content_type string, body string"
 )
@@ -30,7 +31,11 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     Files are split as usual: inside one block lines keep their order, blocks and files
     are ordered by their own columns.
     """
-    lines = _with_file(spark.read.text(path))
+    return with_line_ids(_with_file(spark.read.text(path)))
+
+
+def with_line_ids(lines: DataFrame) -> DataFrame:
+    """Number the lines of each block in their order; numbers of blocks are not comparable."""
     return lines.withColumn("line_id", F.monotonically_increasing_id())
 
 
@@ -43,30 +48,31 @@ def stream_raw(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 
 def listing_entries(text: Column) -> Column:
-    """Entries of a listing response as JSON text; empty when it has none or is broken."""
-    found = F.when(
-        is_json(text), F.from_json(text, "partnerLocations array<string>")["partnerLocations"]
-    )
-    return F.coalesce(found, F.array().cast("array<string>"))
+    """Entries of a listing response as typed text; empty when it has none or is broken."""
+    listed = typed.items(typed.fields(typed.typed_json(text))["partnerLocations"])
+    return F.coalesce(listed, F.array().cast("array<string>"))
 
 
 def explode_locations(listings: DataFrame, text: str = "value", keep=()) -> DataFrame:
     """One row per listed location whose entry has an ``id`` key, even a null one."""
-    entries = listings.select(*keep, F.posexplode(listing_entries(F.col(text))).alias("pos", "entry"))
-    with_id = entries.where(F.array_contains(F.json_object_keys("entry"), "id"))
-    return with_id.select(
-        *keep,
-        "pos",
-        "entry",
-        F.from_json(
-            "entry", "id bigint, latitude double, longitude double, countryId string"
-        ).alias("_l"),
-    ).select(*keep, "pos", "entry", "_l.*")
+    entries = listings.select(*keep, F.posexplode(listing_entries(F.col(text))).alias("pos", "_entry"))
+    with_id = entries.where(F.array_contains(F.json_object_keys("_entry"), "id"))
+    opened = with_id.select(
+        *keep, "pos", "_entry",
+        F.from_json("_entry", "id string, latitude string, longitude string, countryId string").alias("_l"),
+    )
+    value = lambda name: typed.text_of(F.col(f"_l.{name}"))
+    return opened.select(
+        *keep, "pos", typed.compact_json(F.col("_entry")).alias("entry"),
+        value("id").try_cast("bigint").alias("id"),
+        *[value(c).try_cast("double").alias(c) for c in ("latitude", "longitude")],
+        value("countryId").alias("countryId"),
+    )
 
 
 def broken_listings(listings: DataFrame, text: str = "value") -> DataFrame:
     """Listing responses that are no JSON at all."""
-    return listings.where(~is_json(F.col(text)))
+    return listings.withColumn("_typed", typed.typed_json(F.col(text))).where("_typed IS NULL").drop("_typed")
 
 
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
@@ -87,6 +93,11 @@ def read_traffic(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TRAFFIC_DDL).json(path)
 
 
+def read_attempts(spark: SparkSession, path: str) -> DataFrame:
+    """Log of fetch attempts from JSON lines."""
+    return spark.read.schema(ATTEMPT_DDL).json(path)
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Result files as text columns; blanks stay blank."""
     ddl = ", ".join(f"`{c}` string" for c in (columns or OUTPUT_COLUMNS))

@@ -49,14 +49,16 @@ def export_csv(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
     ordered.select(*columns).write.options(**CSV_OPTIONS).csv(f"{path}/rows")
 
 
-def write_by_country(df: DataFrame, path: str, column: str = "country") -> None:
-    """JSON records in one folder per country.
+def write_by_country(df: DataFrame, path: str, column: str = "country", blank: str = "(blank)") -> None:
+    """JSON records in one folder per country, null and blank ones in a folder named ``blank``.
 
-    The rebalance hint gathers small countries and lets adaptive execution split large
-    ones over several files.
+    Fields keep their values, null ones included; only the folder has the name. The rebalance
+    hint gathers small countries and lets adaptive execution split large ones over several
+    files.
     """
-    spread = df.withColumn("results", F.col(column)).hint("rebalance", F.col("results"))
-    spread.write.partitionBy("results").json(path)
+    name = F.when(F.coalesce(F.col(column), F.lit("")) == "", F.lit(blank)).otherwise(F.col(column))
+    spread = df.withColumn("results", name).hint("rebalance", F.col("results"))
+    spread.write.partitionBy("results").option("ignoreNullFields", False).json(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

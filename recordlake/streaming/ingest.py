@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from recordlake.operators.dedupe import fingerprint
-from recordlake.operators.flatten import flatten_records
-from recordlake.operators.unwrap import explode_records
-from recordlake.schema import OUTPUT_COLUMNS
-from recordlake.sources.raw import stream_raw
+from recordlake.operators.dedupe import digest
+from recordlake.plans.run import RunResult, arrivals, finish, first_arrivals
+from recordlake.sources.raw import stream_raw, with_line_ids
 
 DEFAULT_SPREAD = 16
 
@@ -25,12 +25,14 @@ def drop_seen(
 ) -> DataFrame:
     """Pass each key once, with state kept across batches.
 
-    With ``spread_by`` a first round removes repeats inside ``spread`` slices of a key,
-    so a key that makes up much of the stream is handled by many tasks; the second round
-    then meets it at most ``spread`` times. State is kept for good, unless an event time
-    and a delay allow old keys to be forgotten.
+    A first round removes repeats inside ``spread`` slices of a key, by default slices of a
+    hash of the whole row, so a key that makes up much of the stream is handled by many
+    tasks; the second round then meets it at most ``spread`` times. State holds a 32-byte
+    digest per key. It is kept for good, unless an event time and a delay allow old keys to
+    be forgotten. Which of a key's rows passes is not defined; ``run_stream`` is for that.
     """
-    marked = rows.withColumn("_key", key)
+    by = spread_by if spread_by is not None else F.xxhash64(*rows.columns)
+    marked = rows.withColumn("_key", digest(key)).withColumn("_slice", F.pmod(F.xxhash64(by), F.lit(spread)))
     if event_time is not None:
         marked = marked.withWatermark(event_time, delay)
 
@@ -39,23 +41,7 @@ def drop_seen(
             return df.dropDuplicatesWithinWatermark(columns)
         return df.dropDuplicates(columns)
 
-    if spread_by is not None:
-        sliced = marked.withColumn("_slice", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
-        marked = once(sliced, ["_key", "_slice"]).drop("_slice")
-    return once(marked, ["_key"]).drop("_key")
-
-
-def stream_records(raw: DataFrame, spread: int = DEFAULT_SPREAD) -> DataFrame:
-    """Unique flat records of a raw line stream (columns value, file_path, block_start).
-
-    Each batch reports the records parsed and the new ones as observed metrics.
-    """
-    keep = ["file_path", "block_start"]
-    flat = flatten_records(explode_records(raw, keep), [*keep, "pos"])
-    flat = flat.observe("parsed", F.count(F.lit(1)).alias("n"))
-    place = F.struct("file_path", "block_start", "pos")
-    unique = drop_seen(flat, fingerprint(), place, spread).select(*OUTPUT_COLUMNS)
-    return unique.observe("unique", F.count(F.lit(1)).alias("n"))
+    return once(once(marked, ["_key", "_slice"]).drop("_slice"), ["_key"]).drop("_key")
 
 
 def drain(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
@@ -70,6 +56,24 @@ def drain(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") ->
     )
 
 
+def land_arrivals(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """First arrivals of every batch, with their copies, in a folder per batch.
+
+    A batch that is repeated after a failure overwrites its own folder.
+    """
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        first = first_arrivals(arrivals(with_line_ids(batch)))
+        first.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        raw.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def run_stream(
     spark: SparkSession,
     raw_path: str,
@@ -78,10 +82,31 @@ def run_stream(
     max_files: int | None = None,
     backup: bool = False,
 ) -> list[StreamingQuery]:
-    """Start the record stream and, if asked, the verbatim backup of its input."""
+    """Start the record stream and, if asked, the verbatim backup of its input.
+
+    What is available is landed as arrivals, then the queries stop; a restart resumes.
+    ``landed_records`` reads the records so far, ``finish_stream`` ends the run.
+    """
     raw = stream_raw(spark, raw_path, max_files)
-    queries = [drain(stream_records(raw), f"{out_dir}/records", f"{checkpoint}/records")]
+    queries = [land_arrivals(raw, f"{out_dir}/arrivals", f"{checkpoint}/arrivals")]
     if backup:
         lines = stream_raw(spark, raw_path, max_files).select("value")
         queries.append(drain(lines, f"{out_dir}/raw", f"{checkpoint}/raw", "text"))
     return queries
+
+
+def landed_records(spark: SparkSession, out_dir: str) -> DataFrame:
+    """First arrivals over all landed batches: the same rows as in a batch run.
+
+    Copies of a record in different batches are told apart by file, block and line, not by
+    which batch came first.
+    """
+    landed = spark.read.parquet(f"{out_dir}/arrivals").drop("batch")
+    return first_arrivals(landed, F.col("copies"))
+
+
+def finish_stream(
+    spark: SparkSession, out_dir: str, run_ts: str, formats: Sequence[str] = ("csv",), **options
+) -> RunResult:
+    """Records, export, reports and audit of a drained stream, as at the end of a batch run."""
+    return finish(spark, landed_records(spark, out_dir), out_dir, run_ts, formats, **options)

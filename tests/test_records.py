@@ -1,14 +1,14 @@
 """Unwrapping and flattening, by example and against plain Python."""
 
 import json
-import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from recordlake.functions import typed
 from recordlake.operators import flatten, unwrap
-from recordlake.schema import OUTPUT_COLUMNS
-from tests.plain import rows_of
+from recordlake.schema import LIST_KEYS, OUTPUT_COLUMNS, SINGLE_KEYS
+from tests import made
 
 
 def flat_rows(df):
@@ -62,26 +62,23 @@ def test_column_list():
     assert len(OUTPUT_COLUMNS) == len(set(OUTPUT_COLUMNS)) == 39
 
 
-SHAPES = [
-    ([{"id": 1}, {"id": 2}], 2),
-    ({"items": [{"id": 1}]}, 1),
-    ({"results": [{"id": 2}]}, 1),
-    ({"partners": [{"id": 3}]}, 1),
-    ({"companyName": "Only one", "id": 6}, 1),
-    ({}, 0),
-    (None, 0),
-    ("not a list", 0),
-    ({"items": [], "results": [{"id": 5}]}, 1),
-    ({"id": None}, 1),
-    ({"items": {"id": 1}}, 0),
-    ({"code": "E", "message": "m"}, 0),
-    ([5, "x", None, {"id": 1}], 4),
-    ({"items": [5], "results": [{"id": 5}]}, 1),
-    ({"list": [{"id": 1}], "records": ["a", "b"]}, 2),
-    ("[1,2]", 0),
-    ('{"id":1}', 0),
-    (7, 0),
-]
+def shapes():
+    """Bodies and their number of items, from the keys that may hold the list."""
+    found = [([{"zip": 4}, {"zip": 5}, {"zip": 6}], 3), ([], 0), ([None, 7, "t", [], {}], 5)]
+    for i, key in enumerate(LIST_KEYS):
+        found.append(({key: [{"zip": i}] * (i + 1)}, i + 1))
+        found.append(({key: {"zip": i}, "total": 2}, 0))
+        later = LIST_KEYS[(i + 1) % len(LIST_KEYS)]
+        # Of two filled lists the one whose key is named first in the rule counts.
+        pair = {later: [1] * 9, key: [1] * 2}
+        found.append((pair, 9 if i == len(LIST_KEYS) - 1 else 2))
+        found.append(({key: [], later: [1] * 4}, 4))
+    found += [({key: None}, 1) for key in SINGLE_KEYS] + [({"name": "n", "list": ["a"] * 6}, 6)]
+    found += [({"total": 3, "message": "none"}, 0), (None, 0), (True, 0), (2.5, 0), ("[{}]", 0), ({}, 0)]
+    return found
+
+
+SHAPES = shapes()
 
 
 @pytest.mark.parametrize("wrapped", [True, False])
@@ -91,8 +88,8 @@ def test_item_counts_of_every_shape(spark, lines, wrapped):
     counted = unwrap.records_per_line(lines(texts), ["i"])
     got = dict(counted.collect())
     assert [got[i] for i in range(len(SHAPES))] == [n for _, n in SHAPES]
-    direct = lines([json.dumps(b) for b in bodies]).select("i", unwrap.item_count(F.col("value")))
-    assert dict(direct.collect()) == got
+    direct = lines([json.dumps(b) for b in bodies]).select("i", typed.typed_json(F.col("value")).alias("t"))
+    assert dict(direct.select("i", unwrap.item_count(F.col("t"))).collect()) == got
 
 
 def test_body_key_with_null_is_not_a_bare_line(lines):
@@ -149,85 +146,34 @@ def test_quarantine_names_the_fields(lines, full_record):
     }
 
 
-TEXTS = ["", " ", "a", "A b", "é ", "　x", "t\tt", "n\nn", "\x00", 'q"q', "back\\slash", "{x", "[y",
-         "false", "0", "null", "ß", "日本", "a, b: c", '{"id":1}', "; "]
-
-
-def scalar(rng):
-    return rng.choice([None, True, False, 0, 1, -7, 12.5, 48.0, 0.25, *TEXTS, rng.choice(TEXTS) * 2])
-
-
-def free_value(rng, depth=2):
-    kind = rng.randrange(4 if depth else 2)
-    if kind == 2:
-        return [free_value(rng, depth - 1) for _ in range(rng.randrange(3))]
-    if kind == 3:
-        return {rng.choice("abc"): free_value(rng, depth - 1) for _ in range(rng.randrange(3))}
-    return rng.choice([None, True, False, 3, 2.5, "x", "a, b: c", 'q"q', "{x", "n\nn"])
-
-
-def random_record(rng):
-    from recordlake.schema import FREE_FORM_FIELDS, SCALAR_FIELDS
-
-    record = {f: scalar(rng) for f in SCALAR_FIELDS if rng.random() < 0.7}
-    if rng.random() < 0.7:
-        record["partnerDetails"] = rng.choice([None, {}, {
-            "firstName": scalar(rng), "about": scalar(rng),
-            "partnerContact": rng.choice([None, {"email": scalar(rng)}, {"phone": scalar(rng)}]),
-            "descriptions": [
-                {"description": scalar(rng), "isDefault": scalar(rng)} for _ in range(rng.randrange(4))
-            ],
-        }])
-    if rng.random() < 0.7:
-        record["businessType"] = [
-            rng.choice([{}, {"code": scalar(rng)}, {"code": scalar(rng), "name": scalar(rng)}])
-            for _ in range(rng.randrange(4))
-        ]
-    if rng.random() < 0.6:
-        record["programLevels"] = [
-            {"logoUrl": scalar(rng), "displayRank": scalar(rng), "b2cAvailable": scalar(rng)}
-            for _ in range(rng.randrange(3))
-        ]
-    for f in FREE_FORM_FIELDS:
-        if rng.random() < 0.5:
-            record[f] = [free_value(rng) for _ in range(rng.randrange(4))]
-    return record
-
-
-def random_body(rng):
-    from recordlake.schema import LIST_KEYS
-
-    def items():
-        mixed = [scalar(rng), [1], {"id": 2}]
-        return [
-            rng.choice(mixed) if rng.random() < 0.1 else random_record(rng)
-            for _ in range(rng.randrange(4))
-        ]
-
-    kind = rng.randrange(4)
-    if kind == 0:
-        return items()
-    if kind == 1:
-        return {k: rng.choice([items(), [], None, {"id": 1}, 3]) for k in rng.sample(LIST_KEYS, 3)}
-    if kind == 2:
-        return random_record(rng)
-    return rng.choice([None, "x", 5, True, {}, {"code": 1}, {"name": None}])
-
-
-def test_random_lines_agree_with_plain_python(lines):
-    rng = random.Random(20)
-    texts = []
-    for _ in range(1500):
-        body = random_body(rng)
-        line = rng.choice([{"url": "u", "body": body}, {"body": body, "n": 1}, body])
-        if line is body and isinstance(body, dict) and "body" in body:
-            continue
-        texts.append(json.dumps(line, ensure_ascii=rng.random() < 0.3, separators=rng.choice([None, (",", ":")])))
-    got = flat_rows(lines(texts))
-    want = {(i, pos): row for i, t in enumerate(texts) for pos, row in rows_of(t)}
-    assert got.keys() == want.keys()
+@pytest.mark.parametrize("keys", ["true", "false"])
+def test_lines_made_from_their_rows(spark, lines, keys):
+    """The same rows whatever the session says about repeated keys."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", keys)
+    drawn = made.lines(20 if keys == "true" else 21, 700)
+    got = flat_rows(lines([text for text, _ in drawn]))
+    spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    want = {(i, pos): row for i, (_, rows) in enumerate(drawn) for pos, row in rows.items()}
     for key, row in want.items():
-        assert got[key] == row, texts[key[0]]
+        assert got.get(key) == row, drawn[key[0]][0]
+    assert got.keys() == want.keys()
+
+
+@pytest.mark.parametrize("text", [
+    "{'id':1}", '{"body":[{"id":1}]}garbage', '[{"id":3}]x', '[{"id":1},]', '"a\tb"', "{id:1}", "01", "nan", "",
+    '{"body":[{"id":1}]', "[1 2]", '{"id":1}{"id":2}',
+])
+def test_what_is_no_json_is_rejected_with_its_text(lines, text):
+    df = lines([text, '[{"id":1}]'])
+    assert [tuple(r) for r in unwrap.rejected_lines(df, ["i"]).collect()] == [(0, text)]
+    assert list(flat_rows(df)) == [(1, 0)]
+
+
+def test_half_a_surrogate_pair_and_deep_nesting(lines):
+    deep = '{"id":1,"competence":' + "[" * 200 + "]" * 200 + "}"
+    rows = flat_rows(lines(['[{"id":1,"city":"a\\ud800b"}]', f"[{deep}]", "[" * 100000]))
+    assert rows[0, 0]["city"] == "a?b" and rows[1, 0]["competence"] == "[" * 199 + "]" * 199
+    assert set(rows) == {(0, 0), (1, 0)}
 
 
 def test_known_columns_first_then_extras(spark):

@@ -3,7 +3,6 @@
 import csv
 import glob
 import json
-import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,24 +12,30 @@ from recordlake.schema import FINGERPRINT_COLUMNS, OUTPUT_COLUMNS
 from recordlake.sources import raw as raw_source
 from recordlake.sources import sinks
 from recordlake.streaming import ingest
-from tests.plain import rows_of
-from tests.test_records import random_body
+from tests import made
 
 
 @pytest.fixture(scope="module")
-def raw_lines():
-    rng = random.Random(4)
-    bodies = [random_body(rng) for _ in range(150)]
-    bodies += [[{"id": 7, "companyName": "Kran", "city": "Oslo", "country": "Norge"}] * 2]
-    bodies += [[{"id": 8, "companyName": "Hjul", "city": "Bergen", "country": "Norge"}]]
-    return [json.dumps({"url": "u", "body": b}, ensure_ascii=False) for b in bodies]
+def drawn():
+    """Lines with the rows they must give, then copies in other letter case, then junk."""
+    rows = made.lines(4, 150)
+    pair = '[{"id":7,"companyName":"%s","city":"Oslo","about":"%s"}]'
+    blank = dict.fromkeys(OUTPUT_COLUMNS, "")
+    for name in ("Kran", "KRAN", "Hjul"):
+        rows.append((pair % (name, name), {0: blank | {"id": "7", "companyName": name, "city": "Oslo"}}))
+    return [(text, found) for text, found in rows if "\n" not in text] + [("no json", {}), ('{"body":[]}x', {})]
+
+
+@pytest.fixture(scope="module")
+def raw_lines(drawn):
+    return [text for text, _ in drawn]
 
 
 @pytest.fixture(scope="module")
 def raw_dir(raw_lines, tmp_path_factory):
     folder = tmp_path_factory.mktemp("raw")
     for part in range(3):
-        text = "\n".join(raw_lines[part * 51: (part + 1) * 51]) + "\n"
+        text = "\n".join(raw_lines[part * 52: (part + 1) * 52]) + "\n"
         (folder / f"raw-{part}.jsonl").write_text(text, encoding="utf-8")
     return str(folder)
 
@@ -40,11 +45,11 @@ def key_of(row):
 
 
 @pytest.fixture(scope="module")
-def expected(raw_lines):
+def expected(drawn):
     first = {}
-    for line in raw_lines:
-        for _, row in rows_of(line):
-            first.setdefault(key_of(row), row)
+    for _, rows in drawn:
+        for pos in sorted(rows):
+            first.setdefault(key_of(rows[pos]), rows[pos])
     return first
 
 
@@ -52,11 +57,12 @@ def as_rows(df):
     return {key_of(r): {c: r[c] for c in df.columns} for r in df.collect()}
 
 
-def test_batch_run_end_to_end(spark, raw_dir, raw_lines, expected, tmp_path):
+def test_batch_run_end_to_end(spark, raw_dir, raw_lines, drawn, expected, tmp_path):
     out = str(tmp_path / "out")
     result = run.run_batch(spark, raw_dir, out, "20240101_000000", formats=("csv", "json"))
-    assert result.parsed == sum(len(rows_of(x)) for x in raw_lines)
-    assert result.unique == len(expected)
+    assert result.parsed == sum(len(rows) for _, rows in drawn)
+    assert (result.unique, result.rejected) == (len(expected), 2)
+    assert sorted(r.line for r in result.rejects.collect()) == ["no json", '{"body":[]}x']
     filled = [c for c in OUTPUT_COLUMNS if any(r[c] for r in expected.values())]
     assert result.table.columns == filled
     want = {k: {c: r[c] for c in filled} for k, r in expected.items()}
@@ -92,27 +98,47 @@ def test_a_run_without_records_writes_no_export(spark, tmp_path):
     assert not glob.glob(str(tmp_path / "out" / "export*"))
 
 
-def test_stream_gives_the_same_identities_and_resumes(spark, raw_dir, raw_lines, expected, tmp_path):
+def test_stream_gives_the_same_rows_and_resumes(spark, raw_dir, raw_lines, drawn, expected, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     half = len(raw_lines) // 2
-    out, state, new = str(tmp_path / "out"), str(tmp_path / "state"), []
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
 
     def drain():
-        queries = ingest.run_stream(spark, str(source), out, state, backup=True)
-        for query in queries:
+        for query in ingest.run_stream(spark, str(source), out, state, backup=True):
             query.awaitTermination()
-        progress = [p for p in queries[0].recentProgress if "unique" in p.observedMetrics]
-        new.append(sum(p.observedMetrics["unique"].n for p in progress))
-        return as_rows(spark.read.parquet(f"{out}/records"))
 
     (source / "a.jsonl").write_text("\n".join(raw_lines[:half]), encoding="utf-8")
     drain()
     (source / "b.jsonl").write_text("\n".join(raw_lines), encoding="utf-8")
-    got = drain()
-    assert got.keys() == expected.keys()
-    assert spark.read.parquet(f"{out}/records").count() == len(expected) == sum(new)
+    drain()
     assert spark.read.text(f"{out}/raw").count() == half + len(raw_lines)
+    result = ingest.finish_stream(spark, out, "s", drop_empty=False)
+    assert as_rows(result.table) == expected
+    parsed = [len(rows) for _, rows in drawn]
+    assert result.parsed == sum(parsed[:half]) + sum(parsed)
+    assert result.unique == len(expected) and result.reports["summary"].first().n_rows == len(expected)
+    assert glob.glob(f"{out}/export_csv/run_ts=s/rows/part-*")
+
+
+def test_run_with_listing_and_attempts(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_text('[{"id":1},{"id":1,"partnerDetails":5},{"id":2}]\n')
+    entries = ",".join(f'{{"id":{i}}}' for i in range(1, 61))
+    (tmp_path / "list.json").write_text(f'{{"partnerLocations":[{entries}]}}')
+    attempts = [{"batch_idx": 0, "attempt": 0, "status": 200, "body": '[{"id":1}]'}]
+    attempts += [{"batch_idx": 1, "attempt": 4, "status": 200, "body": '[{"id":1}]'}]
+    (tmp_path / "attempts.json").write_text("\n".join(map(json.dumps, attempts)))
+    result = run.run_batch(
+        spark, str(tmp_path / "in"), str(tmp_path / "out"), "s", quarantine=True,
+        listing_path=str(tmp_path / "list.json"), attempts_path=str(tmp_path / "attempts.json"),
+    )
+    assert result.reports["missing"].count() == 58
+    assert {(r.batch_idx, r.final_status) for r in result.reports["batch_status"].collect()} == {(0, "success"), (1, "FAILED")}
+    lost = spark.read.json(f"{tmp_path}/out/lost_ids/run_ts=s")
+    assert sorted(r.id for r in lost.collect()) == list(range(51, 61))
+    bad = spark.read.parquet(f"{tmp_path}/out/quarantine/run_ts=s").collect()
+    assert [(r.record, r.fields) for r in bad] == [('{"id":1,"partnerDetails":5}', ["partnerDetails"])]
 
 
 def test_bounded_state_variant_keeps_one_of_each_key(spark, tmp_path):

@@ -58,22 +58,25 @@ def test_keyword_hits_in_list_order(pages):
         assert r.snippet == PAGE[max(0, r.at - 80): r.at + 200][:250]
 
 
-def test_known_ids_equal_substring_search(spark):
+@pytest.mark.parametrize("in_row", [2000, 0])
+def test_known_ids_equal_substring_search(spark, in_row):
+    """Ids of any letters and length, texts that share a key, both ways of searching."""
     rng = random.Random(2)
-    texts = [
-        "".join(rng.choice("0123456789 ab.") for _ in range(rng.randrange(80))) for _ in range(60)
-    ]
-    ids = [rng.randrange(10 ** rng.randrange(1, 5)) for _ in range(80)]
-    t = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
-    i = spark.createDataFrame([(x,) for x in ids], "id bigint")
-    got = {(r.k, r.known_id, r["at"], r.snippet) for r in textmine.known_id_hits(t, i, "k", "text", "id", range(1, 6)).collect()}
-    want = set()
+    texts = ["".join(rng.choice("0123 ab.-é") for _ in range(rng.randrange(80))) for _ in range(60)] + ["", None]
+    ids = ["".join(rng.choice("0123 ab.-é") for _ in range(rng.randrange(1, 5))) for _ in range(80)]
+    texts += ["x 12345678901234567890123 AB-77", "y 12345678901234567890123"]
+    ids += ["12345678901234567890123", "AB-77", "-5", "", None, "12345678901"]
+    t = spark.createDataFrame([(k % 7, x) for k, x in enumerate(texts)], "k int, text string")
+    i = spark.createDataFrame([(x,) for x in ids], "id string")
+    found = textmine.known_id_hits(t, i, "k", "text", "id", in_row=in_row).collect()
+    got = sorted((r.k, r.known_id, r["at"], r.snippet) for r in found)
+    want = []
     for k, text in enumerate(texts):
-        for x in {str(x) for x in ids}:
-            if x in text:
+        for x in set(ids) - {"", None}:
+            if x in (text or ""):
                 at = text.index(x)
-                want.add((k, x, at, text[max(0, at - 50): at + 100]))
-    assert got == want
+                want.append((k % 7, x, at, text[max(0, at - 50): at + 100]))
+    assert got == sorted(want)
 
 
 LOG = [
@@ -141,8 +144,7 @@ def test_named_arrays_equal_a_plain_walk(spark):
     rng = random.Random(11)
     trees = [{"r": random_tree(rng, 5), "ids": random_tree(rng, 2)} for _ in range(120)]
     df = spark.createDataFrame([(i, json.dumps(t)) for i, t in enumerate(trees)], "i int, t string")
-    parsed = df.select("i", F.try_parse_json("t").alias("v"))
-    got = sorted((r.i, r.path, r.n_items, r["sample"]) for r in jsonpath.named_arrays(parsed, "v", keep=["i"]).collect())
+    got = sorted((r.i, r.path, r.n_items, r["sample"]) for r in jsonpath.named_arrays(df, "t", keep=["i"]).collect())
     want = sorted((i, *hit) for i, t in enumerate(trees) for hit in walk(t, "$", 1, []))
     assert want and got == want
 
