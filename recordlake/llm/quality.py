@@ -22,10 +22,11 @@ from recordlake.llm.bpe import _type
 from recordlake.llm.store import bounded, held_out
 
 BITS = 18
-# At most this many labelled rows are learned from, in this many shards.
+# At most this many labelled rows are learned from, in shards of at least SHARD_ROWS. Passes
+# over fewer rows are repeated until about TRAINING_ROWS * MIN_PASSES examples were seen.
 TRAINING_ROWS = 16_000
-SHARDS = 8
-EPOCHS = 3
+SHARD_ROWS = 2_000
+MIN_PASSES, MAX_PASSES = 3, 30
 ALPHA, BETA, L1, L2 = 0.4, 1.0, 0.02, 0.5
 THRESHOLD = 0.7
 
@@ -68,7 +69,7 @@ def _shapes(data, starts, ends):
     return (sums[ends] - sums[starts]) * inverse[place[starts]]
 
 
-def train(texts: pa.Array, labels: np.ndarray) -> np.ndarray:
+def train(texts: pa.Array, labels: np.ndarray, passes: int = MIN_PASSES) -> np.ndarray:
     """Weights (the bias last) after FTRL-proximal updates in the order given."""
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
@@ -82,7 +83,7 @@ def train(texts: pa.Array, labels: np.ndarray) -> np.ndarray:
             f, which = np.unique(index[own], return_inverse=True)
             x = np.bincount(which, value[own], len(f)) if len(f) else np.zeros(0)
             examples.append((np.append(f, size), np.append(x, 1.0)))
-    for _ in range(EPOCHS):
+    for _ in range(passes):
         for (f, x), y in zip(examples, labels):
             w = _weights(z[f], n[f], f == size)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
@@ -111,17 +112,20 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS)
     )
     # The sample has a fixed bound (16,000 small rows), so it can be broadcast.
     sample = bounded(known, "doc_id", training_rows)
+    size = sample.count()
+    shards = max(1, size // SHARD_ROWS)
+    passes = min(MAX_PASSES, max(MIN_PASSES, TRAINING_ROWS * MIN_PASSES // max(size, 1)))
     rows = (
         docs.where(F.col("text").isNotNull()).select("doc_id", "text")
         .join(F.broadcast(sample), "doc_id")
-        .select((F.xxhash64("doc_id") % SHARDS).alias("_shard"), "doc_id", "text", "_label")
+        .select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("_shard"), "doc_id", "text", "_label")
     )
 
     def one(table):
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         order = np.random.default_rng(11).permutation(len(table))
         table = table.take(pa.array(order))
-        weights = train(table["text"], (table["_label"].to_numpy() > 0).astype(float))
+        weights = train(table["text"], (table["_label"].to_numpy() > 0).astype(float), passes)
         return pa.table({"rows": pa.array([len(table)], pa.int64()), "weights": pa.array([weights.tobytes()], pa.binary())})
 
     # A fixed number of shards: what reaches the driver has a fixed size.
