@@ -16,7 +16,7 @@ from recordlake.schema import (
     PROGRAM_LEVEL_FIELDS,
     SCALAR_FIELDS,
 )
-from recordlake.session import built_once
+from recordlake.session import built_once, scratch_path
 
 
 # Output columns that are one cleaned scalar each; the rest is joined from lists.
@@ -79,5 +79,12 @@ def empty_columns(df: DataFrame) -> list[str]:
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
-    """Leave out columns blank in every row. Runs one aggregate to learn which."""
-    return df.drop(*empty_columns(df))
+    """Leave out columns blank in every row.
+
+    The table is stored in the shared folder first, so that the rows are made once: one
+    aggregate over the stored columns tells which to keep, the result reads those.
+    """
+    path = scratch_path(df.sparkSession, "columns")
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.drop(*empty_columns(stored))
