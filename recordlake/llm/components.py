@@ -50,9 +50,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = _pointing_down(
-            both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
+        # Repeated edges do no harm until the end of the round.
+        large = both.where("v > u").join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")

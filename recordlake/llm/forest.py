@@ -5,10 +5,12 @@ smallest id goes on. Every tree of the forest sorts the classes by its own seque
 values; documents that share a prefix of at least ``MIN_DEPTH`` values are a region. Regions
 are searched from the deepest prefixes to the shallowest: first every document meets its
 neighbours in the sorted orders, where common prefixes are longest, and takes the most alike
-one. What these links join needs no further comparison, so large groups of near copies, whose
-regions would hold all pairs, are settled by a number of pairs that follows their size. Then
-each region that still holds several components is searched down to ``MIN_DEPTH`` for pairs
-of different components. Every candidate pair is confirmed on the full sets.
+one. What these links join needs no further comparison. Where regions still hold several
+components, every document outside a region's largest one takes its most alike partner of
+another component there, twice over; so large groups of near copies, whose regions would hold
+all pairs, are settled by a number of pairs that follows their size. The regions that are
+left are then searched for all pairs of different components. Every candidate pair is
+confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -205,14 +207,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return both.mapInArrow(check, f"a {id_type}, b {id_type}")
 
 
-def across(forest: DataFrame, parts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+def across(forest: DataFrame, parts: DataFrame, reps: DataFrame, least: int, best: bool) -> DataFrame:
     """Candidate pairs (a, b) of different components within a region.
 
     In each region the rows outside its largest component meet all rows, so the work follows
     the region's size times what is not settled yet. Rows are dealt in blocks of bounded size.
+    With ``best`` each of these rows takes its most alike partner in the region only; otherwise
+    all pairs come, each from the first tree in which the two share a region.
     """
     rows = (
-        forest.select("region", "rep").distinct()
+        forest.select("tree", "region", "rep")
         .join(parts.withColumnRenamed("id", "rep"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
     )
@@ -226,7 +230,7 @@ def across(forest: DataFrame, parts: DataFrame, reps: DataFrame, least: int) ->
     )
     mixed = rows.join(sizes, "region").join(reps.select("rep", "signature"), "rep")
     place = F.xxhash64("rep", F.lit(5))
-    common = ["region", "rep", "component", "signature"]
+    common = ["tree", "region", "rep", "component", "signature"]
     minor = mixed.where("component <> _main").select(
         *common, F.lit(True).alias("left"), F.pmod(place, F.col("_lefts")).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("_rights") - 1)).alias("j"))
@@ -240,20 +244,31 @@ def across(forest: DataFrame, parts: DataFrame, reps: DataFrame, least: int) ->
         ids, part = table["rep"].to_numpy(), table["component"].to_numpy()
         signs = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u4").reshape(len(ids), -1)
         x, y = np.flatnonzero(left), np.flatnonzero(~left)
+        # Tree by tree, the values that name a document's region.
+        names = signs.reshape(len(ids), TREES, DEPTH)[:, : table["tree"][0].as_py(), :MIN_DEPTH]
         a, b = [np.zeros(0, ids.dtype)], [np.zeros(0, ids.dtype)]
         for s in range(0, len(x), 16):
             own = x[s : s + 16]
             alike = np.zeros((len(own), len(y)), np.int16)
             for k in range(signs.shape[1]):
                 alike += signs[own, k][:, None] == signs[y, k][None, :]
-            i, j = np.nonzero((alike >= least) & (part[own][:, None] != part[y][None, :]))
+            alike[part[own][:, None] == part[y][None, :]] = 0
+            if best:
+                j = alike.argmax(1)
+                i = np.flatnonzero(alike[np.arange(len(own)), j] >= least)
+                j = j[i]
+            else:
+                i, j = np.nonzero(alike >= least)
+                met = (names[own[i]] == names[y[j]]).all(2).any(1)
+                i, j = i[~met], j[~met]
             a.append(ids[own[i]])
             b.append(ids[y[j]])
         a, b = np.concatenate(a), np.concatenate(b)
         kind = table.schema.field("rep").type
         return pa.table({"a": pa.array(np.minimum(a, b), kind), "b": pa.array(np.maximum(a, b), kind)})
 
-    return minor.unionByName(every).groupBy("region", "i", "j").applyInArrow(meet, f"a {id_type}, b {id_type}").distinct()
+    dealt = minor.unionByName(every).groupBy("region", "i", "j")
+    return dealt.applyInArrow(meet, f"a {id_type}, b {id_type}").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
@@ -282,14 +297,15 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     ).distinct()
     links = stored(confirmed(best, texts, size, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "forest-links")
     parts = components(links)
-    # Then whatever regions still hold several components.
-    rest = stored(across(forest, parts, reps, least), "forest-rest")
-    more = confirmed(rest, texts, size, percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    more = stored(more, "forest-links")
-    if not more.isEmpty():
-        joined = parts.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more)
-        parts = components(joined)
-    release(forest, texts, links, rest)
+    # Then across components: best partners, then all pairs of what is left.
+    for best in (True, True, False):
+        pairs = across(forest, parts, reps, least, best)
+        more = stored(
+            confirmed(pairs, texts, size, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "forest-links"
+        )
+        if not more.isEmpty():
+            parts = components(parts.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more))
+    release(forest, texts, links)
     return _result(signed, reps, parts)
 
 
