@@ -23,6 +23,9 @@ REPEATS = 3
 BLOCK_WORDS = 64
 SLOTS_PER_SHARD = 4096
 MAX_SHARDS = 2048
+# Slots that one task fills. The rows that describe them are few bytes, so their number has
+# to be asked for.
+SLOTS_PER_TASK = 100_000
 # Documents in the slice of a stream that one task numbers.
 SLICE_ROWS = 20_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -151,7 +154,7 @@ class Mix:
         rows = [(*r, total[r[0]]) for r in rows]
         drawn = self.spark.createDataFrame(
             rows, "shard int, source_no int, first long, n long, at long, n_blocks long, shard_slots long"
-        ).repartition("shard", "source_no")
+        ).repartition(max(1, -(-int(counts.sum()) // SLOTS_PER_TASK)), "shard")
         seed = self.seed
 
         def fill(batches):
