@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 
 # White space as in the tokenizer's own matcher: the Unicode property.
 PATTERN = public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-CACHED_PIECES = 600_000
-KNOWN_PAIRS = 1_000_000
+CACHED_PIECES = 150_000
+KNOWN_PAIRS = 250_000
 CACHED_BYTES = 128
 
 

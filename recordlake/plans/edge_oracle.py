@@ -10,7 +10,7 @@ _MARKS = "|| ' ref AB-' || {k} % 500 || ' ' || lpad({k}::VARCHAR, 24, '7') || '
 def _known(source: str, key: str, body: str) -> str:
     return f"""
       WITH texts AS (SELECT {key} % 3 AS "group", {body} {_MARKS.format(k=key)} AS text FROM {source}),
-      ids AS (SELECT unnest(['AB-' || s_suppkey, lpad(s_suppkey::VARCHAR, 24, '7'), '-' || s_suppkey,
+      ids AS (SELECT DISTINCT unnest(['AB-' || s_suppkey, lpad(s_suppkey::VARCHAR, 24, '7'), '-' || s_suppkey,
         ' é' || s_suppkey]) AS id FROM supplier)
       SELECT "group", id AS known_id, (strpos(text, id) - 1)::INT AS "at",
         substring(text, greatest(1, strpos(text, id) - 50), strpos(text, id) + 100 - greatest(1, strpos(text, id) - 50))
