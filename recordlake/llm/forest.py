@@ -191,30 +191,41 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                sets = []
-                for k in (2, 3):
-                    own = []
-                    for _, _, data, offsets in bs.chunks(part.column(k)):
-                        found, cuts = shingle_sets(data, offsets, size)
-                        own += [found[i:j] for i, j in zip(cuts, cuts[1:])]
-                    sets.append(own)
-                good = []
-                for x, y in zip(*sets):
-                    both_have = len(np.intersect1d(x, y, assume_unique=True))
-                    good.append(both_have > 0 and 100 * both_have >= percent * (len(x) + len(y) - both_have))
+                n = np.arange(part.num_rows)
+                good = _similar(pa.chunked_array([part.column(2), part.column(3)]), n, n + len(n), size, percent)
                 yield part.select(["a", "b"]).filter(pa.array(good))
 
     return both.mapInArrow(check, f"a {id_type}, b {id_type}")
 
 
-def across(forest: DataFrame, parts: DataFrame, reps: DataFrame, least: int, best: bool) -> DataFrame:
-    """Candidate pairs (a, b) of different components within a region.
+def _similar(texts: pa.ChunkedArray, a: np.ndarray, b: np.ndarray, size: int, percent: int) -> np.ndarray:
+    """Which pairs of rows have shingle sets that are similar enough."""
+    rows, which = np.unique(np.concatenate([a, b]), return_inverse=True)
+    sets = []
+    for _, _, data, offsets in bs.chunks(texts.take(pa.array(rows))):
+        found, cuts = shingle_sets(data, offsets, size)
+        sets += [found[i:j] for i, j in zip(cuts, cuts[1:])]
+    good = np.zeros(len(a), bool)
+    for k, (i, j) in enumerate(zip(which[: len(a)], which[len(a) :])):
+        x, y = sets[i], sets[j]
+        if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            good[k] = common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
+    return good
+
+
+def across(
+    forest: DataFrame, parts: DataFrame, reps: DataFrame, percent: int, size: int, texts: DataFrame | None = None
+) -> DataFrame:
+    """Pairs (a, b) of different components within a region.
 
     In each region the rows outside its largest component meet all rows, so the work follows
     the region's size times what is not settled yet. Rows are dealt in blocks of bounded size.
-    With ``best`` each of these rows takes its most alike partner in the region only; otherwise
-    all pairs come, each from the first tree in which the two share a region.
+    Without ``texts`` each of these rows takes its most alike partner in the region, as a
+    candidate. With ``texts`` all pairs are tried, each in the first tree in which the two
+    share a region, and confirmed on the full sets where they meet: only links come back.
     """
+    least, best = least_agreement(percent), texts is None
     rows = (
         forest.select("tree", "region", "rep")
         .join(parts.withColumnRenamed("id", "rep"), "rep", "left")
@@ -231,6 +242,9 @@ def across(forest: DataFrame, parts: DataFrame, reps: DataFrame, least: int, bes
     mixed = rows.join(sizes, "region").join(reps.select("rep", "signature"), "rep")
     place = F.xxhash64("rep", F.lit(5))
     common = ["tree", "region", "rep", "component", "signature"]
+    if not best:
+        mixed = mixed.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+        common.append("text")
     minor = mixed.where("component <> _main").select(
         *common, F.lit(True).alias("left"), F.pmod(place, F.col("_lefts")).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("_rights") - 1)).alias("j"))
@@ -246,7 +260,7 @@ def across(forest: DataFrame, parts: DataFrame, reps: DataFrame, least: int, bes
         x, y = np.flatnonzero(left), np.flatnonzero(~left)
         # Tree by tree, the values that name a document's region.
         names = signs.reshape(len(ids), TREES, DEPTH)[:, : table["tree"][0].as_py(), :MIN_DEPTH]
-        a, b = [np.zeros(0, ids.dtype)], [np.zeros(0, ids.dtype)]
+        a, b = [x[:0]], [y[:0]]
         for s in range(0, len(x), 16):
             own = x[s : s + 16]
             alike = np.zeros((len(own), len(y)), np.int16)
@@ -261,9 +275,13 @@ def across(forest: DataFrame, parts: DataFrame, reps: DataFrame, least: int, bes
                 i, j = np.nonzero(alike >= least)
                 met = (names[own[i]] == names[y[j]]).all(2).any(1)
                 i, j = i[~met], j[~met]
-            a.append(ids[own[i]])
-            b.append(ids[y[j]])
+            a.append(own[i])
+            b.append(y[j])
         a, b = np.concatenate(a), np.concatenate(b)
+        if not best:
+            good = _similar(table["text"], a, b, size, percent)
+            a, b = a[good], b[good]
+        a, b = ids[a], ids[b]
         kind = table.schema.field("rep").type
         return pa.table({"a": pa.array(np.minimum(a, b), kind), "b": pa.array(np.maximum(a, b), kind)})
 
@@ -279,6 +297,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     Rows with the same id are one node, linked if any of their texts is. A null id has a null
     component and is kept. Other columns are not read; an empty table gives an empty table.
     """
+    return _result(*_linked(docs, size, percent))
+
+
+def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signed documents, their classes and the components of linked classes, all stored."""
     signed = stored(signatures(docs, size), "signed")
     reps = stored(classes(signed), "classes")
     forest = stored(regions(reps), "forest")
@@ -298,15 +321,16 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     links = stored(confirmed(best, texts, size, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "forest-links")
     parts = components(links)
     # Then across components: best partners, then all pairs of what is left.
-    for best in (True, True, False):
-        pairs = across(forest, parts, reps, least, best)
-        more = stored(
-            confirmed(pairs, texts, size, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "forest-links"
-        )
+    for last in (False, False, True):
+        if last:
+            more = across(forest, parts, reps, percent, size, texts)
+        else:
+            more = confirmed(across(forest, parts, reps, percent, size), texts, size, percent)
+        more = stored(more.select(F.col("a").alias("u"), F.col("b").alias("v")), "forest-links")
         if not more.isEmpty():
             parts = components(parts.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more))
     release(forest, texts, links)
-    return _result(signed, reps, parts)
+    return signed, reps, parts
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -314,8 +338,10 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     Rows with the same id stay or go together; rows with a null id stay.
     """
-    gone = near_duplicates(docs, size, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    linked = _linked(docs, size, percent)
+    gone = _result(*linked).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     gone = small(stored(gone, "near-copies"))
+    release(*linked)
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
