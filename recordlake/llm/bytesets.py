@@ -22,7 +22,7 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 # Bytes of text handled at once: bounds the memory of a task. A longer text goes alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 

@@ -42,11 +42,11 @@ LENGTH = 100
 GRAM = 32
 SHARD_ANCHORS = 400_000
 COLLECTION_BYTES = 6 << 20
-FLUSH_ANCHORS = 1_000_000
-FLUSH_BYTES = 16 << 20
+FLUSH_ANCHORS = 600_000
+FLUSH_BYTES = 12 << 20
 # An anchor with so many candidate strings is dealt out window by window.
 HOT_STRINGS = 200_000
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _PLACE = np.uint64((1 << 24) - 1)
 _NO_ID = -(2**63)
 ANCHOR = np.dtype([("h", "<u8"), ("p", "<u4"), ("before", "u1"), ("more", "u1")])
@@ -191,7 +191,11 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_anchors(rows: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
-    """(id, copy, records): the runs of every document whose anchor occurs more than once."""
+    """(id, copy, h, place): the runs of every document whose anchor occurs more than once.
+
+    ``h`` is the anchor's hash; ``place`` holds its position, the bytes from the first window
+    to it, and the windows after the first (32, 8 and 8 bits).
+    """
 
     def find(batches):
         held, size = [], 0
@@ -254,28 +258,23 @@ def repeated_anchors(rows: DataFrame, shards: int, length: int, gram: int) -> Da
                 keep = (times[which] > 1) & ~known
                 ids, copies, records = ids[keep], copies[keep], records[keep]
             parts.append((ids, copies, records))
-        return _by_document(*(np.concatenate(x) for x in zip(*parts)))
+        ids, copies, records = (np.concatenate(x) for x in zip(*parts))
+        place = records["p"].astype(np.int64) | records["before"].astype(np.int64) << 32 | records["more"].astype(np.int64) << 40
+        return pa.table({
+            "id": pa.array(ids), "copy": pa.array(copies), "h": pa.array(records["h"].astype(np.uint64).view(np.int64)),
+            "place": pa.array(place),
+        })
 
-    return sent.groupBy("shard").applyInArrow(meet, "id long, copy int, records binary")
+    return sent.groupBy("shard").applyInArrow(meet, "id long, copy int, h long, place long")
 
 
 def hot_anchors(found: DataFrame, limit: int) -> set[int]:
-    """Hashes of all anchors with ``limit`` or more strings, and of some with at least half.
+    """Hashes of the anchors with ``limit`` or more strings.
 
-    Each task names its anchors that reach a task's share of half the limit; so at most 2 * strings / limit
-    hashes come back, and a missed one has fewer than ``limit`` strings.
+    There are at most strings / limit of them, whatever the corpus holds.
     """
-    tasks = max(1, found.rdd.getNumPartitions())
-    least = max(2, limit // (2 * tasks))
-
-    def count(batches):
-        hashes = [np.frombuffer(_join_binary(b.column(0)), ANCHOR)["h"] for b in batches]
-        values, times = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]), return_counts=True)
-        many = times >= least
-        yield pa.RecordBatch.from_arrays([pa.array(values[many].view(np.int64)), pa.array(times[many])], ["h", "n"])
-
-    counted = found.select("records").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return {r["h"] % 2**64 for r in counted.where(F.col("n") >= limit // 2).select("h").collect()}
+    counted = found.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= limit)
+    return {r["h"] for r in counted.select("h").collect()}
 
 
 def repeated_spans(rows: DataFrame, found: DataFrame, collections: int, length: int, gram: int, hot: set[int]) -> DataFrame:
@@ -283,7 +282,7 @@ def repeated_spans(rows: DataFrame, found: DataFrame, collections: int, length:
     width = 2 * length - gram
     lead = length - gram
     sent = rows.sparkSession.sparkContext.broadcast(hot)
-    lists = found.groupBy("id", "copy").agg(F.collect_list("records").alias("_records"))
+    lists = found.groupBy("id", "copy").agg(F.collect_list(F.struct("h", "place")).alias("_records"))
     joined = rows.select("_id", "_copy", "text").join(
         lists, (F.col("_id") == F.col("id")) & (F.col("_copy") == F.col("copy"))
     ).select("_id", "_copy", F.col("text").cast("binary").alias("text"), "_records")
@@ -291,11 +290,14 @@ def repeated_spans(rows: DataFrame, found: DataFrame, collections: int, length:
     def cut(batches):
         state = {}, [], 0
         for batch in batches:
-            for doc, copy, text, lists in zip(*(batch.column(k) for k in range(4))):
-                doc, copy, text = doc.as_py(), copy.as_py(), text.as_py()
-                records = np.sort(np.frombuffer(b"".join(lists.as_py()), ANCHOR), order="p")
+            lists = batch.column(3)
+            cuts, flat = lists.offsets.to_pylist(), lists.values
+            hashes, places = (flat.field(k).to_numpy() for k in ("h", "place"))
+            own = zip(*(batch.column(k).to_pylist() for k in range(3)))
+            for (doc, copy, text), low, high in zip(own, cuts, cuts[1:]):
                 strings, copies, size = state
-                for h, p, before, more in records.tolist():
+                for h, place in zip(hashes[low:high].tolist(), places[low:high].tolist()):
+                    p, before, more = place & 0xFFFFFFFF, place >> 32 & 0xFF, place >> 40
                     first = p - before
                     if h in sent.value:
                         for k in range(more + 1):
@@ -329,11 +331,12 @@ def repeated_spans(rows: DataFrame, found: DataFrame, collections: int, length:
         for (low, piece), (doc, copy, p, to) in strings.items():
             groups.setdefault(to % collections, []).append((doc, copy, p, low, piece))
         for to, own in groups.items():
-            doc, copy, p, low, pieces = zip(*own)
+            # Like strings next to each other, for the compression.
+            doc, copy, p, low, pieces = zip(*sorted(own, key=lambda x: x[4]))
             places = np.array(p, np.uint32).tobytes()
             lows = np.array(low, np.uint8).tobytes()
             sizes = np.array([len(x) for x in pieces], np.uint8).tobytes()
-            out.append((to, 0, np.array(doc, np.int64).tobytes(), np.array(copy, np.int32).tobytes(), places, lows, sizes, b"".join(pieces)))
+            out.append((to, 0, np.array(doc, np.int64).tobytes(), np.array(copy, np.int32).tobytes(), places, lows, sizes, pa.compress(b"".join(pieces), "zstd", asbytes=True)))
         if copies:
             doc, copy, start, end = zip(*copies)
             table = _merged(np.array(doc, np.int64), np.array(copy, np.int32), np.array(start, np.int64), np.array(end, np.int64))
@@ -354,7 +357,9 @@ def repeated_spans(rows: DataFrame, found: DataFrame, collections: int, length:
         p = np.frombuffer(_join_binary(own["places"]), np.uint32).astype(np.int64)
         low = np.frombuffer(_join_binary(own["lows"]), np.uint8).astype(np.int64)
         sizes = np.frombuffer(_join_binary(own["sizes"]), np.uint8).astype(np.int64)
-        data = np.frombuffer(_join_binary(own["bytes"]), np.uint8)
+        packed = zip(own["sizes"].to_pylist(), own["bytes"].to_pylist())
+        data = np.frombuffer(b"".join(
+            pa.decompress(b, int(np.frombuffer(n, np.uint8).sum(dtype=np.int64)), "zstd", asbytes=True) for n, b in packed), np.uint8)
         order = np.lexsort((p, copies, ids))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
