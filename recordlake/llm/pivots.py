@@ -1,12 +1,15 @@
-"""Embedding near-duplicates through a pivot-permutation index.
-
-Reference points (pivots) are a bounded sample of the vectors. Every vector is described by
-its nearest pivots in order; each of these puts it on that pivot's inverted list. Two vectors
-are candidates if they share enough pivots. A pair is looked at on the list of the smallest
-pivot number it shares, so once. Shared pivots are counted for a block of a list at a time,
-candidates are verified by cosine in double precision, and a block returns link counts and a
-spanning star per local component instead of pairs. Long lists are cut into blocks, and the
-pairs of blocks are dealt out, so no task holds more than two blocks of a list.
+"""Embedding near-duplicates through an exact pivot index.
+
+Reference points (pivots) are a bounded sample of the vectors, thinned so that no two of them
+are as alike as linked vectors. Every vector is at home on the list of its nearest pivot. It
+also visits the list of every pivot with a smaller number for which a vector at home there
+could be linked with it: linked vectors are at most an angle apart, so the plane half-way
+between the two pivots, which the arc from one to the other crosses, is within that angle of
+both. So two linked vectors always meet, whatever the density around them, once, on the list
+of the smaller of their homes; there rows at home meet each other and the visitors. Long lists
+are cut into blocks, and the pairs of blocks are dealt out, so no task holds more than two
+blocks of a list. A pair of blocks is compared by cosine in double precision and returns link
+counts and a spanning star per local component instead of pairs.
 """
 
 from __future__ import annotations
@@ -21,12 +24,16 @@ from recordlake.llm.components import components, local_components
 from recordlake.llm.store import bounded, stored
 
 THRESHOLD = 0.93
-# Bounds of the index: pivots, pivots per vector, and how many two vectors must share.
+# Bounds of the index: pivots, and rows per pivot of the largest label.
 MAX_PIVOTS = 2048
-MIN_PIVOTS = 32
-NEAREST = 8
-SHARED = 2
-BLOCK = 1024
+MIN_PIVOTS = 8
+CELL = 8192
+# Rows of a block that share one matrix product, rows of a block, and numbers in one.
+SHARED = 256
+BLOCK = 8192
+BLOCK_VALUES = 1 << 19
+# Far more than rounding moves a cosine.
+SLACK = 1e-9
 
 
 def usable_vectors(vectors: DataFrame) -> DataFrame:
@@ -54,98 +61,147 @@ def _matrix(column, dim: int) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def choose_pivots(rows: DataFrame, count: int) -> dict[int, np.ndarray]:
-    """Unit pivots by dimension: at most ``count`` of each, chosen by a hash of the id."""
-    dims = [r["dim"] for r in rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(16).collect()]
+def thinned(x: np.ndarray, threshold: float, count: int) -> np.ndarray:
+    """At most ``count`` of the unit rows, none with a cosine of ``threshold`` to an earlier one."""
+    kept = np.empty((min(count, len(x)), x.shape[1]))
+    n = 0
+    for row in x:
+        if n < len(kept) and (n == 0 or (kept[:n] @ row).max() < threshold):
+            kept[n] = row
+            n += 1
+    return kept[:n]
+
+
+def choose_pivots(rows: DataFrame, threshold: float = THRESHOLD) -> dict[int, np.ndarray]:
+    """Unit pivots by dimension, in the order of a hash of the id and thinned."""
+    sizes = rows.groupBy("dim", "label").count().groupBy("dim").agg(F.sum("count").alias("n"), F.max("count").alias("top"))
     found = {}
-    for dim in dims:
-        picked = bounded(rows.where(F.col("dim") == dim).select("vec_id", "v"), "vec_id", count).collect()
+    for dim, _, top in sizes.orderBy(F.desc("n"), "dim").limit(16).collect():
+        count = min(MAX_PIVOTS, max(MIN_PIVOTS, -(-top // CELL)))
+        picked = bounded(rows.where(F.col("dim") == dim).select("vec_id", "v"), "vec_id", min(4 * count, 2 * MAX_PIVOTS)).collect()
         x = np.array([r["v"] for r in picked]).reshape(-1, dim)
         x = x / np.abs(x).max(1, keepdims=True)
-        found[dim] = x / np.sqrt((x * x).sum(1, keepdims=True))
+        found[dim] = thinned(x / np.sqrt((x * x).sum(1, keepdims=True)), threshold, count)
     return found
 
 
-def inverted_lists(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """``rows`` with near (pivot numbers, nearest first), one row per pivot of a vector.
+def visited(cosine: np.ndarray, gaps: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of cosines with the pivots its home, and which pivots' lists it visits.
+
+    ``gaps`` has the distances between pivots. The sine of the angle between a vector and the
+    plane half-way between its home and another pivot is the difference of its cosines with
+    them over their distance.
+    """
+    home = cosine.argmax(1)
+    reach = (1 - threshold**2) ** 0.5 if threshold > 0 else 1.0
+    nearer = cosine[np.arange(len(home)), home][:, None] - cosine
+    return home, (nearer <= reach * gaps[home] + SLACK) & (np.arange(cosine.shape[1]) < home[:, None])
+
+
+def inverted_lists(rows: DataFrame, pivots: dict[int, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
+    """``rows`` with pivot and visitor, one row per list that a vector is on.
 
     Vectors of a dimension without pivots share one list, so they are still compared.
     """
     sent = rows.sparkSession.sparkContext.broadcast(pivots)
 
     def describe(batches):
+        gaps = {d: np.sqrt(np.maximum(2 - 2 * (p @ p.T), 0)) for d, p in sent.value.items()}
         for batch in batches:
-            for start in range(0, batch.num_rows, 4000):
-                part = batch.slice(start, 4000)
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
                 dims = part.column(2).to_numpy()
-                near = [None] * part.num_rows
+                home, lists = np.zeros(part.num_rows, np.int32), [[]] * part.num_rows
                 for dim in np.unique(dims):
-                    own = np.flatnonzero(dims == dim)
                     p = sent.value.get(int(dim))
                     if p is None:
-                        order = np.zeros((len(own), 1), np.int32)
-                    else:
-                        cosine = _matrix(part.column(3).take(pa.array(own)), int(dim)) @ p.T
-                        order = np.argsort(-cosine, axis=1, kind="stable")[:, :NEAREST].astype(np.int32)
-                    for i, o in zip(own, order):
-                        near[i] = o
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near, pa.list_(pa.int32()))], names)
-
-    names = ["vec_id", "label", "dim", "v", "near"]
-    schema = f"vec_id {_type(rows, 'vec_id')}, label {_type(rows, 'label')}, dim int, v array<double>, near array<int>"
-    described = rows.select("vec_id", "label", "dim", "v").mapInArrow(describe, schema)
-    return described.withColumn("pivot", F.explode("near"))
+                        continue
+                    own = np.flatnonzero(dims == dim)
+                    cosine = _matrix(part.column(3).take(pa.array(own)), int(dim)) @ p.T
+                    home[own], wanted = visited(cosine, gaps[int(dim)], threshold)
+                    for i, w in zip(own, wanted):
+                        lists[i] = np.flatnonzero(w).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home), pa.array(lists, pa.list_(pa.int32()))], names)
+
+    names = ["vec_id", "label", "dim", "v", "home", "visits"]
+    schema = (
+        f"vec_id {_type(rows, 'vec_id')}, label {_type(rows, 'label')}, dim int, v array<double>, "
+        "home int, visits array<int>"
+    )
+    # Written, so that every reader sees the same homes, however products are rounded.
+    described = stored(rows.select("vec_id", "label", "dim", "v").mapInArrow(describe, schema), "vector-homes")
+    place = F.explode(F.concat(
+        F.array(F.struct(F.col("home").alias("pivot"), F.lit(False).alias("visitor"))),
+        F.transform("visits", lambda p: F.struct(p.alias("pivot"), F.lit(True).alias("visitor"))),
+    ))
+    return described.select("vec_id", "label", "dim", "v", place.alias("_p")).select("vec_id", "label", "dim", "v", "_p.*")
 
 
 def links(lists: DataFrame, threshold: float = THRESHOLD, shared: int = SHARED, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, root): per vector and pair of blocks, verified links and the smallest
     vec_id of its component among the block's links. Vectors without a link do not appear."""
     keys = ["label", "dim", "pivot"]
-    sizes = lists.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
-    mine = F.pmod(F.xxhash64("vec_id", F.lit(23)), F.col("_blocks")).cast("int")
+    room = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(BLOCK_VALUES) / F.col("dim"))))
+    sizes = lists.groupBy(*keys).agg(
+        F.ceil(F.count_if(~F.col("visitor")) / room).cast("int").alias("_homes"),
+        F.ceil(F.count_if("visitor") / room).cast("int").alias("_visitors"),
+    ).where("_homes > 0")
+    blocks = F.when(F.col("visitor"), F.col("_visitors")).otherwise(F.col("_homes"))
+    mine = F.col("_mine")
+
+    def met(n, low, high, across):
+        found = F.transform(
+            F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+            lambda o: F.struct(low(o).alias("_low"), high(o).alias("_high"), F.lit(across).alias("_across")),
+        )
+        return F.slice(found, F.lit(1), n)
+
+    at_home = F.concat(
+        met(F.col("_homes"), lambda o: F.least(mine, o), lambda o: F.greatest(mine, o), False),
+        met(F.col("_visitors"), lambda o: mine, lambda o: o, True),
+    )
+    visiting = met(F.col("_homes"), lambda o: o, lambda o: mine, True)
     dealt = (
-        lists.join(sizes, keys).withColumn("_mine", mine)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .withColumn("_low", F.least("_mine", "_other")).withColumn("_high", F.greatest("_mine", "_other"))
-        .select("vec_id", "v", "near", "_mine", *keys, "_low", "_high")
+        lists.join(sizes, keys).withColumn("_mine", F.pmod(F.xxhash64("vec_id", "v", F.lit(23)), blocks).cast("int"))
+        .withColumn("_met", F.explode(F.when(F.col("visitor"), visiting).otherwise(at_home)))
+        .select("vec_id", "v", "visitor", "_mine", *keys, "_met.*")
     )
     id_type = _type(lists, "vec_id")
 
     def compare(key, table):
-        pivot, low, high = (key[i].as_py() for i in (2, 3, 4))
-        dim = key[1].as_py()
+        dim, low, high, across = (key[i].as_py() for i in (1, 3, 4, 5))
         ids = table["vec_id"].to_numpy()
         x = _matrix(table["v"], dim)
-        near = table["near"].combine_chunks()
-        owner = np.repeat(np.arange(len(ids)), np.diff(near.offsets.to_numpy()))
-        values, which = np.unique(np.asarray(near.flatten()), return_inverse=True)
-        marks = np.zeros((len(ids), len(values)), np.float32)
-        marks[owner, which] = 1
-        need = min(shared, int(marks.sum(1).min()) if len(ids) else shared)
-        mine = table["_mine"].to_numpy()
-        a, b = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
-        smaller = values < pivot
-        found_a, found_b = [], []
-        for s in range(0, len(a), 256):
-            part = a[s : s + 256]
-            wanted = marks[part] @ marks[b].T >= need
-            wanted &= marks[part][:, smaller] @ marks[b][:, smaller].T == 0
-            if low == high:
-                wanted &= part[:, None] < b[None, :]
-            i, j = np.nonzero(wanted)
-            if len(i) * 8 > wanted.size:
-                cosine = (x[part] @ x[b].T)[i, j]
-            else:
-                cosine = np.einsum("ij,ij->i", x[part[i]], x[b[j]])
-            good = cosine >= threshold
-            found_a.append(part[i[good]])
-            found_b.append(b[j[good]])
-        left, right = np.concatenate([np.zeros(0, int), *found_a]), np.concatenate([np.zeros(0, int), *found_b])
-        n = np.bincount(left, minlength=len(ids)) + np.bincount(right, minlength=len(ids))
+        mine, visitor = table["_mine"].to_numpy(), table["visitor"].to_numpy()
+        if across:
+            a, b = np.flatnonzero(~visitor), np.flatnonzero(visitor)
+        else:
+            a, b = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+        same = not across and low == high
+        y = x[b]
+        n, part_of = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        for s in range(0, len(a), shared):
+            own = a[s : s + shared]
+            # Within a block every pair once: later rows only.
+            rest, others = (b[s:], y[s:]) if same else (b, y)
+            good = x[own] @ others.T >= threshold
+            if same:
+                good &= own[:, None] < rest[None, :]
+            n[own] += good.sum(1)
+            n[rest] += good.sum(0)
+            # Links inside a component that is known by now add nothing to it.
+            i, j = np.nonzero(good & (part_of[own][:, None] != part_of[rest][None, :]))
+            if len(i):
+                every = np.arange(len(ids))
+                part_of = local_components(
+                    len(ids), np.concatenate([every, own[i]]), np.concatenate([part_of, rest[j]])
+                )
         by_id = np.argsort(ids, kind="stable")
         rank = np.empty(len(ids), int)
         rank[by_id] = np.arange(len(ids))
-        root = ids[by_id][local_components(len(ids), rank[left], rank[right])][rank]
+        lowest = np.full(len(ids), len(ids))
+        np.minimum.at(lowest, part_of, rank)
+        root = ids[by_id][lowest[part_of]]
         linked = np.flatnonzero(n)
         kind = table.schema.field("vec_id").type
         return pa.table({
@@ -153,7 +209,7 @@ def links(lists: DataFrame, threshold: float = THRESHOLD, shared: int = SHARED,
         })
 
     schema = f"vec_id {id_type}, n_links long, root {id_type}"
-    return dealt.groupBy(*keys, "_low", "_high").applyInArrow(compare, schema)
+    return dealt.groupBy(*keys, "_low", "_high", "_across").applyInArrow(compare, schema)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -163,9 +219,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     repeat a vec_id get the same result each; a null vec_id has a null component and is kept.
     """
     rows = stored(usable_vectors(vectors), "vectors")
-    count = rows.count()
-    pivots = choose_pivots(rows, int(min(MAX_PIVOTS, max(MIN_PIVOTS, 2 * (count / 4) ** 0.5))))
-    found = stored(links(inverted_lists(rows, pivots), threshold), "vector-links")
+    lists = inverted_lists(rows, choose_pivots(rows, threshold), threshold)
+    found = stored(links(lists, threshold), "vector-links")
     total = found.groupBy("vec_id").agg(F.sum("n_links").alias("_n"))
     parts = components(found.select(F.col("vec_id").alias("u"), F.col("root").alias("v")))
     result = total.join(parts.withColumnRenamed("id", "vec_id"), "vec_id", "left").withColumnRenamed("vec_id", "_id")

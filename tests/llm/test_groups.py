@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +100,62 @@ def test_embedding_links(spark, block, monkeypatch):
             assert (r.n_links, r.component_id, r.kept) == (n, low[r.vec_id], r.vec_id == low[r.vec_id])
 
 
+def exact_links(x):
+    """Links per row and lowest row of each component, by all products."""
+    n, low, every = np.zeros(len(x), int), np.arange(len(x)), np.arange(len(x))
+    for s in range(0, len(x), 500):
+        own = every[s : s + 500]
+        good = (x[own] @ x.T >= 0.93) & (own[:, None] != every[None, :])
+        n[own] = good.sum(1)
+        i, j = np.nonzero(good & (low[own][:, None] != low[None, :]))
+        low = components.local_components(len(x), np.concatenate([every, own[i]]), np.concatenate([low, j]))
+    return n, low
+
+
+def dense(kind, rng, n=20_000, dim=64):
+    """Unit rows of which a third are one dense group, or two groups of copies side by side."""
+    x = rng.normal(size=(n, dim))
+    base, hot = rng.normal(size=dim), n // 3
+    base /= np.linalg.norm(base)
+    if kind == "near":
+        # Typical cosine within the group: 0.95.
+        x[:hot] = base + rng.normal(size=(hot, dim)) * (0.05 / 0.95 / dim) ** 0.5
+    else:
+        side = rng.normal(size=dim)
+        side -= (side @ base) * base
+        side /= np.linalg.norm(side)
+        c = {"linked": 0.9301, "apart": 0.9299}[kind]
+        x[:hot] = base
+        x[hot // 2 : hot] = c * base + (1 - c * c) ** 0.5 * side
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return x[rng.permutation(n)]
+
+
+@pytest.mark.parametrize("kind", ["near", "linked", "apart"])
+def test_no_link_is_lost_in_dense_groups(spark, kind):
+    x = dense(kind, np.random.default_rng(5))
+    n, low = exact_links(x)
+    df = spark.createDataFrame(
+        pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x)), "label": np.zeros(len(x), np.int32)})
+    ).repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pivots.near_duplicates(df).collect()}
+    assert got == {i: (int(n[i]), int(low[i])) for i in range(len(x))}
+
+
+@pytest.mark.parametrize("spread", [0.01, 0.05, 0.2, 1.0])
+def test_linked_vectors_meet_on_the_list_of_the_smaller_home(spread):
+    """Whatever the density: rows around a few centres, from copies to no structure at all."""
+    rng = np.random.default_rng(int(spread * 100))
+    x = rng.normal(size=(5, 16))[rng.integers(0, 5, 1500)] + spread * rng.normal(size=(1500, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    p = pivots.thinned(x[:200], 0.93, 60)
+    assert ((p @ p.T)[np.triu_indices(len(p), 1)] < 0.93).all()
+    home, visits = pivots.visited(x @ p.T, np.sqrt(np.maximum(2 - 2 * p @ p.T, 0)), 0.93)
+    i, j = np.nonzero(np.triu(x @ x.T >= 0.93, 1))
+    first = np.minimum(home[i], home[j])
+    assert ((home[i] == first) | visits[i, first]).all() and ((home[j] == first) | visits[j, first]).all()
+
+
 def test_no_embeddings(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert pivots.near_duplicates(empty).collect() == []
