@@ -25,18 +25,37 @@ from recordlake.llm.bpe import _type
 from recordlake.llm.components import components
 from recordlake.llm.store import release, small, stored
 
-TREES, DEPTH, MIN_DEPTH = 14, 6, 4
-# Pairs whose signatures agree less than this many of TREES * DEPTH times are not confirmed:
-# at a similarity of 0.80 that is more than four standard deviations below the mean, and
-# pipelines use thresholds from 0.80 on.
+DEPTH, MIN_DEPTH = 6, 4
+# The share of pairs at the threshold that may be together in no region: that of 14 trees at 85%.
+MISSED = (1 - 0.85**MIN_DEPTH) ** 14
+
+
+def missed(percent: int, trees: int) -> float:
+    """The share of pairs at the threshold that share ``MIN_DEPTH`` values in none of the trees."""
+    return (1 - (percent / 100) ** MIN_DEPTH) ** trees
+
+
+def tree_count(percent: int) -> int:
+    """The fewest trees with which no more than ``MISSED`` of the pairs at the threshold are missed."""
+    trees = 1
+    while missed(percent, trees) > MISSED:
+        trees += 1
+    return trees
+
+
+# Pairs whose signatures agree less than this often are not confirmed: at the threshold that
+# is more than four standard deviations below the mean.
 def least_agreement(percent: int) -> int:
-    p, n = percent / 100, TREES * DEPTH
+    p, n = percent / 100, tree_count(percent) * DEPTH
     return int(n * p - 4 * (n * p * (1 - p)) ** 0.5)
 
 
-_RNG = np.random.default_rng(97)
-_FACTORS = _RNG.integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TERMS = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
+def _hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(97)
+    factors = rng.integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, rng.integers(0, 2**63, n, dtype=np.uint64)
+
+
 LEFT, RIGHT = 256, 2048
 
 
@@ -64,8 +83,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.n
     return found, np.searchsorted(rows, np.arange(len(offsets)))
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
+def signatures(docs: DataFrame, size: int, trees: int) -> DataFrame:
     """(doc_id, n_shingles, d1, d2, signature): a digest of the set and its MinHash values."""
+    factors, terms = _hash_family(trees * DEPTH)
 
     def sign(batches):
         for batch in batches:
@@ -74,12 +94,12 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 n = np.diff(cuts)
                 full = np.flatnonzero(n)
                 digests = np.zeros((2, end - row), np.uint64)
-                low = np.zeros((end - row, TREES * DEPTH), ">u4")
+                low = np.zeros((end - row, trees * DEPTH), ">u4")
                 if len(full):
                     digests[0, full] = np.add.reduceat(found, cuts[full])
                     digests[1, full] = np.add.reduceat(bs.mix(found + bs.BASE), cuts[full])
-                    for k in range(TREES * DEPTH):
-                        values = ((found ^ _TERMS[k]) * _FACTORS[k]) >> np.uint64(32)
+                    for k in range(trees * DEPTH):
+                        values = ((found ^ terms[k]) * factors[k]) >> np.uint64(32)
                         low[full, k] = np.minimum.reduceat(values, cuts[full])
                 raw = [r.tobytes() if n[i] else None for i, r in enumerate(low)]
                 yield pa.RecordBatch.from_arrays(
@@ -99,17 +119,17 @@ def classes(signed: DataFrame) -> DataFrame:
     )
 
 
-def regions(reps: DataFrame) -> DataFrame:
+def regions(reps: DataFrame, trees: int) -> DataFrame:
     """(tree, region, key, rep): the documents of every region with at least two of them."""
-    trees = F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)),
+    keys = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
         lambda t: F.struct(
             t.alias("tree"),
             F.substring(F.col("signature"), t * (4 * DEPTH) + 1, F.lit(4 * DEPTH)).alias("key"),
         ),
     )
     keyed = (
-        reps.select("rep", F.explode(trees).alias("t")).select("rep", "t.tree", "t.key")
+        reps.select("rep", F.explode(keys).alias("t")).select("rep", "t.tree", "t.key")
         # A region's name: tree and prefix in 64 bits. Names that fall together by chance
         # only mean a few more candidates.
         .withColumn("region", F.xxhash64("tree", F.substring("key", 1, 4 * MIN_DEPTH)))
@@ -259,7 +279,7 @@ def across(
         signs = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u4").reshape(len(ids), -1)
         x, y = np.flatnonzero(left), np.flatnonzero(~left)
         # Tree by tree, the values that name a document's region.
-        names = signs.reshape(len(ids), TREES, DEPTH)[:, : table["tree"][0].as_py(), :MIN_DEPTH]
+        names = signs.reshape(len(ids), -1, DEPTH)[:, : table["tree"][0].as_py(), :MIN_DEPTH]
         a, b = [x[:0]], [y[:0]]
         for s in range(0, len(x), 16):
             own = x[s : s + 16]
@@ -302,9 +322,10 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
 
 def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signed documents, their classes and the components of linked classes, all stored."""
-    signed = stored(signatures(docs, size), "signed")
+    trees = tree_count(percent)
+    signed = stored(signatures(docs, size, trees), "signed")
     reps = stored(classes(signed), "classes")
-    forest = stored(regions(reps), "forest")
+    forest = stored(regions(reps, trees), "forest")
     near = small(forest.select("rep").distinct())
     texts = stored(
         docs.select("doc_id", "text").join(near, F.col("doc_id") == F.col("rep"), "left_semi"), "forest-texts"

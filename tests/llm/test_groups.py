@@ -231,6 +231,22 @@ def test_a_large_group_of_near_copies_needs_few_confirmations(spark, monkeypatch
     assert {r.component_id for r in got} == {0} and sum(seen) < 4 * len(rows)
 
 
+def test_lone_pairs_at_the_threshold_are_found(spark):
+    """10,000 pairs that share 80 of 100 words and have no other partner."""
+    rows = []
+    for i in range(10_000):
+        words = [f"{i}-{k}" for k in range(100)]
+        rows += [(2 * i, " ".join(words[:90])), (2 * i + 1, " ".join(words[:80] + words[90:]))]
+    got = forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 1, 80)
+    assert got.where("kept").count() == 10_000
+
+
+def test_no_threshold_misses_more_than_another():
+    assert forest.tree_count(85) == 14
+    for percent in (70, 75, 80, 85, 90, 99, 100):
+        assert forest.missed(percent, forest.tree_count(percent)) <= forest.missed(85, 14)
+
+
 def test_odd_and_empty_documents(docs, no_docs):
     rows = forest.near_duplicates(docs).collect()
     assert len(rows) == docs.count()
