@@ -32,15 +32,18 @@ CELL = 8192
 SHARED = 256
 BLOCK = 8192
 BLOCK_VALUES = 1 << 19
+# Rows of a block on lists with more than so many vectors of ids that have several.
+SMALL_BLOCK, SEVERAL = 1024, 128
 # Far more than rounding moves a cosine.
 SLACK = 1e-9
 
 
 def usable_vectors(vectors: DataFrame) -> DataFrame:
-    """(vec_id, label, dim, v array<double>) of the vectors that can have links.
+    """(vec_id, label, dim, v array<double>, several) of the vectors that can have links.
 
     Left out: null ids, labels or vectors, vectors with a null, NaN or infinite component,
-    zero vectors. Of rows that repeat a vec_id the smallest (label, vector) counts.
+    zero vectors. Rows that repeat a vec_id with another label or vector all stay and are
+    marked as ``several``; equal rows are one.
     """
     v = F.col("embedding").cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -48,8 +51,11 @@ def usable_vectors(vectors: DataFrame) -> DataFrame:
         F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()
         & fine & F.exists("v", lambda x: x != 0)
     )
-    one = rows.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("_r"))
-    return one.select("vec_id", "_r.label", F.size("_r.v").alias("dim"), "_r.v")
+    rows = stored(rows.distinct(), "distinct-vectors")
+    many = rows.groupBy("vec_id").agg(F.count("*").alias("_n")).where("_n > 1").select("vec_id", F.lit(True).alias("_many"))
+    return rows.join(many, "vec_id", "left").select(
+        "vec_id", "label", F.size("v").alias("dim"), "v", F.coalesce("_many", F.lit(False)).alias("several")
+    )
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -123,25 +129,30 @@ def inverted_lists(rows: DataFrame, pivots: dict[int, np.ndarray], threshold: fl
                         lists[i] = np.flatnonzero(w).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home), pa.array(lists, pa.list_(pa.int32()))], names)
 
-    names = ["vec_id", "label", "dim", "v", "home", "visits"]
+    names = ["vec_id", "label", "dim", "v", "several", "home", "visits"]
     schema = (
         f"vec_id {_type(rows, 'vec_id')}, label {_type(rows, 'label')}, dim int, v array<double>, "
-        "home int, visits array<int>"
+        "several boolean, home int, visits array<int>"
     )
     # Written, so that every reader sees the same homes, however products are rounded.
-    described = stored(rows.select("vec_id", "label", "dim", "v").mapInArrow(describe, schema), "vector-homes")
+    described = stored(rows.select("vec_id", "label", "dim", "v", "several").mapInArrow(describe, schema), "vector-homes")
     place = F.explode(F.concat(
         F.array(F.struct(F.col("home").alias("pivot"), F.lit(False).alias("visitor"))),
         F.transform("visits", lambda p: F.struct(p.alias("pivot"), F.lit(True).alias("visitor"))),
     ))
-    return described.select("vec_id", "label", "dim", "v", place.alias("_p")).select("vec_id", "label", "dim", "v", "_p.*")
+    columns = names[:5]
+    return described.select(*columns, place.alias("_p")).select(*columns, "_p.*")
 
 
 def links(lists: DataFrame, threshold: float = THRESHOLD, shared: int = SHARED, block: int = BLOCK) -> DataFrame:
-    """(vec_id, n_links, root): per vector and pair of blocks, verified links and the smallest
-    vec_id of its component among the block's links. Vectors without a link do not appear."""
+    """(vec_id, n_links, root, other): per vector and pair of blocks, verified links and the
+    smallest vec_id of its component among the block's links. Vectors without a link do not
+    appear. A link of an id that has several vectors may be found again with another of them,
+    so it is not counted but comes as a row per end, with the id at the other end."""
     keys = ["label", "dim", "pivot"]
-    room = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(BLOCK_VALUES) / F.col("dim"))))
+    # Links of ids with several vectors come as rows, so lists with many of them have small blocks.
+    most = F.when(F.count_if("several") > SEVERAL, F.least(F.lit(block), F.lit(SMALL_BLOCK))).otherwise(F.lit(block))
+    room = F.greatest(F.lit(1), F.least(most, F.floor(F.lit(BLOCK_VALUES) / F.col("dim"))))
     sizes = lists.groupBy(*keys).agg(
         F.ceil(F.count_if(~F.col("visitor")) / room).cast("int").alias("_homes"),
         F.ceil(F.count_if("visitor") / room).cast("int").alias("_visitors"),
@@ -164,7 +175,7 @@ def links(lists: DataFrame, threshold: float = THRESHOLD, shared: int = SHARED,
     dealt = (
         lists.join(sizes, keys).withColumn("_mine", F.pmod(F.xxhash64("vec_id", "v", F.lit(23)), blocks).cast("int"))
         .withColumn("_met", F.explode(F.when(F.col("visitor"), visiting).otherwise(at_home)))
-        .select("vec_id", "v", "visitor", "_mine", *keys, "_met.*")
+        .select("vec_id", "v", "several", "visitor", "_mine", *keys, "_met.*")
     )
     id_type = _type(lists, "vec_id")
 
@@ -178,6 +189,8 @@ def links(lists: DataFrame, threshold: float = THRESHOLD, shared: int = SHARED,
         else:
             a, b = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
         same = not across and low == high
+        several = table["several"].to_numpy()
+        ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         y = x[b]
         n, part_of = np.zeros(len(ids), np.int64), np.arange(len(ids))
         for s in range(0, len(a), shared):
@@ -187,8 +200,12 @@ def links(lists: DataFrame, threshold: float = THRESHOLD, shared: int = SHARED,
             good = x[own] @ others.T >= threshold
             if same:
                 good &= own[:, None] < rest[None, :]
-            n[own] += good.sum(1)
-            n[rest] += good.sum(0)
+            twice = good & (several[own][:, None] | several[rest][None, :])
+            i, j = np.nonzero(twice)
+            ends[0].append(own[i])
+            ends[1].append(rest[j])
+            n[own] += good.sum(1) - twice.sum(1)
+            n[rest] += good.sum(0) - twice.sum(0)
             # Links inside a component that is known by now add nothing to it.
             i, j = np.nonzero(good & (part_of[own][:, None] != part_of[rest][None, :]))
             if len(i):
@@ -203,12 +220,17 @@ def links(lists: DataFrame, threshold: float = THRESHOLD, shared: int = SHARED,
         np.minimum.at(lowest, part_of, rank)
         root = ids[by_id][lowest[part_of]]
         linked = np.flatnonzero(n)
+        left, right = map(np.concatenate, ends)
+        rows = np.concatenate([linked, left, right])
         kind = table.schema.field("vec_id").type
         return pa.table({
-            "vec_id": pa.array(ids[linked], kind), "n_links": pa.array(n[linked], pa.int64()), "root": pa.array(root[linked], kind),
+            "vec_id": pa.array(ids[rows], kind),
+            "n_links": pa.array(np.where(np.arange(len(rows)) < len(linked), n[rows], 0), pa.int64()),
+            "root": pa.array(root[rows], kind),
+            "other": pa.concat_arrays([pa.nulls(len(linked), kind), pa.array(ids[np.concatenate([right, left])], kind)]),
         })
 
-    schema = f"vec_id {id_type}, n_links long, root {id_type}"
+    schema = f"vec_id {id_type}, n_links long, root {id_type}, other {id_type}"
     return dealt.groupBy(*keys, "_low", "_high", "_across").applyInArrow(compare, schema)
 
 
@@ -216,12 +238,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     """vec_id, n_links, component_id, kept for every row of ``vectors``.
 
     Vectors that cannot be compared have no links and are their own component. Rows that
-    repeat a vec_id get the same result each; a null vec_id has a null component and is kept.
+    repeat a vec_id are one node, linked if any of its vectors is; n_links counts the other
+    ids it is linked with, each once. A null vec_id has a null component and is kept.
     """
     rows = stored(usable_vectors(vectors), "vectors")
     lists = inverted_lists(rows, choose_pivots(rows, threshold), threshold)
     found = stored(links(lists, threshold), "vector-links")
-    total = found.groupBy("vec_id").agg(F.sum("n_links").alias("_n"))
+    again = found.where("other <> vec_id").select("vec_id", "other").distinct().select("vec_id", F.lit(1).alias("n_links"))
+    total = found.select("vec_id", "n_links").unionByName(again).groupBy("vec_id").agg(F.sum("n_links").alias("_n"))
     parts = components(found.select(F.col("vec_id").alias("u"), F.col("root").alias("v")))
     result = total.join(parts.withColumnRenamed("id", "vec_id"), "vec_id", "left").withColumnRenamed("vec_id", "_id")
     own = F.coalesce(F.col("component"), F.col("vec_id"))

@@ -100,6 +100,17 @@ def test_embedding_links(spark, block, monkeypatch):
             assert (r.n_links, r.component_id, r.kept) == (n, low[r.vec_id], r.vec_id == low[r.vec_id])
 
 
+def test_every_vector_of_a_repeated_id_has_its_links(spark):
+    rng = np.random.default_rng(8)
+    a, b, c = (rng.normal(size=12) for _ in range(3))
+    rows = [(1, a, 0), (2, b, 0), (3, c, 1), (4, a, 1), (9, a, 0), (9, b, 0), (9, c, 1), (9, c, 1), (9, 2 * c, 1), (8, b, 0), (8, 3 * b, 0)]
+    df = spark.createDataFrame([(i, v.tolist(), n) for i, v, n in rows], "vec_id long, embedding array<double>, label int")
+    got = pivots.near_duplicates(df.repartition(3)).collect()
+    # 9 is linked with 1, 2, 3 and 8; 2 with 8 and 9; 4 has another label than 1.
+    want = {1: (1, 1, True), 2: (2, 1, False), 3: (1, 1, False), 4: (0, 4, True), 8: (2, 1, False), 9: (4, 1, False)}
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == sorted((r[0], *want[r[0]]) for r in rows)
+
+
 def exact_links(x):
     """Links per row and lowest row of each component, by all products."""
     n, low, every = np.zeros(len(x), int), np.arange(len(x)), np.arange(len(x))
