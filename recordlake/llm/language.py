@@ -20,13 +20,12 @@ from pyspark.sql import functions as F
 
 from recordlake.llm import bytesets as bs
 from recordlake.llm.bpe import _type
-from recordlake.llm.store import held_out
+from recordlake.llm.store import held_out, small, stored
 
 ORDERS = (2, 4)
 BITS = 15
-# About this many texts of each language are learned from, and so many languages at most.
+# About this many texts of each language are learned from.
 ROWS_PER_LANGUAGE = 1500
-LANGUAGES = 500
 SHARPNESS = 4.0
 AMBIGUOUS = 0.15
 UNKNOWN = "und"
@@ -56,10 +55,13 @@ def codewords(n: int) -> np.ndarray:
         code = np.random.default_rng(seed).choice([-1.0, 1.0], (n, bits))
         if (np.abs(code.sum(0)) == n).any():
             continue
-        agree = code @ code.T
-        np.fill_diagonal(agree, -bits)
-        if bits - agree.max() > apart:
-            best, apart = code, bits - agree.max()
+        most = -bits
+        for s in range(0, n, 1000):
+            agree = code[s : s + 1000] @ code.T
+            agree[np.arange(len(agree)), np.arange(s, s + len(agree))] = -bits
+            most = max(most, agree.max())
+        if bits - most > apart:
+            best, apart = code, bits - most
     return best
 
 
@@ -116,47 +118,60 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     """Learn from text and lang of rows that are not held out.
 
     Rows with a null lang, text or id take no part. Each language is sampled by a hash of the
-    id with the share that gives about ``rows_per_language`` texts; the ``LANGUAGES`` most
-    frequent languages are learned.
+    id with the share that gives about ``rows_per_language`` texts; every language is learned.
+    The driver reads the languages' counts one after the other.
     """
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
     )
-    sizes = (
-        usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = usable.groupBy(F.col("lang").alias("_lang")).agg(
+        F.least(F.lit(1.0), F.lit(float(rows_per_language)) / F.count("*")).alias("_share")
     )
-    shares = {r["lang"]: min(1.0, rows_per_language / r["count"]) for r in sizes}
-    if not shares:
-        return Model([], np.ones((0, 1)), np.zeros((len(ORDERS) << BITS, 1)), np.ones(1))
-    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
     place = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    sample = usable.select("lang", "text").where(F.col("lang").isin(list(shares)) & (place < share[F.col("lang")]))
+    sample = usable.select("lang", "text", place.alias("_place")).join(small(sizes), F.col("lang") == F.col("_lang")).where(
+        F.col("_place") < F.col("_share")
+    ).select("lang", "text")
 
     def one(key, table):
         found = counts(table["text"].combine_chunks()).astype(np.float32)
         return pa.table({"lang": pa.array([key[0].as_py()]), "counts": pa.array([found.tobytes()], pa.binary())})
 
     # One vector of fixed length per language.
-    found = sample.groupBy("lang").applyInArrow(one, "lang string, counts binary").collect()
-    by_language = {r["lang"]: np.frombuffer(r["counts"], np.float32).astype(float) for r in found}
-    languages = sorted(by_language)
-    share = np.array([by_language[x] / max(by_language[x].sum(), 1) for x in languages])
+    found = stored(sample.groupBy("lang").applyInArrow(one, "lang string, counts binary"), "language-counts")
+    languages = sorted(r["lang"] for r in found.select("lang").collect())
+    if not languages:
+        return Model([], np.ones((0, 1)), np.zeros((len(ORDERS) << BITS, 1)), np.ones(1))
     codes = codewords(len(languages))
-    weights = np.zeros((share.shape[1], codes.shape[1]))
+    code_of = dict(zip(languages, codes))
+
+    def shares():
+        for r in found.orderBy("lang").toLocalIterator():
+            own = np.frombuffer(r["counts"], np.float32).astype(float)
+            yield code_of[r["lang"]], own / max(own.sum(), 1)
+
+    weights = np.zeros((len(ORDERS) << BITS, codes.shape[1]))
     if len(languages) > 1:
+        plus, every = weights, np.zeros(len(weights))
+        for code, share in shares():
+            for bit in np.flatnonzero(code > 0):
+                plus[:, bit] += share
+            every += share
+        n_plus = (codes > 0).sum(0)
         for bit in range(codes.shape[1]):
-            plus, minus = share[codes[:, bit] > 0].mean(0), share[codes[:, bit] < 0].mean(0)
-            weights[:, bit] = np.log((plus + 1e-6) / (minus + 1e-6))
+            minus = np.maximum(every - plus[:, bit], 0) / (len(languages) - n_plus[bit])
+            weights[:, bit] = np.log((plus[:, bit] / n_plus[bit] + 1e-6) / (minus + 1e-6))
     # Reliability: how far apart the sides' mean margins are, over the languages of the bit.
-    own = share @ weights * codes
-    trust = np.maximum(own.min(0), 1e-3)
+    own = np.full(codes.shape[1], np.inf)
+    for code, share in shares():
+        own = np.minimum(own, share @ weights * code)
+    trust = np.maximum(own, 1e-3)
     return Model(languages, codes, weights.astype(np.float32), trust / trust.sum())
 
 
 def decode(margin: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Nearest codeword, its score and the distance to the next one, per text."""
-    agree = margin[:, None, :] * model.codes[None]
-    loss = (np.logaddexp(0, -SHARPNESS * agree) * model.trust).sum(2)
+    plus, minus = (np.logaddexp(0, -SHARPNESS * side * margin) * model.trust for side in (1, -1))
+    loss = plus @ (model.codes > 0).T + minus @ (model.codes < 0).T
     close = np.exp(-(loss - loss.min(1, keepdims=True)))
     best = loss.argmin(1)
     score = close.max(1) / close.sum(1)

@@ -45,6 +45,18 @@ def test_language_without_anything_to_learn(docs, no_docs):
     assert {r.lang_pred for r in language.predict(docs.where("doc_id < 50"), one).collect()} == {"aa"}
 
 
+def test_every_language_is_learned(spark):
+    """520 languages, each with its own words; the last ones are rarer."""
+    words = {f"l{k:03}": [f"{chr(0x4E00 + 3 * k + i)}{chr(0x4E00 + 3 * k + (i + 1) % 3)}" for i in range(3)] for k in range(520)}
+    rows = [(100 * k + i, " ".join(w * 8), lang) for k, (lang, w) in enumerate(words.items()) for i in range(8 if k < 500 else 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language.fit(df)
+    assert model.languages == sorted(words)
+    got = {r.doc_id: r.lang_pred for r in language.predict(df, model).collect()}
+    rare = [r for r in rows if r[2] >= "l500"]
+    assert np.mean([got[r[0]] == r[2] for r in rare]) > 0.95 and np.mean([got[r[0]] == r[2] for r in rows]) > 0.95
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 4, 9, 40])
 def test_codewords_are_distinct(n):
     codes = language.codewords(n)
