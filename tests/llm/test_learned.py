@@ -127,6 +127,29 @@ def test_rules_keep_good_and_refuse_bad_rows(docs, labels, labelled):
     assert np.mean([kept[r[0]] == bool(r[5]) for r in labelled if is_held_out(r[0])]) > 0.97
 
 
+@pytest.mark.parametrize("kind", ["above", "below"])
+def test_labels_refuse_rows_within_the_fixed_limits(spark, kind):
+    """Good texts differ in one statistic from bad ones; none exceeds what the rules allow."""
+    rng = np.random.default_rng(4)
+    rows, marks = [], []
+    for i in range(1200):
+        words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(100)]
+        bad = i % 4 == 0
+        if kind == "above":  # 8 of 100 words are symbols, the good ones have at most 1
+            for k in range(8 if bad else int(rng.integers(0, 2))):
+                words[7 * k] = "#"
+        elif bad:  # words of three letters, the good ones have five
+            words = [a[:3] for a in words]
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(not bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    assert all(r[name] <= most for r in rules.statistics(docs).collect() for name, most in rules.ALLOWED.items())
+    kept = {r.doc_id: r.kept for r in rules.apply_rules(docs, labels).collect()}
+    held = [i for i, _ in rows if is_held_out(i)]
+    assert np.mean([kept[i] == bool(i % 4) for i in held]) > 0.97
+
+
 def test_rules_without_rows_or_labels(docs, no_docs, labels, no_labels):
     assert rules.apply_rules(no_docs, labels).collect() == []
     assert rules.apply_rules(docs, no_labels).where("kept").count() > 100
