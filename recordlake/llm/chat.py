@@ -19,6 +19,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from recordlake.llm.bpe import _type
 HEADER, COLON, END = b"### ", b": ", b"</turn>\n"
 CONTROL = [b"###", b"</turn>"]
 ASSISTANT = b"assistant"
+# Characters of a role or text that decide which range a turn is in.
+BEGINNING = 64
 TURN = re.compile(rb"### ((?:[^\\:]++|\\.)*+): ((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.S)
 UNESCAPE = re.compile(rb"\\(.)", re.S)
 
@@ -100,15 +103,20 @@ def format_turns(turns: DataFrame) -> DataFrame:
     ``turns`` has conv_id, turn, role, text. Turns are in the order of turn (null first), then
     role, then text, so ties and repeated rows have a fixed place; repeated rows all count. A
     null role or text is empty; rows with a null conv_id are one conversation. A conversation
-    comes as one row per batch of turns, successive ones of a conversation in order within a
-    partition and numbered by ``chunk``, so a very long conversation never has to fit into
-    one value. Loss spans are byte positions within the chunk. Other columns are not read.
+    comes as one row per batch of turns, in the order of ``chunk``, whose numbers have gaps, so
+    a very long conversation never has to fit into one value and is formatted in several
+    tasks. Loss spans are byte positions within the chunk. Other columns are not read.
     """
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    # Ranges follow the beginnings of roles and texts: what is sampled for them stays small. A
+    # text only counts after a whole role, so ranges never contradict the order.
+    role, whole = F.left("role", F.lit(BEGINNING)), F.length("role") < BEGINNING
+    text = F.when(whole, F.left("text", F.lit(BEGINNING))).otherwise("")
+    rows = rows.repartitionByRange("conv_id", "turn", role, text).sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def build(batches):
-        at, chunk = object(), 0
+        # Ranges are in order, so the partition's number comes first.
+        chunk = TaskContext.get().partitionId() << 32
         for whole in batches:
             for start in range(0, whole.num_rows, 2000):
                 batch = whole.slice(start, 2000)
@@ -119,15 +127,14 @@ def format_turns(turns: DataFrame) -> DataFrame:
                 cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
                 numbers = []
                 for first in cuts[:-1]:
-                    chunk = chunk + 1 if keys[first] == at else 0
-                    at = keys[first]
+                    chunk += 1
                     numbers.append(chunk)
                 base = turn_at[cuts]
                 own = [spans[a:b][loss[a:b]] - base[i] for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(cuts[:-1])),
-                        pa.array(numbers, pa.int32()),
+                        pa.array(numbers, pa.int64()),
                         pa.Array.from_buffers(
                             pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(base.astype(np.int64)), pa.py_buffer(buffer)]
                         ).cast(pa.binary()),
@@ -138,7 +145,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
                 )
 
     schema = (
-        f"conv_id {_type(turns, 'conv_id')}, chunk int, formatted binary, "
+        f"conv_id {_type(turns, 'conv_id')}, chunk long, formatted binary, "
         "loss_starts array<long>, loss_ends array<long>"
     )
     return rows.mapInArrow(build, schema)
@@ -169,15 +176,15 @@ def digests(formatted: DataFrame) -> DataFrame:
     """One row per conversation, read back from :func:`format_turns`'s output alone.
 
     Chunks are read in their order within a partition, so a digest grows with the stream and
-    nothing is gathered.
+    nothing is gathered. A digest is a sequence: one conversation's is taken in one task.
     """
 
     def read(batches):
         state = None
         for batch in batches:
             done = []
-            for conv, chunk, data, starts, ends in zip(*(c.to_pylist() for c in batch.columns)):
-                if chunk == 0:
+            for conv, data, starts, ends in zip(*(c.to_pylist() for c in batch.columns)):
+                if state is None or state[0] != conv:
                     if state:
                         done.append(_finish(state))
                     state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
@@ -208,4 +215,5 @@ def digests(formatted: DataFrame) -> DataFrame:
         f"conv_id {_type(formatted, 'conv_id')}, n_turns long, turns_sha256 string, loss_chars long, "
         "loss_sha256 string, formatted_chars long"
     )
-    return formatted.select("conv_id", "chunk", "formatted", "loss_starts", "loss_ends").mapInArrow(read, schema)
+    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "chunk")
+    return ordered.select("conv_id", "formatted", "loss_starts", "loss_ends").mapInArrow(read, schema)

@@ -70,6 +70,23 @@ def test_chat_query_agrees_with_sql(spark):
     assert sorted(map(tuple, got)) == sorted(cursor.fetchall())
 
 
+def test_a_long_conversation_is_formatted_in_several_tasks(spark):
+    # Small partitions would be put together.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(1 if i % 3 else i, i, "user" if i % 2 else "assistant", f"text {i} </turn>") for i in range(6000)]
+    # Turns that only differ late in a long role or text.
+    rows += [(1, 7000, "r" * (60 + i % 9), "t" * (60 + i % 7) + str(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, TURNS).repartition(5)
+    formatted = chat.format_turns(df)
+    tasks = formatted.where("conv_id = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1
+    got = {r.conv_id: (r.n_turns, r.turns_sha256) for r in chat.digests(formatted).collect()}
+    own = sorted(r[1:] for r in rows if r[0] == 1)
+    assert got[1] == (len(own), hashlib.sha256("".join(f"{role}\n{text}\n" for _, role, text in own).encode()).hexdigest())
+    assert len(got) == len({r[0] for r in rows})
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 
 
