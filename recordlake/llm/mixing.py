@@ -23,6 +23,9 @@ REPEATS = 3
 BLOCK_WORDS = 64
 SLOTS_PER_SHARD = 4096
 MAX_SHARDS = 2048
+# The plan is made on the driver: up to MAX_SHARDS draws of every source. More sources than
+# this are an error.
+MAX_SOURCES = 1000
 # Slots that one task fills. The rows that describe them are few bytes, so their number has
 # to be asked for.
 SLOTS_PER_TASK = 100_000
@@ -87,7 +90,8 @@ class Mix:
     """One mixing run over ``docs`` (doc_id, text, source): plan it, then read its results.
 
     A null text has no words, null sources are one source. Rows that repeat a doc_id count
-    each for themselves and are told apart by text. Empty tables give empty results.
+    each for themselves and are told apart by text. Empty tables give empty results. More
+    than ``MAX_SOURCES`` sources are an error.
     """
 
     def __init__(self, docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS,
@@ -97,7 +101,9 @@ class Mix:
         self.sizes = stored(
             docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("_hash")), "mix-sizes"
         )
-        found = self.sizes.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()
+        found = self.sizes.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).limit(MAX_SOURCES + 1).collect()
+        if len(found) > MAX_SOURCES:
+            raise ValueError(f"more than {MAX_SOURCES} sources to mix: merge sources first, the plan is made on the driver")
         found = sorted(found, key=lambda r: (r["source"] is None, r["source"] or ""))
         self.rows = sum(r["rows"] for r in found)
         size = [r["size"] for r in found]

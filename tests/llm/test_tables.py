@@ -90,6 +90,13 @@ def test_a_long_conversation_is_formatted_in_several_tasks(spark):
 # --- mixing ----------------------------------------------------------------------------------------
 
 
+def test_more_sources_than_the_driver_plans_for_are_refused(spark):
+    df = spark.range(mixing.MAX_SOURCES + 1).selectExpr("id AS doc_id", "'a b c' AS text", "concat('s', id) AS source")
+    with pytest.raises(ValueError, match="sources"):
+        mixing.Mix(df)
+    assert len(mixing.Mix(df.where("doc_id > 0")).plan) == mixing.MAX_SOURCES
+
+
 def mix_rows(seed=2):
     rng = random.Random(seed)
     rows = []
