@@ -9,6 +9,7 @@ loss; a small distance to the runner-up marks the answer as ambiguous.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
 
@@ -26,6 +27,11 @@ ORDERS = (2, 4)
 BITS = 15
 # About this many texts of each language are learned from.
 ROWS_PER_LANGUAGE = 1500
+# Features are dealt out in slices, so nothing holds a whole language model but the result.
+SLICE = 256
+# Groups of texts that each language's counts are taken in, and n-grams looked up at once.
+SHARES = 4
+LOOKUPS = 1 << 15
 SHARPNESS = 4.0
 AMBIGUOUS = 0.15
 UNKNOWN = "und"
@@ -102,15 +108,16 @@ def _folded(texts):
 
 
 def margins(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Texts x bits: mean log-odds over the n-grams."""
+    """Texts x bits: mean log-odds over the n-grams, a bounded number of them at a time."""
     total = np.zeros((len(offsets) - 1, weights.shape[1]))
     seen = np.zeros(len(offsets) - 1)
     for index, cuts in zip(*ngrams(data, offsets)):
-        size = np.diff(cuts)
-        full = np.flatnonzero(size)
-        seen += size
-        if len(full):
-            total[full] += np.add.reduceat(weights[index], cuts[full], axis=0)
+        seen += np.diff(cuts)
+        for start in range(0, len(index), LOOKUPS):
+            part = index[start : start + LOOKUPS]
+            within = np.clip(cuts - start, 0, len(part))
+            full = np.flatnonzero(np.diff(within))
+            total[full] += np.add.reduceat(weights[part], within[full], axis=0)
     return total / np.maximum(seen, 1)[:, None]
 
 
@@ -118,8 +125,10 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     """Learn from text and lang of rows that are not held out.
 
     Rows with a null lang, text or id take no part. Each language is sampled by a hash of the
-    id with the share that gives about ``rows_per_language`` texts; every language is learned.
-    The driver reads the languages' counts one after the other.
+    id and text with the share that gives about ``rows_per_language`` texts; every language is
+    learned. Counts stay in slices of the features: a slice's counts of all languages become
+    the weights of its features in one small group. The driver gets the languages, the
+    finished weights and a row of bits per language.
     """
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
@@ -127,45 +136,70 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     sizes = usable.groupBy(F.col("lang").alias("_lang")).agg(
         F.least(F.lit(1.0), F.lit(float(rows_per_language)) / F.count("*")).alias("_share")
     )
-    place = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1_000_000)) / F.lit(1_000_000.0)
     sample = usable.select("lang", "text", place.alias("_place")).join(small(sizes), F.col("lang") == F.col("_lang")).where(
         F.col("_place") < F.col("_share")
-    ).select("lang", "text")
+    ).select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(SHARES)).alias("_part"))
+    n_slices = (len(ORDERS) << BITS) // SLICE
 
-    def one(key, table):
-        found = counts(table["text"].combine_chunks()).astype(np.float32)
-        return pa.table({"lang": pa.array([key[0].as_py()]), "counts": pa.array([found.tobytes()], pa.binary())})
+    def count(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, lang = np.zeros(len(ORDERS) << BITS), None
+        for batch in batches:
+            total += counts(batch["text"])
+        lang = pa.array([key[0].as_py()] * n_slices, pa.string())
+        found = [x.tobytes() for x in total.astype(np.float32).reshape(n_slices, SLICE)]
+        yield pa.RecordBatch.from_arrays([lang, pa.array(np.arange(n_slices)), pa.array(found, pa.binary())], ["lang", "slice", "counts"])
+
+    # Rows of fixed size: a slice of the features, per language and group of its texts.
+    found = stored(
+        sample.groupBy("lang", "_part").applyInArrow(count, "lang string, slice long, counts binary"), "language-counts"
+    )
+
+    def n_grams(batches):
+        for batch in batches:
+            n = [np.frombuffer(c, np.float32).sum(dtype=float) for c in batch["counts"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(n, pa.float64())], ["lang", "n"])
 
-    # One vector of fixed length per language.
-    found = stored(sample.groupBy("lang").applyInArrow(one, "lang string, counts binary"), "language-counts")
-    languages = sorted(r["lang"] for r in found.select("lang").collect())
+    totals = found.select("lang", "counts").mapInArrow(n_grams, "lang string, n double").groupBy("lang").agg(F.sum("n").alias("n")).collect()
+    n_of = {r["lang"]: max(r["n"], 1.0) for r in totals}
+    languages = sorted(n_of)
     if not languages:
         return Model([], np.ones((0, 1)), np.zeros((len(ORDERS) << BITS, 1)), np.ones(1))
     codes = codewords(len(languages))
-    code_of = dict(zip(languages, codes))
-
-    def shares():
-        for r in found.orderBy("lang").toLocalIterator():
-            own = np.frombuffer(r["counts"], np.float32).astype(float)
-            yield code_of[r["lang"]], own / max(own.sum(), 1)
-
-    weights = np.zeros((len(ORDERS) << BITS, codes.shape[1]))
-    if len(languages) > 1:
-        plus, every = weights, np.zeros(len(weights))
-        for code, share in shares():
-            for bit in np.flatnonzero(code > 0):
-                plus[:, bit] += share
-            every += share
-        n_plus = (codes > 0).sum(0)
-        for bit in range(codes.shape[1]):
-            minus = np.maximum(every - plus[:, bit], 0) / (len(languages) - n_plus[bit])
-            weights[:, bit] = np.log((plus[:, bit] / n_plus[bit] + 1e-6) / (minus + 1e-6))
+    row_of = {lang: i for i, lang in enumerate(languages)}
+    sent = docs.sparkSession.sparkContext.broadcast((codes, row_of, n_of))
+
+    def weigh(key, table):
+        codes, row_of, n_of = sent.value
+        share = np.zeros((len(codes), SLICE))
+        for lang, own in zip(table["lang"].to_pylist(), table["counts"].to_pylist()):
+            share[row_of[lang]] += np.frombuffer(own, np.float32) / n_of[lang]
+        plus = codes > 0
+        n_plus = plus.sum(0)
+        weights = np.zeros((SLICE, codes.shape[1]), np.float32)
+        if len(codes) > 1:
+            on = share.T @ plus / n_plus
+            off = share.T @ ~plus / (len(codes) - n_plus)
+            weights = np.log((on + 1e-6) / (off + 1e-6)).astype(np.float32)
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "weights": pa.array([weights.tobytes()], pa.binary())})
+
+    weights = np.zeros((len(ORDERS) << BITS, codes.shape[1]), np.float32)
+    for r in found.groupBy("slice").applyInArrow(weigh, "slice long, weights binary").collect():
+        weights[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(r["weights"], np.float32).reshape(SLICE, -1)
     # Reliability: how far apart the sides' mean margins are, over the languages of the bit.
-    own = np.full(codes.shape[1], np.inf)
-    for code, share in shares():
-        own = np.minimum(own, share @ weights * code)
-    trust = np.maximum(own, 1e-3)
-    return Model(languages, codes, weights.astype(np.float32), trust / trust.sum())
+    model = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def own_margin(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, row_of, n_of = sent.value
+        lang, total = key[0].as_py(), np.zeros(codes.shape[1])
+        for batch in batches:
+            for slice_, own in zip(batch["slice"].to_pylist(), batch["counts"].to_pylist()):
+                total += np.frombuffer(own, np.float32) / n_of[lang] @ model.value[slice_ * SLICE : (slice_ + 1) * SLICE]
+        yield pa.RecordBatch.from_arrays([pa.array([(total * codes[row_of[lang]]).tolist()], pa.list_(pa.float64()))], ["margin"])
+
+    margin = np.array([r["margin"] for r in found.groupBy("lang").applyInArrow(own_margin, "margin array<double>").collect()])
+    trust = np.maximum(margin.min(0), 1e-3)
+    return Model(languages, codes, weights, trust / trust.sum())
 
 
 def decode(margin: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -69,4 +69,4 @@ def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
 
     Larger ones are joined by a shuffle.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
