@@ -6,7 +6,8 @@ prefix before ``t`` and ``t`` itself stay apart when the merges run over both. T
 tokens are stored per prefix, so text can be appended without work on what came before, and
 an edit needs new entries from its own position on only. Following the last tokens backwards
 gives the encoding. Pieces are the matches of the split pattern; they repeat a lot, so a
-worker keeps encoded pieces in a table of bounded size.
+worker keeps encoded pieces in tables of bounded size. Pieces it does not know are collected
+for many texts and done together: one prefix length after the other, for all pieces at once.
 """
 
 from __future__ import annotations
@@ -20,11 +21,19 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
+from recordlake.llm.tables import Recent, Table, few_at_a_time, slots
+
 # White space as in the tokenizer's own matcher: the Unicode property.
 PATTERN = public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-CACHED_PIECES = 150_000
-KNOWN_PAIRS = 250_000
+# Pieces of each of the two generations that are kept, and bytes of the longest of them.
+CACHED_PIECES = 200_000
 CACHED_BYTES = 128
+# Longer pieces are encoded on their own; verdicts on pairs that are kept, as a power of two.
+TOGETHER_BYTES = 512
+PAIR_BITS = 18
+KNOWN_PAIRS = 100_000
+# Characters of text that are worked on together.
+CHUNK_CHARS = 1 << 20
 
 
 class Vocabulary:
@@ -50,7 +59,28 @@ class Vocabulary:
             if len(token) > 1 and (two := self._last_merge(token, rank)):
                 self.parts[rank] = two
                 self.merged[two] = rank
-        self.encoded = _Pieces(self)
+        self.lengths = np.array([len(b) for b in self.bytes], np.int64)
+        self.encoded = Recent(CACHED_PIECES)
+        self.steps, self.ends = self._trie()
+        keys = np.array(list(self.merged), np.int64).reshape(-1, 2)
+        self.merges = Table(keys[:, 0] << 32 | keys[:, 1], np.array(list(self.merged.values()), np.int64))
+        self.halves = np.full((len(self.bytes), 2), -1, np.int64)
+        if self.parts:
+            self.halves[list(self.parts)] = list(self.parts.values())
+        self.pair_keys = np.full(1 << PAIR_BITS, -1, np.int64)
+        self.pair_apart = np.zeros(1 << PAIR_BITS, bool)
+
+    def _trie(self) -> tuple[Table, np.ndarray]:
+        """Steps (node, byte) -> node from node 0, and the token that ends at each node."""
+        steps, tokens = {}, [-1]
+        for token, rank in self.ranks.items():
+            node = 0
+            for byte in token:
+                node = steps.setdefault(node << 8 | byte, len(steps) + 1)
+                if node == len(tokens):
+                    tokens.append(-1)
+            tokens[node] = rank
+        return Table(np.array(list(steps), np.int64), np.array(list(steps.values()), np.int64)), np.array(tokens, np.int64)
 
     def _last_merge(self, token: bytes, rank: int) -> tuple[int, int] | None:
         pieces = [self.ranks[token[i : i + 1]] for i in range(len(token))]
@@ -127,33 +157,127 @@ class Vocabulary:
         same = next((i for i, (a, b) in enumerate(zip(piece, new)) if a != b), min(len(piece), len(new)))
         return self.last_tokens(new, last[:same])
 
-    def encode(self, text: str) -> np.ndarray:
-        """Token ids of a whole text."""
-        return np.frombuffer(self.encode_bytes(text), "<u4")
+    def apart_all(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """:meth:`stay_apart` of many pairs; recent verdicts are kept, each under its own key."""
+        key = left << 32 | right
+        slot = slots(key, PAIR_BITS)
+        out = self.pair_apart[slot]
+        new = np.flatnonzero(self.pair_keys[slot] != key)
+        if len(new):
+            found, back = np.unique(key[new], return_inverse=True)
+            verdict = self._judge(found >> 32, found & 0xFFFFFFFF)
+            out[new] = verdict[back]
+            at = slots(found, PAIR_BITS)
+            self.pair_keys[at], self.pair_apart[at] = found, verdict
+            # Of pairs that share a place the last one written stays, with its own verdict.
+            self.pair_apart[at] = verdict[np.searchsorted(found, self.pair_keys[at])]
+        return out
 
-    def encode_bytes(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.encoded.__getitem__, _split(text)))
+    def _judge(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        never = len(self.bytes)
+        out, own = np.ones(len(left), bool), np.arange(len(left))
+        until_left = np.full(len(left), never)
+        until_right = until_left.copy()
+        while len(own):
+            pair = self.merges.get(left << 32 | right, never)
+            joined = (pair < until_left) & (pair <= until_right) & (pair < never)
+            out[own[joined]] = False
+            a, b = self.halves[left, 1], self.halves[right, 0]
+            on = ~joined & ((a >= 0) | (b >= 0))
+            undo = (b < 0) | ((a >= 0) & (left > right))
+            until_left, left = np.where(undo, left, until_left), np.where(undo, a, left)
+            until_right, right = np.where(undo, until_right, right), np.where(undo, right, b)
+            own, left, right, until_left, until_right = (x[on] for x in (own, left, right, until_left, until_right))
+        return out
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
+    def matches(self, data: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First byte, last byte and token of every vocabulary entry in the pieces, which end
+        at ``stops`` (per byte)."""
+        start = np.arange(len(data))
+        node = np.zeros(len(data), np.int64)
+        firsts, lasts, tokens = [start[:0]], [start[:0]], [start[:0]]
+        step = 0
+        while len(start):
+            node = self.steps.get(node << 8 | data[start + step], -1)
+            start, node = start[node >= 0], node[node >= 0]
+            token = self.ends[node]
+            hit = token >= 0
+            firsts.append(start[hit])
+            lasts.append(start[hit] + step)
+            tokens.append(token[hit])
+            step += 1
+            more = start + step < stops[start]
+            start, node = start[more], node[more]
+        return np.concatenate(firsts), np.concatenate(lasts), np.concatenate(tokens)
+
+    def last_tokens_all(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The last token of every prefix of every piece, at the prefix's last byte.
+
+        Goes from prefix length to prefix length; at each one all pieces try their longest
+        entry first, those where it does not hold the next one, and so on.
+        """
+        sizes = np.diff(offsets)
+        begin = np.repeat(offsets[:-1], sizes)
+        first, end, token = self.matches(data, np.repeat(offsets[1:], sizes))
+        order = np.lexsort((first, end, end - begin[end]))
+        first, end, token = first[order], end[order], token[order]
+        group = np.flatnonzero(np.diff(end, prepend=-1))  # where a new prefix begins
+        levels = np.searchsorted((end - begin[end])[group], np.arange(sizes.max(initial=0) + 1))
+        last = np.zeros(len(data), np.int64)
+        for a, b in zip(levels[:-1], levels[1:]):
+            open_ = group[a:b]
+            while len(open_):
+                s, t = first[open_], token[open_]
+                inner = s > begin[end[open_]]
+                fits = ~inner
+                fits[inner] = self.apart_all(last[s[inner] - 1], t[inner])
+                last[end[open_[fits]]] = t[fits]
+                open_ = open_[~fits] + 1
+        return last
 
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of every piece, as little-endian unsigned 32-bit integers."""
+        together = [p for p in pieces if 0 < len(p) <= TOGETHER_BYTES]
+        sizes = np.array([len(p) for p in together], np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        last = self.last_tokens_all(np.frombuffer(b"".join(together), np.uint8).astype(np.int64), offsets)
+        # Follow the last tokens backwards, one token of every piece at a time.
+        own, at, found = np.arange(len(together)), offsets[1:], []
+        while len(own):
+            token = last[at - 1]
+            found.append((own, token))
+            at = at - self.lengths[token]
+            more = at > offsets[own]
+            own, at = own[more], at[more]
+        counts = np.zeros(len(together), np.int64)
+        for k, (own, _) in enumerate(found):
+            counts[own] = k + 1
+        stops = np.cumsum(counts)
+        ids = np.zeros(int(counts.sum()), "<u4")
+        for k, (own, token) in enumerate(found):
+            ids[stops[own] - 1 - k] = token
+        raw, cuts = ids.tobytes(), (4 * np.concatenate([[0], stops])).tolist()
+        done = iter([raw[a:b] for a, b in zip(cuts, cuts[1:])])
+        return [
+            next(done) if 0 < len(p) <= TOGETHER_BYTES else np.array(self.encode_piece(p), "<u4").tobytes()
+            for p in pieces
+        ]
 
-class _Pieces(dict):
-    """Encoded pieces, filled on demand and emptied when full."""
+    def encode(self, text: str) -> np.ndarray:
+        """Token ids of a whole text."""
+        return np.frombuffer(self.encode_texts([text])[0], "<u4")
 
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text, as little-endian unsigned 32-bit integers."""
+        pieces = [_split(t) for t in texts]
+        self.encoded.learn(
+            set().union(*pieces), lambda new: self.encode_pieces([p.encode("utf-8") for p in new]),
+            lambda p: len(p) <= CACHED_BYTES,
+        )
+        return [b"".join(map(self.encoded.__getitem__, p)) for p in pieces]
 
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8")
-        out = np.array(self.vocabulary.encode_piece(raw), "<u4").tobytes()
-        if len(raw) <= CACHED_BYTES:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[piece] = out
-        return out
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
 
 _split = regex.compile(PATTERN).findall
@@ -169,33 +293,39 @@ def rank_file(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
-def encode_documents(docs: DataFrame, name: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+def encode_documents(docs: DataFrame, name: str = "byte_bpe_50k.tiktoken", decoded: bool = False) -> DataFrame:
     """(doc_id, ids binary): token ids of every whole text, little-endian unsigned 32-bit.
 
-    A null or empty text has no ids. Rows stay as they are: repeated ids give repeated rows,
-    other columns are left out, an empty table gives an empty table. Works row by row without
-    a shuffle, so a text is the largest thing a task holds.
+    With ``decoded`` also the bytes that these ids stand for, from the same worker and
+    vocabulary. A null or empty text has no ids. Rows stay as they are: repeated ids give
+    repeated rows, other columns are left out, an empty table gives an empty table. Works row
+    by row without a shuffle, so a text is the largest thing a task holds.
     """
 
     def encode(batches):
         vocab = vocabulary(rank_file(name))
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = [vocab.encode_bytes(t or "") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for start, end, texts in few_at_a_time(batch.column(1), CHUNK_CHARS):
+                ids = vocab.encode_texts(texts)
+                columns = [batch.column(0).slice(start, end - start), pa.array(ids, pa.binary())]
+                if decoded:
+                    columns.append(pa.array([vocab.decode(np.frombuffer(i, "<u4")) for i in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {_type(docs)}, ids binary")
+    schema = f"doc_id {_type(docs)}, ids binary" + ", decoded binary" * decoded
+    return docs.select("doc_id", "text").mapInArrow(encode, schema)
 
 
 def decode_documents(encoded: DataFrame, name: str = "byte_bpe_50k.tiktoken") -> DataFrame:
-    """(doc_id, ids, decoded binary): the bytes that the ids stand for."""
+    """(doc_id, ids, decoded binary): the bytes that the ids stand for; null ids give none."""
 
     def decode(batches):
         vocab = vocabulary(rank_file(name))
         for batch in batches:
-            out = [vocab.decode(np.frombuffer(b or b"", "<u4")) for b in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+            for row in range(0, batch.num_rows, 500):
+                part = batch.slice(row, 500)
+                out = [vocab.decode(np.frombuffer(b or b"", "<u4")) for b in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, f"doc_id {_type(encoded)}, ids binary, decoded binary")
 

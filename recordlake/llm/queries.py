@@ -60,8 +60,7 @@ def op8_chat(spark, sf_dir):
 
 def op9_bpe(spark, sf_dir):
     """Whole documents to token ids and back, as digests."""
-    done = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents")))
-    return bpe_digests(done)
+    return bpe_digests(bpe.encode_documents(table(spark, sf_dir, "documents"), decoded=True))
 
 
 def bpe_digests(done):

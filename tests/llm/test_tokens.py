@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from recordlake.llm import bpe, queries, tokencount
+from recordlake.llm import bpe, queries, tables, tokencount
 
 ALPHABETS = ["ab", "aab ", "the and of ing", "!!??##$$", "éèàößü ", "\n \t\r", "0123 ", "日本語中文字 ", "\x1c\x85 　x",
              "'s're'd a", "😀👍🏽 é"]
@@ -99,3 +99,38 @@ def test_counts_of_odd_and_empty_tables(docs, no_docs):
     assert tokencount.section_counts(no_docs).collect() == []
     with pytest.raises(ValueError):
         tokencount.section_counts(docs, "some")
+
+
+def test_pieces_done_together_and_alone_agree(vocab):
+    rng = random.Random(11)
+    pieces = [t.encode() for t in texts(600, 6)] + [b"", b"ab" * 400, bytes(range(256)), b"\xff\xfe"]
+    rng.shuffle(pieces)
+    want = [np.array(vocab.encode_piece(p), "<u4").tobytes() for p in pieces]
+    assert vocab.encode_pieces(pieces) == want and vocab.encode_pieces([]) == []
+
+
+def test_recent_results_are_bounded_and_right():
+    recent, computed = tables.Recent(50), []
+
+    def compute(new):
+        computed.extend(new)
+        return [2 * k for k in new]
+
+    rng = random.Random(4)
+    for _ in range(200):
+        wanted = {rng.randrange(1, 400) for _ in range(20)}
+        recent.learn(wanted, compute, lambda k: k < 300)
+        assert all(recent[k] == 2 * k for k in wanted)
+        assert len(recent) + len(recent.old) < 2 * (50 + 40)
+    recent.learn({1}, compute, lambda k: True)
+    before = len(computed)
+    recent.learn({1}, compute, lambda k: True)
+    assert len(computed) == before
+
+
+def test_table_finds_every_key():
+    keys = np.unique(np.random.default_rng(2).integers(0, 2**62, 5000))
+    found = tables.Table(keys, np.arange(len(keys)))
+    assert (found.get(keys, -1) == np.arange(len(keys))).all()
+    assert (found.get(keys[:-1] + 1, -1) == np.where(np.isin(keys[:-1] + 1, keys), np.arange(1, len(keys)), -1)).all()
+    assert tables.Table(keys[:0], keys[:0]).get(keys, 7).tolist() == [7] * len(keys)
