@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordlake.llm import bpe, chat, forest, language, mixing, pivots, quality, rules, suffixes, tokencount
+from recordlake.llm import (
+    bpe, chat, forest, language, mixing, pivots, quality, rules, sentencepiece_bpe, suffixes,
+    tokencount,
+)
 from recordlake.llm.store import table
 
 
@@ -77,6 +80,17 @@ def op10_token_counts(spark, sf_dir):
     return tokencount.section_counts(table(spark, sf_dir, "documents"))
 
 
+def op12_sentencepiece(spark, sf_dir):
+    """Whole documents to SentencePiece ids and back, as digests."""
+    done = sentencepiece_bpe.encode_documents(table(spark, sf_dir, "documents"), decoded=True)
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_language": op2_language,
@@ -88,4 +102,5 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
+    "op12_sentencepiece": op12_sentencepiece,
 }
