@@ -26,4 +26,47 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op8_chat": OP8}
+_NEAREST = """
+{name} AS MATERIALIZED (
+  SELECT rid, part, e, d FROM (
+    SELECT c.rid, c.part, b.e, sum((c.x - b.x) * (c.x - b.x)) AS d,
+      row_number() OVER (PARTITION BY c.rid, c.part ORDER BY sum((c.x - b.x) * (c.x - b.x)), b.e) AS place
+    FROM cut c JOIN {books} b ON c.part = b.part AND c.pos = b.pos GROUP BY c.rid, c.part, b.e
+  ) WHERE place = 1
+)"""
+_MEANS = """
+book{k} AS MATERIALIZED (
+  SELECT b.part, b.e, b.pos, coalesce(m.x, b.x) AS x FROM {books} b LEFT JOIN (
+    SELECT n.part, n.e, c.pos, CAST(floor(CAST(sum(c.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+    FROM near{k} n JOIN cut c ON n.rid = c.rid AND n.part = c.part GROUP BY n.part, n.e, c.pos
+  ) m ON b.part = m.part AND b.e = m.e AND b.pos = m.pos
+)"""
+_ROUNDS = ",".join(
+    _NEAREST.format(name=f"near{k}", books=f"book{k - 1}") + "," + _MEANS.format(k=k, books=f"book{k - 1}")
+    for k in range(1, 7)
+)
+# Vectors of 64 components, eight to a part.
+OP11 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT rid, vec_id, (i - 1) // 8 AS part, (i - 1) % 8 AS pos,
+    CAST(floor(4096 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT rid, vec_id, embedding, unnest(range(1, 65)) AS i FROM kept)
+), seeds AS (
+  SELECT min(rid) AS rid, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept GROUP BY vec_id ORDER BY vec_id LIMIT 16
+), book0 AS MATERIALIZED (SELECT part, e, pos, x FROM cut JOIN seeds USING (rid)),
+{_ROUNDS},
+{_NEAREST.format(name="final", books="book6")},
+coded AS (
+  SELECT rid, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM final GROUP BY rid
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, e, pos)) FROM book6) AS codebooks_sha256
+FROM coded JOIN kept USING (rid)
+"""
+
+ORACLE: dict[str, str] = {"op8_chat": OP8, "op11_codes": OP11}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordlake.llm import (
-    bpe, chat, forest, language, mixing, pivots, quality, rules, sentencepiece_bpe, suffixes,
+    bpe, chat, codes, forest, language, mixing, pivots, quality, rules, sentencepiece_bpe, suffixes,
     tokencount,
 )
 from recordlake.llm.store import table
@@ -80,6 +80,11 @@ def op10_token_counts(spark, sf_dir):
     return tokencount.section_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_codes(spark, sf_dir):
+    """Compressed codes of every usable embedding and their errors."""
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def op12_sentencepiece(spark, sf_dir):
     """Whole documents to SentencePiece ids and back, as digests."""
     done = sentencepiece_bpe.encode_documents(table(spark, sf_dir, "documents"), decoded=True)
@@ -102,5 +107,6 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
+    "op11_codes": op11_codes,
     "op12_sentencepiece": op12_sentencepiece,
 }
