@@ -69,4 +69,44 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM coded JOIN kept USING (rid)
 """
 
-ORACLE: dict[str, str] = {"op8_chat": OP8, "op11_codes": OP11}
+# crc32 of a text of ASCII characters: per character its code, then eight shifts.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
+  range(1, length({s}) + 1), lambda i: [ord(substr({s}, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+# A node is named by the digests of its turns, 32 letters each.
+OP13 = f"""
+WITH turns AS MATERIALIZED (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS no
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS MATERIALIZED (
+  SELECT conv_id, {_CRC.format(s="CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, t.no, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.no <= c.h
+  UNION ALL SELECT c.conv_id, t.no, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.no > c.h
+), numbered AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY no) AS depth, text,
+    md5(length(role) || ':' || role || text) AS mark FROM rebuilt
+), steps AS MATERIALIZED (
+  SELECT conv_id, 0 AS depth, '' AS node, 0 AS chars FROM convs
+  UNION ALL SELECT conv_id, depth, string_agg(mark, '') OVER (PARTITION BY conv_id ORDER BY depth), length(text) FROM numbered
+), nodes AS MATERIALIZED (
+  SELECT node, max(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+    left(node, greatest(0, length(node) - 32)) AS parent FROM steps GROUP BY node
+), children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+below AS (
+  SELECT left(n.node, 32 * up) AS node, sum(saved) AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves
+  FROM (SELECT node, saved, node NOT IN (SELECT node FROM children) AS leaf, unnest(range(0, depth + 1)) AS up FROM nodes) n
+  GROUP BY 1
+), ends AS (
+  SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM steps s WHERE depth = (SELECT max(depth) FROM steps t WHERE t.conv_id = s.conv_id) GROUP BY node
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, CASE WHEN n.depth > 0 THEN p.conv_id END AS parent_conv_id, n.n_convs,
+  coalesce(c.n_children, 0) AS n_children, b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens,
+  coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.parent = p.node LEFT JOIN children c ON n.node = c.node
+  JOIN below b ON n.node = b.node LEFT JOIN ends e ON n.node = e.node
+"""
+
+ORACLE: dict[str, str] = {"op8_chat": OP8, "op11_codes": OP11, "op13_prefix_trie": OP13}

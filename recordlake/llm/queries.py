@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordlake.llm import (
-    bpe, chat, codes, forest, language, mixing, pivots, quality, rules, sentencepiece_bpe, suffixes,
+    bpe, chat, codes, forest, language, mixing, pivots, prefix_trie, quality, rules, sentencepiece_bpe, suffixes,
     tokencount,
 )
 from recordlake.llm.store import table
@@ -96,6 +96,11 @@ def op12_sentencepiece(spark, sf_dir):
     )
 
 
+def op13_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_language": op2_language,
@@ -109,4 +114,5 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_codes": op11_codes,
     "op12_sentencepiece": op12_sentencepiece,
+    "op13_prefix_trie": op13_prefix_trie,
 }
