@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.typed import typed_json
+from recordlake.functions.automaton import Automaton
 from recordlake.functions.text import contains_any, snippet, strip_ws
+from recordlake.functions.typed import typed_json
+from recordlake.session import pin
 
 # --- fixed value: script blocks that hold JSON ---------------------------------------
 JSON_SCRIPT = r"""(?s)<script[^>]*type=["']application/json["'][^>]*>(.*?)</script>"""
@@ -122,9 +125,8 @@ def keyword_hits(
     return df.select(*keep, F.inline(shown))
 
 
-# Ids of a checked number and size are searched inside the row of the text; more are joined.
-IDS_IN_ROW = 2_000
-_SEED = 8
+# Bytes of ids in one automaton; it takes some sixty times as much in every Python worker.
+AUTOMATON_BYTES = 1 << 20
 
 
 def known_id_hits(
@@ -135,61 +137,45 @@ def known_id_hits(
     id_column: str,
     before: int = 50,
     after: int = 100,
-    in_row: int = IDS_IN_ROW,
+    automaton_bytes: int = AUTOMATON_BYTES,
 ) -> DataFrame:
     """Ids found anywhere in a text, with the surroundings of the first place.
 
-    An id may be any non-empty text of any length. Place and snippet are cut in the row of
-    the text, so texts may repeat a key and are never shuffled. Up to ``in_row`` distinct ids
-    are tried in each row, against what is left of the text when all characters are blanked
-    that no id has. More ids are found by their first letters: a text offers every piece of
-    that length with its place and the text that follows, an equality join picks the ids that
-    begin like it, and the rest of the id is compared.
+    An id may be any non-empty text of any length. All ids are searched at once by an
+    automaton over the bytes of the texts, whose work does not grow with their number. Its
+    size is checked: ids of more than ``automaton_bytes`` are dealt by a hash to several
+    automata of about that size, and the texts are read once for each. Place and snippet stay
+    in the row of the text, so texts may repeat a key and are never shuffled; the only rows
+    made are hits.
     """
     known = ids.select(F.col(id_column).cast("string").alias("_id")).where("_id <> ''").distinct()
-    few = sorted(r["_id"] for r in known.limit(in_row + 1).collect())
-    if len(few) > in_row:
-        return _joined_ids(texts, known, text_key, text, before, after)
-    letters = sorted({c for i in few for c in i})
-    blank = next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in letters)
-    other = "[^" + "".join(f"\\x{{{ord(c):X}}}" for c in letters) + "]+" if letters else "(?s).+"
-    body = F.col(text)
-    hay = F.regexp_replace(body, other, blank)
-    rows = texts.select(text_key, text, hay.alias("_hay"))
-    held = F.filter(F.lit(few).cast("array<string>"), lambda i: F.contains(F.col("_hay"), i))
-    found = rows.select(text_key, text, F.explode(held).alias("known_id"))
-    at = F.position(F.col("known_id"), body)
-    return found.select(
-        text_key, "known_id", (at - 1).alias("at"),
-        snippet(body, at, before, after, before + after).alias("snippet"),
-    )
-
+    # Dealt once: the ids of a shard are read from what is stored.
+    size = F.octet_length("_id").cast("long")
+    known = pin(known.select("_id", size.alias("_size")))
+    total = known.agg(F.sum("_size")).first()[0] or 0
+    shards = max(1, -(-total // automaton_bytes))
+    found = None
+    for shard in range(shards):
+        own = known.where(F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(shards)) == shard)
+        hits = _searched(texts, sorted(r["_id"] for r in own.select("_id").collect()), text_key, text, before, after)
+        found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+def _searched(texts: DataFrame, words: list[str], text_key: str, text: str, before: int, after: int) -> DataFrame:
+    sent = texts.sparkSession.sparkContext.broadcast(Automaton(words))
+
+    @F.arrow_udf("array<struct<word:string,at:int>>")
+    def search(bodies: pa.Array) -> pa.Array:
+        return sent.value.search(bodies)
 
-def _joined_ids(texts, known, text_key, text, before, after):
-    """Many ids: pieces of the texts meet the ids that begin with them.
-
-    Ids are sorted into classes by length up to ``_SEED`` letters; longer ones share a class
-    and are checked against the text behind the piece, cut to the longest id.
-    """
-    sized = known.withColumn("_seed", F.substring("_id", 1, _SEED))
-    spans = sized.agg(F.sort_array(F.collect_set(F.length("_seed"))), F.max(F.length("_id"))).first()
-    lengths, longest = spans[0] or [1], spans[1] or 1
-    body, place = F.col(text), F.col("_at")
-    numbered = texts.select(F.monotonically_increasing_id().alias("_row"), text_key, text)
-    pieces = numbered.where(F.length(body) > 0).select(
-        "_row", text_key, text, F.explode(F.sequence(F.lit(1), F.length(body))).alias("_at")
-    )
-    offered = pieces.select(
-        "_row", text_key, "_at",
-        F.substring(body, place, F.lit(longest)).alias("_rest"),
-        snippet(body, place, before, after, before + after).alias("snippet"),
-        F.explode(F.array(*[F.lit(n) for n in lengths])).alias("_n"),
-    ).withColumn("_seed", F.substring("_rest", F.lit(1), F.col("_n"))).where(F.length("_seed") == F.col("_n"))
-    hits = offered.join(sized, "_seed").where(F.startswith(F.col("_rest"), F.col("_id")))
-    first = hits.groupBy("_row", "_id").agg(
-        F.min(F.struct("_at", text_key, "snippet")).alias("_h")
+    body = F.col(text)
+    rows = texts.select(text_key, text, F.explode(search(body)).alias("_hit"))
+    at = F.col("_hit.at")
+    return rows.select(
+        text_key, F.col("_hit.word").alias("known_id"), at.alias("at"),
+        snippet(body, at + 1, before, after, before + after).alias("snippet"),
     )
-    return first.select(f"_h.{text_key}", F.col("_id").alias("known_id"), (F.col("_h._at") - 1).alias("at"), "_h.snippet")
 
 
 def leaf_texts(text: Column) -> Column:

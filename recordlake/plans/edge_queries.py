@@ -158,9 +158,9 @@ def known_ids_any_kind(spark, sf_dir):
 
 
 def known_ids_joined(spark, sf_dir):
-    """The same search by a join, as for more ids than a row can try."""
+    """The same search with more ids than one automaton takes."""
     texts = _marked_texts(spark, sf_dir, "customer", "c_custkey", F.col("c_name"))
-    return textmine.known_id_hits(texts, _mixed_ids(spark, sf_dir), "group", "text", "id", in_row=0)
+    return textmine.known_id_hits(texts, _mixed_ids(spark, sf_dir), "group", "text", "id", automaton_bytes=4000)
 
 
 # --- copies, whole runs, streams ------------------------------------------------------------------

@@ -4,9 +4,11 @@ import json
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from recordlake.functions import automaton
 from recordlake.operators import jsonpath, textmine, traffic
 
 PAGE = """<html><head><title>Shop 1234</title><script>var n = "<b>999</b>";</script>
@@ -58,9 +60,9 @@ def test_keyword_hits_in_list_order(pages):
         assert r.snippet == PAGE[max(0, r.at - 80): r.at + 200][:250]
 
 
-@pytest.mark.parametrize("in_row", [2000, 0])
-def test_known_ids_equal_substring_search(spark, in_row):
-    """Ids of any letters and length, texts that share a key, both ways of searching."""
+@pytest.mark.parametrize("room", [1 << 20, 60])
+def test_known_ids_equal_substring_search(spark, room):
+    """Ids of any letters and length, texts that share a key, one automaton and several."""
     rng = random.Random(2)
     texts = ["".join(rng.choice("0123 ab.-é") for _ in range(rng.randrange(80))) for _ in range(60)] + ["", None]
     ids = ["".join(rng.choice("0123 ab.-é") for _ in range(rng.randrange(1, 5))) for _ in range(80)]
@@ -68,7 +70,7 @@ def test_known_ids_equal_substring_search(spark, in_row):
     ids += ["12345678901234567890123", "AB-77", "-5", "", None, "12345678901"]
     t = spark.createDataFrame([(k % 7, x) for k, x in enumerate(texts)], "k int, text string")
     i = spark.createDataFrame([(x,) for x in ids], "id string")
-    found = textmine.known_id_hits(t, i, "k", "text", "id", in_row=in_row).collect()
+    found = textmine.known_id_hits(t, i, "k", "text", "id", automaton_bytes=room).collect()
     got = sorted((r.k, r.known_id, r["at"], r.snippet) for r in found)
     want = []
     for k, text in enumerate(texts):
@@ -79,6 +81,50 @@ def test_known_ids_equal_substring_search(spark, in_row):
     assert got == sorted(want)
 
 
+def test_known_ids_of_nothing(spark):
+    some, none = spark.createDataFrame([(1, "a")], "k int, text string"), spark.createDataFrame([], "k int, text string")
+    ids = spark.createDataFrame([("a",), ("",), (None,)], "id string")
+    assert textmine.known_id_hits(none, ids, "k", "text", "id").collect() == []
+    assert textmine.known_id_hits(some, ids.where("id = ''"), "k", "text", "id").collect() == []
+    assert [tuple(r) for r in textmine.known_id_hits(some, ids, "k", "text", "id").collect()] == [(1, "a", 0, "a")]
+
+
+@pytest.mark.parametrize("alphabet,n,size", [("ab", 60, 7), ("abc é", 400, 5), ("a", 9, 12), ("01日", 30, 300)])
+def test_automaton_finds_every_word(alphabet, n, size, monkeypatch):
+    """Overlapping and nested words, texts cut into lanes, empty texts, slices of buffers."""
+    rng = random.Random(n)
+    words = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randrange(1, size))) for _ in range(n)})
+    texts = [None, "", *("".join(rng.choice(alphabet) for _ in range(rng.choice([1, 5, 30, 4000]))) for _ in range(40))]
+    texts.append("".join(words))
+    monkeypatch.setattr(automaton, "LANE", 16)
+    monkeypatch.setattr(automaton, "CHUNK_BYTES", 3000)
+    machine = automaton.Automaton(words)
+    got = machine.search(pa.array(["x", *texts]).slice(1)).to_pylist()
+    assert len(got) == len(texts)
+    for text, hits in zip(texts, got):
+        places = {h["word"]: h["at"] for h in hits}
+        assert len(places) == len(hits) and [h["at"] for h in hits] == sorted(h["at"] for h in hits)
+        assert places == {w: text.index(w) for w in words if w in (text or "")}
+    assert automaton.Automaton([]).search(pa.array(["a", None])).to_pylist() == [[], []]
+    assert machine.search(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_automaton_steps_do_not_grow_with_the_words(monkeypatch):
+    """The same text against ten times the words: as many moves of as many lanes."""
+    rng, moves = random.Random(1), []
+    words = list({"".join(rng.choices("0123456789", k=9)) for _ in range(20000)})
+    text = pa.array(["".join(rng.choices("0123456789 ", k=20000))])
+    move = automaton.Automaton.move
+    monkeypatch.setattr(automaton.Automaton, "move", lambda self, node, byte: moves.append(len(node)) or move(self, node, byte))
+    work = []
+    for n in (2000, 20000):
+        machine = automaton.Automaton(words[:n])
+        moves.clear()
+        machine.search(text)
+        work.append(sum(moves))
+    assert work[0] == work[1] < 1.02 * 20000
+
+
 LOG = [
     (0, "2024-01-01 00:00:05", "GET", "https://h/api/locate?x=1", 200, "application/json", None),
     (1, "2024-01-01 00:00:02.5", "POST", "https://h/partner?countryCode=gb", 200, "text/javascript", '{"ids":[1,2,3,4,5,6,7]}'),
