@@ -62,11 +62,11 @@ def section_counts(docs: DataFrame, rule: str = "majority", separator: str = "\n
 
     def count(batches):
         vocab = vocabulary(rank_file(name))
-        lengths = np.array([len(b) for b in vocab.bytes], np.int64)
+        lengths = vocab.lengths
         for batch in batches:
             for row, end, data, offsets in chunks(batch.column(1)):
                 texts = batch.column(1).slice(row, end - row).to_pylist()
-                ids = [vocab.encode(t or "") for t in texts]
+                ids = [np.frombuffer(i, "<u4") for i in vocab.encode_texts([t or "" for t in texts])]
                 per_doc = np.array([len(i) for i in ids], np.int64)
                 token_ends = np.cumsum(lengths[np.concatenate([*ids, np.zeros(0, "<u4")])])
                 after = np.flatnonzero(data == mark[0]) + 1
