@@ -21,7 +21,8 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from recordlake.llm.tables import Recent, Table, few_at_a_time, slots
+from recordlake.functions.lookup import Table, slots
+from recordlake.llm.tables import Recent, few_at_a_time
 
 # White space as in the tokenizer's own matcher: the Unicode property.
 PATTERN = public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")

@@ -26,8 +26,9 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from recordlake.functions.lookup import Table
 from recordlake.llm.bpe import _type
-from recordlake.llm.tables import Recent, Table, few_at_a_time
+from recordlake.llm.tables import Recent, few_at_a_time
 
 SPACE = "▁"
 # Words of each of the two generations that are kept, and characters of the longest of them.

@@ -8,6 +8,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from recordlake.functions.lookup import Table
 from recordlake.llm import bpe, queries, tables, tokencount
 
 ALPHABETS = ["ab", "aab ", "the and of ing", "!!??##$$", "éèàößü ", "\n \t\r", "0123 ", "日本語中文字 ", "\x1c\x85 　x",
@@ -130,7 +131,7 @@ def test_recent_results_are_bounded_and_right():
 
 def test_table_finds_every_key():
     keys = np.unique(np.random.default_rng(2).integers(0, 2**62, 5000))
-    found = tables.Table(keys, np.arange(len(keys)))
+    found = Table(keys, np.arange(len(keys)))
     assert (found.get(keys, -1) == np.arange(len(keys))).all()
     assert (found.get(keys[:-1] + 1, -1) == np.where(np.isin(keys[:-1] + 1, keys), np.arange(1, len(keys)), -1)).all()
-    assert tables.Table(keys[:0], keys[:0]).get(keys, 7).tolist() == [7] * len(keys)
+    assert Table(keys[:0], keys[:0]).get(keys, 7).tolist() == [7] * len(keys)
