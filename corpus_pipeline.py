@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, decoded again, as digests per row."""
     small_batches(spark)
-    return bpe_digests(bpe.decode_documents(bpe.encode_documents(docs)))
+    return bpe_digests(bpe.encode_documents(docs, decoded=True))
 
 
 STAGES = [
