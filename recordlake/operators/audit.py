@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordlake.functions import plain
 from recordlake.functions.typed import typed_json
 from recordlake.operators.unwrap import item_count
 from recordlake.schema import BATCH_SIZE, CONCURRENCY, MAX_RETRIES, RETRY_BACKOFF
@@ -82,12 +83,17 @@ def attempt_outcomes(attempts: DataFrame) -> DataFrame:
     Attempts without records keep the start of the body as a preview.
     """
     body = F.coalesce(F.col("body"), F.lit(""))
-    parsed = attempts.withColumn("_typed", typed_json(body))
-    counted = parsed.withColumn("n_records", item_count(F.col("_typed")))
+    # A variant answers for most bodies; what it does not take goes through the strict step.
+    variant = F.col("_variant")
+    opened = attempts.withColumn("_variant", plain.opened(body)).withColumn(
+        "_n", F.when(plain.is_value(body, variant), plain.item_count(variant))
+    )
+    parsed = opened.drop("_variant").withColumn("_typed", typed_json(F.when(F.col("_n").isNull(), body)))
+    counted = parsed.withColumn("n_records", F.coalesce("_n", item_count(F.col("_typed"))))
     outcome = (
         F.when(F.col("error").isNotNull() & F.col("status").isNull(), "network_error")
         .when(F.col("status") == 500, "server_error")
-        .when(F.col("_typed").isNull(), "parse_error")
+        .when(F.col("_typed").isNull() & F.col("_n").isNull(), "parse_error")
         .when(F.col("n_records") > 0, "success")
         .otherwise("empty")
     )
@@ -97,7 +103,7 @@ def attempt_outcomes(attempts: DataFrame) -> DataFrame:
         classed.withColumn("n_records", F.when(F.col("outcome") == "success", F.col("n_records")).otherwise(0))
         .withColumn("wait_seconds", backoff_seconds(F.col("attempt")))
         .withColumn("stops", stops)
-        .drop("_typed")
+        .drop("_typed", "_n")
         .withColumn(
             "preview",
             F.when(F.col("outcome") == "parse_error", F.substring(body, 1, 100)).when(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions import typed
+from recordlake.functions import plain, typed
 from recordlake.functions.text import let
 from recordlake.functions.typed import is_object, is_truthy, typed_body
 from recordlake.schema import FREE_FORM_FIELDS, LIST_KEYS, RECORD_DDL, SINGLE_KEYS
@@ -88,15 +88,24 @@ def explode_all(raw: DataFrame, keep: Sequence[str] = (), line: str = "value") -
 
 
 def rejected_lines(raw: DataFrame, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
-    """Lines that are not one complete JSON value: kept columns and the text."""
-    checked = raw.select(*keep, F.col(line).alias("line"), typed_body(F.col(line)).alias("_body"))
+    """Lines that are not one complete JSON value: kept columns and the text.
+
+    Only lines that VARIANT does not take go through the strict step.
+    """
+    text = F.col("line")
+    read = raw.select(*keep, F.col(line).alias("line")).withColumn("_variant", plain.opened(text))
+    open_ = read.select(*keep, "line", plain.is_value(text, F.col("_variant")).alias("_fine"))
+    checked = open_.where(~F.col("_fine")).drop("_fine").withColumn("_body", typed_body(text))
     return checked.where(F.col("_body").isNull()).drop("_body")
 
 
 def records_per_line(raw: DataFrame, keep: Sequence[str], line: str = "value") -> DataFrame:
-    """Number of list items in each raw line."""
-    bodies = raw.select(*keep, typed_body(F.col(line)).alias("_body"))
-    return bodies.select(*keep, item_count(F.col("_body")).alias("n_records"))
+    """Number of list items in each raw line, from its VARIANT where it has one."""
+    text, variant = F.col("_line"), F.col("_variant")
+    read = raw.select(*keep, F.col(line).alias("_line")).withColumn("_variant", plain.opened(text))
+    quick = read.select(*keep, "_line", F.when(plain.is_value(text, variant), plain.body_count(variant)).alias("_n"))
+    bodies = quick.select(*keep, "_n", typed_body(F.when(F.col("_n").isNull(), text)).alias("_body"))
+    return bodies.select(*keep, F.coalesce("_n", item_count(F.col("_body"))).alias("n_records"))
 
 
 def _malformed_fields(record: Column) -> Column:
