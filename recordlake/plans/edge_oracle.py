@@ -72,6 +72,7 @@ EDGE_ORACLE: dict[str, str] = {
     "known_ids_joined": _known("customer", "c_custkey", "c_name"),
     "run_records": _COPIES,
     "stream_equals_batch": _COPIES,
+    "stream_first_arrivals": "SELECT min(event_id) AS event_id, user_id, event_type FROM events GROUP BY user_id, event_type",
     "run_rejects": f"{_JUNK} UNION ALL {_JUNK}".replace("n_name FROM", "n_name AS line FROM"),
     "run_counts": f"""
       SELECT unnest(['parsed', 'unique', 'rejected', 'missing', 'failed_batches', 'exported']) AS name, unnest([

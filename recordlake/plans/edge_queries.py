@@ -18,7 +18,7 @@ from recordlake.schema import OUTPUT_COLUMNS
 from recordlake.session import scratch_path
 from recordlake.sources import raw as raw_source
 from recordlake.sources import sinks
-from recordlake.streaming import ingest
+from recordlake.streaming import first, ingest
 
 
 def text(column: str):
@@ -240,6 +240,18 @@ def stream_equals_batch(spark, sf_dir):
     return ingest.finish_stream(spark, out, "s", drop_empty=False).table.select(*OUTPUT_COLUMNS)
 
 
+def stream_first_arrivals(spark, sf_dir):
+    """Events in three batches whose copies come out of order: the earliest of each key stays."""
+    path, out, state = (scratch_path(spark, n) for n in ("events", "first", "first-state"))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    for part in (2, 1, 0):
+        events.where(F.pmod("event_id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    key = F.concat_ws("||", "user_id", "event_type")
+    first.land_first_arrivals(stream, key, ["event_id"], out, state).awaitTermination()
+    return first.last_revisions(spark.read.parquet(out).drop("batch"), ["event_id"])
+
+
 # --- files ------------------------------------------------------------------------------------------
 
 
@@ -298,7 +310,7 @@ EDGE_QUERIES = {
     for f in (
         repeated_keys, scalar_texts, lenient_attempts, rejected_lines, session_elapsed_nulls, late_attempts,
         delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined,
-        run_records, run_counts, run_rejects, empty_run, stream_equals_batch, page_files, traffic_file,
+        run_records, run_counts, run_rejects, empty_run, stream_equals_batch, stream_first_arrivals, page_files, traffic_file,
         stamped_runs, format_round_trip, export_round_trip,
     )
 }
