@@ -445,6 +445,7 @@ ORACLE: dict[str, str] = {
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
 }
 
+ORACLE["stored_delta"] = ORACLE["snapshot_delta"]
 ORACLE |= {
     name: sql.replace("<BATCHES>", BATCHES).replace("<TRAFFIC>", TRAFFIC) for name, sql in EDGE_ORACLE.items()
 }

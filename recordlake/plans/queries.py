@@ -15,6 +15,7 @@ from recordlake.operators import (
     delta,
     flatten,
     jsonpath,
+    merkle,
     profile,
     textmine,
     traffic,
@@ -462,9 +463,8 @@ def ordered_distinct(spark, sf_dir):
 # --- runs compared, values normalised, rules checked ----------------------------------------
 
 
-def snapshot_delta(spark, sf_dir):
+def _two_runs(spark, sf_dir):
     facts = derive.customer_facts(spark, sf_dir)
-    columns = ["companyName", "city", "segment"]
     base = facts.select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("companyName"),
         F.col("n_name").alias("city"), F.col("c_mktsegment").alias("segment"),
@@ -475,10 +475,25 @@ def snapshot_delta(spark, sf_dir):
     current = base.where(F.col("segment") != "BUILDING").withColumns(
         {"companyName": renamed, "city": moved}
     )
+    return previous, current, ["companyName", "city", "segment"]
+
+
+def snapshot_delta(spark, sf_dir):
+    previous, current, columns = _two_runs(spark, sf_dir)
     found = delta.snapshot_delta(previous, current, columns, columns)
     return found.withColumn("changed_columns", _joined(F.col("changed_columns")))
 
 
+def stored_delta(spark, sf_dir):
+    """The same delta of two stored runs, from the digests of their ranges."""
+    *runs, columns = _two_runs(spark, sf_dir)
+    paths = [scratch_path(spark, name) for name in ("previous-run", "current-run")]
+    for rows, path in zip(runs, paths):
+        merkle.store_run(rows, path, columns, columns)
+    found = merkle.stored_delta(spark, *paths, columns)
+    return found.withColumn("changed_columns", _joined(F.col("changed_columns")))
+
+
 def country_aliases(spark, sf_dir):
     facts = derive.customer_facts(spark, sf_dir)
     named = facts.select("c_custkey", F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")).alias("country"))
@@ -578,7 +593,7 @@ QUERIES: dict[str, Query] = {
         numeric_leaf_texts, url_parts, elapsed_log, session_elapsed, api_calls,
         calls_after_mark, request_ids, response_shapes, shape_counts, id_marks,
         nested_id_paths, id_list_keys, country_key_arrays, distinct_last, ordered_distinct,
-        snapshot_delta, country_aliases, country_alias_table, zero_coordinates,
+        snapshot_delta, stored_delta, country_aliases, country_alias_table, zero_coordinates,
         threshold_checks, without_pii, csv_round_trip, raw_round_trip, json_by_country,
         stream_records, stream_dedupe,
     )
