@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.functions.automaton import Automaton
+from recordlake.functions.html import leaf_element_texts
 from recordlake.functions.text import contains_any, snippet, strip_ws
 from recordlake.functions.typed import typed_json
 from recordlake.session import pin
@@ -16,12 +17,6 @@ from recordlake.session import pin
 # --- fixed value: script blocks that hold JSON ---------------------------------------
 JSON_SCRIPT = r"""(?s)<script[^>]*type=["']application/json["'][^>]*>(.*?)</script>"""
 
-# Elements without child elements: raw-text ones (groups 1, 2), then plain ones (3, 4).
-LEAF_ELEMENT = (
-    r"(?is)<(script|style|title|textarea)\b[^>]*>(.*?)</\1\s*>"
-    r"|<([a-z][a-z0-9]*)\b[^>]*>([^<]*)</\3\s*>"
-)
-
 # --- fixed values: character references decoded in leaf text, "&amp;" last -----------
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 
@@ -178,11 +173,8 @@ def _searched(texts: DataFrame, words: list[str], text_key: str, text: str, befo
     )
 
 
-def leaf_texts(text: Column) -> Column:
-    """Stripped, non-blank text of elements that have no child elements."""
-    raw = F.zip_with(
-        find_all(text, LEAF_ELEMENT, 2), find_all(text, LEAF_ELEMENT, 4), lambda a, b: F.concat(a, b)
-    )
+def leaf_texts(raw: Column) -> Column:
+    """Stripped, non-blank texts, with their character references decoded."""
 
     def decode(t: Column) -> Column:
         for name, char in ENTITIES.items():
@@ -195,8 +187,12 @@ def leaf_texts(text: Column) -> Column:
 def numeric_leaf_texts(
     df: DataFrame, text: str, keep: Sequence[str] = (), max_length: int = 50, n: int = 20
 ) -> DataFrame:
-    """The first short leaf texts of each page that hold a run of three or four digits."""
+    """The first short leaf texts of each page that hold a run of three or four digits.
+
+    Leaves are elements without child elements, closed by an end tag or by what follows them.
+    """
+    leaves = df.select(*keep, leaf_element_texts(F.col(text)).alias("_raw"))
     wanted = F.filter(
-        leaf_texts(F.col(text)), lambda t: t.rlike(r"[0-9]{3,4}") & (F.length(t) < max_length)
+        leaf_texts(F.col("_raw")), lambda t: t.rlike(r"[0-9]{3,4}") & (F.length(t) < max_length)
     )
-    return df.select(*keep, F.posexplode(F.slice(wanted, 1, n)).alias("pos", "leaf_text"))
+    return leaves.select(*keep, F.posexplode(F.slice(wanted, 1, n)).alias("pos", "leaf_text"))

@@ -163,6 +163,22 @@ def known_ids_joined(spark, sf_dir):
     return textmine.known_id_hits(texts, _mixed_ids(spark, sf_dir), "group", "text", "id", automaton_bytes=4000)
 
 
+# --- pages as browsers get them -------------------------------------------------------------------
+
+
+OPEN_ELEMENTS = (
+    "<div><ul><li>n <k>1<li>none<LI class='a>b'><b>m <k>2</b></ul><table><tr><td>c <k>3<td>d<tr><th>e <k>4</table>"
+    "<dl><dt>t <k>5<dd>u <k>6</dl><p>o <k>7<p>q<br><k>8</div>"
+)
+
+
+def open_leaf_texts(spark, sf_dir):
+    """Pages that begin with list items, cells, terms and paragraphs left open."""
+    page = fill(OPEN_ELEMENTS + "<html>", k=(100 + F.col("page_id") % 900).cast("string"), html=F.col("html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", page.alias("html"))
+    return textmine.numeric_leaf_texts(pages, "html", ["page_id"])
+
+
 # --- copies, whole runs, streams ------------------------------------------------------------------
 
 
@@ -309,7 +325,7 @@ EDGE_QUERIES = {
     f.__name__: f
     for f in (
         repeated_keys, scalar_texts, lenient_attempts, rejected_lines, session_elapsed_nulls, late_attempts,
-        delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined,
+        delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined, open_leaf_texts,
         run_records, run_counts, run_rejects, empty_run, stream_equals_batch, stream_first_arrivals, page_files, traffic_file,
         stamped_runs, format_round_trip, export_round_trip,
     )

@@ -445,6 +445,14 @@ ORACLE: dict[str, str] = {
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
 }
 
+_LEAVES = f"[{LEAF_TEXT} FOR m IN regexp_extract_all(html, {quoted(LEAF)}) IF {OPEN_NAME} = {CLOSE_NAME}]"
+ORACLE["open_leaf_texts"] = f"""
+      WITH texts AS (SELECT page_id, list_concat(
+          [mark || (100 + page_id % 900)::VARCHAR || nth FOR mark, nth IN ['n ', 'm ', 'c ', 'e ', 't ', 'u ', 'o ']], {_LEAVES}) AS ts
+        FROM pages),
+      wanted AS (SELECT page_id,
+        [t FOR t IN ts IF regexp_matches(t, '[0-9]{{3,4}}') AND length(t) < 50][1:20] AS w FROM texts)
+      SELECT page_id, unnest(range(len(w)))::INT AS pos, unnest(w) AS leaf_text FROM wanted"""
 ORACLE["stored_delta"] = ORACLE["snapshot_delta"]
 ORACLE |= {
     name: sql.replace("<BATCHES>", BATCHES).replace("<TRAFFIC>", TRAFFIC) for name, sql in EDGE_ORACLE.items()
