@@ -73,6 +73,9 @@ EDGE_ORACLE: dict[str, str] = {
     "run_records": _COPIES,
     "stream_equals_batch": _COPIES,
     "stream_first_arrivals": "SELECT min(event_id) AS event_id, user_id, event_type FROM events GROUP BY user_id, event_type",
+    "stream_progress": """
+      SELECT unnest(['unique', 'reports', 'last']) AS name, unnest([n, n // 200, n // 200 * 200]) AS n
+      FROM (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events))""",
     "run_rejects": f"{_JUNK} UNION ALL {_JUNK}".replace("n_name FROM", "n_name AS line FROM"),
     "run_counts": f"""
       SELECT unnest(['parsed', 'unique', 'rejected', 'missing', 'failed_batches', 'exported']) AS name, unnest([

@@ -19,6 +19,7 @@ from recordlake.session import scratch_path
 from recordlake.sources import raw as raw_source
 from recordlake.sources import sinks
 from recordlake.streaming import first, ingest
+from recordlake.streaming.progress import UniqueProgress
 
 
 def text(column: str):
@@ -256,8 +257,8 @@ def stream_equals_batch(spark, sf_dir):
     return ingest.finish_stream(spark, out, "s", drop_empty=False).table.select(*OUTPUT_COLUMNS)
 
 
-def stream_first_arrivals(spark, sf_dir):
-    """Events in three batches whose copies come out of order: the earliest of each key stays."""
+def _land_events(spark, sf_dir) -> str:
+    """Events in three batches whose copies come out of order."""
     path, out, state = (scratch_path(spark, n) for n in ("events", "first", "first-state"))
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     for part in (2, 1, 0):
@@ -265,7 +266,27 @@ def stream_first_arrivals(spark, sf_dir):
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
     key = F.concat_ws("||", "user_id", "event_type")
     first.land_first_arrivals(stream, key, ["event_id"], out, state).awaitTermination()
-    return first.last_revisions(spark.read.parquet(out).drop("batch"), ["event_id"])
+    return out
+
+
+def stream_first_arrivals(spark, sf_dir):
+    """The earliest event of each key stays."""
+    landed = spark.read.parquet(_land_events(spark, sf_dir)).drop("batch")
+    return first.last_revisions(landed, ["event_id"])
+
+
+def stream_progress(spark, sf_dir):
+    """Unique keys counted while they arrive, and the round numbers that were reported."""
+    reports: list[int] = []
+    listener = UniqueProgress(report=reports.append)
+    spark.streams.addListener(listener)
+    try:
+        _land_events(spark, sf_dir)
+        listener.ended.wait(60)  # progress comes a little after the batches
+    finally:
+        spark.streams.removeListener(listener)
+    rows = [("unique", listener.total), ("reports", len(reports)), ("last", max(reports, default=0))]
+    return spark.createDataFrame(rows, "name string, n long")
 
 
 # --- files ------------------------------------------------------------------------------------------
@@ -326,7 +347,8 @@ EDGE_QUERIES = {
     for f in (
         repeated_keys, scalar_texts, lenient_attempts, rejected_lines, session_elapsed_nulls, late_attempts,
         delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined, open_leaf_texts,
-        run_records, run_counts, run_rejects, empty_run, stream_equals_batch, stream_first_arrivals, page_files, traffic_file,
+        run_records, run_counts, run_rejects, empty_run, stream_equals_batch, stream_first_arrivals,
+        stream_progress, page_files, traffic_file,
         stamped_runs, format_round_trip, export_round_trip,
     )
 }

@@ -6,11 +6,13 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
 from recordlake.operators.dedupe import digest, first_by
 from recordlake.session import RECOMMENDED_CONF
+from recordlake.streaming.progress import observed
 
 KEY, REVISION = "_key", "revision"
 
@@ -98,7 +100,8 @@ def land_first_arrivals(
 
     A batch that is repeated after a failure overwrites its own folder; a restart resumes. It
     lands what is available and stops or, with ``every``, goes on at that interval. State that
-    is forgotten by time needs a query that goes on: it never runs out of batches.
+    is forgotten by time needs a query that goes on: it never runs out of batches. A
+    ``progress.UniqueProgress`` added to the session's listeners reports keys as they arrive.
     """
     if keep_ms is not None and every is None:
         raise ValueError("keep_ms needs a query that goes on: give the interval of its batches")
@@ -108,7 +111,8 @@ def land_first_arrivals(
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     with stateful(rows.sparkSession):
+        passed = observed(first_arrivals_so_far(rows, key, order_by, keep_ms), F.col(REVISION) == 0)
         return (
-            first_arrivals_so_far(rows, key, order_by, keep_ms).writeStream.foreachBatch(land)
+            passed.writeStream.foreachBatch(land)
             .option("checkpointLocation", checkpoint).outputMode("update").trigger(**trigger).start()
         )

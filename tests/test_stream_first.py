@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from recordlake.streaming import first
+from recordlake.streaming import first, progress
 
 DDL = "k string, file string, line long, v string"
 
@@ -75,3 +75,46 @@ def _rows(landed):
         return landed().count()
     except Exception:  # nothing is landed yet, or a folder is being written
         return 0
+
+
+def test_progress_counts_a_repeated_batch_once(spark, feed, tmp_path):
+    add, _, _ = feed
+    reports, listener = [], None
+    listener = progress.UniqueProgress(step=10, report=reports.append)
+    add([(str(i), "f1", i, "v") for i in range(15)])
+    add([(str(i), "f2", i, "v") for i in range(10, 37)])
+    add([(str(i), "f0", i, "v") for i in range(40)])
+    fails = tmp_path / "fails"
+
+    def run():
+        stream = spark.readStream.schema(DDL).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        passed = progress.observed(first.first_arrivals_so_far(stream, F.col("k"), ["file", "line"]), F.col("revision") == 0)
+
+        def land(batch, batch_id):
+            batch.count()
+            if batch_id == 1 and not fails.exists():
+                fails.touch()
+                raise RuntimeError("lost")
+
+        with first.stateful(spark):
+            return passed.writeStream.foreachBatch(land).option("checkpointLocation", str(tmp_path / "s")).outputMode(
+                "update").trigger(availableNow=True).start()
+
+    spark.streams.addListener(listener)
+    try:
+        with pytest.raises(Exception, match="lost"):
+            run().awaitTermination(120)
+        assert run().awaitTermination(120)
+        assert listener.ended.wait(30)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.total == 40 and reports == [10, 20, 30, 40]
+    assert sorted(listener.by_batch) == [0, 1, 2] and listener.by_batch[1] == 22
+
+
+def test_progress_goes_on_from_earlier_runs():
+    reports = []
+    listener = progress.UniqueProgress(step=10, report=reports.append, before=27)
+    for batch, n in ((5, 2), (6, 30), (6, 31), (6, 31), (7, 0)):
+        listener.count(batch, n)
+    assert listener.total == 60 and reports == [30, 40, 50, 60]
