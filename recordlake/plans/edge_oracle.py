@@ -76,6 +76,7 @@ EDGE_ORACLE: dict[str, str] = {
     "stream_progress": """
       SELECT unnest(['unique', 'reports', 'last']) AS name, unnest([n, n // 200, n // 200 * 200]) AS n
       FROM (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events))""",
+    "csv_in_splits": """SELECT doc_id::VARCHAR AS doc_id, md5(replace(coalesce(text, ''), 'e', '"' || chr(10))) AS text FROM documents""",
     "run_rejects": f"{_JUNK} UNION ALL {_JUNK}".replace("n_name FROM", "n_name AS line FROM"),
     "run_counts": f"""
       SELECT unnest(['parsed', 'unique', 'rejected', 'missing', 'failed_batches', 'exported']) AS name, unnest([

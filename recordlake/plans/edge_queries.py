@@ -18,6 +18,7 @@ from recordlake.schema import OUTPUT_COLUMNS
 from recordlake.session import scratch_path
 from recordlake.sources import raw as raw_source
 from recordlake.sources import sinks
+from recordlake.sources.csv_split import read_csv_split
 from recordlake.streaming import first, ingest
 from recordlake.streaming.progress import UniqueProgress
 
@@ -298,6 +299,14 @@ def page_files(spark, sf_dir):
     return raw_source.read_pages(spark, path).select("text")
 
 
+def csv_in_splits(spark, sf_dir):
+    """Texts with quotes and line feeds through one CSV file that is read in splits."""
+    path = scratch_path(spark, "one-csv")
+    rows = table(spark, sf_dir, "documents").select(text("doc_id").alias("doc_id"), F.replace("text", F.lit("e"), F.lit('"\n')).alias("text"))
+    sinks.write_csv(rows.coalesce(1), path)
+    return read_csv_split(spark, path, rows.columns).withColumn("text", F.md5("text"))
+
+
 def traffic_file(spark, sf_dir):
     path = scratch_path(spark, "traffic")
     derive.traffic(spark, sf_dir).select(
@@ -348,7 +357,7 @@ EDGE_QUERIES = {
         repeated_keys, scalar_texts, lenient_attempts, rejected_lines, session_elapsed_nulls, late_attempts,
         delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined, open_leaf_texts,
         run_records, run_counts, run_rejects, empty_run, stream_equals_batch, stream_first_arrivals,
-        stream_progress, page_files, traffic_file,
+        stream_progress, csv_in_splits, page_files, traffic_file,
         stamped_runs, format_round_trip, export_round_trip,
     )
 }

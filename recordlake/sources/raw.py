@@ -17,7 +17,8 @@ TRAFFIC_DDL = (
 )
 
 
-def _with_file(lines: DataFrame) -> DataFrame:
+def with_file(lines: DataFrame) -> DataFrame:
+    """Text lines with their file and block."""
     return lines.select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
@@ -31,7 +32,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     Files are split as usual: inside one block lines keep their order, blocks and files
     are ordered by their own columns.
     """
-    return with_line_ids(_with_file(spark.read.text(path)))
+    return with_line_ids(with_file(spark.read.text(path)))
 
 
 def with_line_ids(lines: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def stream_raw(spark: SparkSession, path: str, max_files: int | None = None) ->
     reader = spark.readStream.format("text")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _with_file(reader.load(path))
+    return with_file(reader.load(path))
 
 
 def listing_entries(text: Column) -> Column:
