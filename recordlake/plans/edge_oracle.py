@@ -77,6 +77,9 @@ EDGE_ORACLE: dict[str, str] = {
       SELECT unnest(['unique', 'reports', 'last']) AS name, unnest([n, n // 200, n // 200 * 200]) AS n
       FROM (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events))""",
     "csv_in_splits": """SELECT doc_id::VARCHAR AS doc_id, md5(replace(coalesce(text, ''), 'e', '"' || chr(10))) AS text FROM documents""",
+    "frequent_words": """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
+      WHERE word <> '' GROUP BY word ORDER BY n DESC, word LIMIT 20""",
+    "frequent_keys": """SELECT l_orderkey::VARCHAR AS key, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, key LIMIT 20""",
     "run_rejects": f"{_JUNK} UNION ALL {_JUNK}".replace("n_name FROM", "n_name AS line FROM"),
     "run_counts": f"""
       SELECT unnest(['parsed', 'unique', 'rejected', 'missing', 'failed_batches', 'exported']) AS name, unnest([

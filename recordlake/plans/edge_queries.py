@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from recordlake.operators import audit, delta, flatten, textmine, traffic, unwrap
+from recordlake.operators import audit, delta, flatten, frequent, textmine, traffic, unwrap
 from recordlake.plans import derive
 from recordlake.plans.derive import table
 from recordlake.plans.run import RunResult, arrivals, finish, first_arrivals, run_batch
@@ -165,6 +165,20 @@ def known_ids_joined(spark, sf_dir):
     return textmine.known_id_hits(texts, _mixed_ids(spark, sf_dir), "group", "text", "id", automaton_bytes=4000)
 
 
+# --- frequent values ---------------------------------------------------------------------------
+
+
+def frequent_words(spark, sf_dir):
+    """The 20 most frequent words of all documents, without a shuffle of all words."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.split("text", " ")).alias("word")).where("word <> ''")
+    return frequent.top_values(words, "word")
+
+
+def frequent_keys(spark, sf_dir):
+    """Keys that are all about equally frequent: nothing is proven, all are counted."""
+    return frequent.top_values(table(spark, sf_dir, "lineitem").select(text("l_orderkey").alias("key")), "key", 20, size=20)
+
+
 # --- pages as browsers get them -------------------------------------------------------------------
 
 
@@ -355,7 +369,8 @@ EDGE_QUERIES = {
     f.__name__: f
     for f in (
         repeated_keys, scalar_texts, lenient_attempts, rejected_lines, session_elapsed_nulls, late_attempts,
-        delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined, open_leaf_texts,
+        delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined, frequent_words,
+        frequent_keys, open_leaf_texts,
         run_records, run_counts, run_rejects, empty_run, stream_equals_batch, stream_first_arrivals,
         stream_progress, csv_in_splits, page_files, traffic_file,
         stamped_runs, format_round_trip, export_round_trip,
