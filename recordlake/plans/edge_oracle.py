@@ -80,6 +80,26 @@ EDGE_ORACLE: dict[str, str] = {
     "frequent_words": """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
       WHERE word <> '' GROUP BY word ORDER BY n DESC, word LIMIT 20""",
     "frequent_keys": """SELECT l_orderkey::VARCHAR AS key, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, key LIMIT 20""",
+    "merged_schema": """
+      WITH c AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS n0,
+        count(*) FILTER (WHERE o_orderkey % 3 = 1) AS n1, count(*) FILTER (WHERE o_orderkey % 3 = 2) AS n2 FROM orders),
+      p AS (SELECT unnest([
+        {'path': '$', 'o': n, 'a': 0, 's': 0, 'i': 0, 'd': 0, 'b': 0, 'z': 0, 'above': 0},
+        {'path': '$.id', 'o': 0, 'a': 0, 's': 0, 'i': n, 'd': 0, 'b': 0, 'z': 0, 'above': n},
+        {'path': '$.status', 'o': 0, 'a': 0, 's': n1 + n2, 'i': 0, 'd': 0, 'b': 0, 'z': n0, 'above': n},
+        {'path': '$.tags', 'o': 0, 'a': n, 's': 0, 'i': 0, 'd': 0, 'b': 0, 'z': 0, 'above': n},
+        {'path': '$.tags[]', 'o': 2 * n1, 'a': 0, 's': n1, 'i': 0, 'd': 0, 'b': 0, 'z': 0, 'above': 0},
+        {'path': '$.tags[].a', 'o': 0, 'a': 0, 's': 0, 'i': n1, 'd': 0, 'b': 0, 'z': n1, 'above': 2 * n1},
+        {'path': '$.tags[]["b c"]', 'o': 0, 'a': 0, 's': 0, 'i': 0, 'd': n1, 'b': 0, 'z': 0, 'above': 2 * n1},
+        {'path': '$.note', 'o': n2, 'a': 0, 's': 0, 'i': 0, 'd': 0, 'b': 0, 'z': 0, 'above': n},
+        {'path': '$.note.deep', 'o': 0, 'a': n2, 's': 0, 'i': 0, 'd': 0, 'b': 0, 'z': 0, 'above': n2},
+        {'path': '$.note.deep[]', 'o': 0, 'a': n2, 's': 0, 'i': 0, 'd': 0, 'b': 0, 'z': 0, 'above': 0},
+        {'path': '$.note.deep[][]', 'o': 0, 'a': 0, 's': 0, 'i': 0, 'd': 0, 'b': n2, 'z': 0, 'above': 0}]) AS v FROM c),
+      t AS (SELECT v.*, v.o + v.a + v.s + v.i + v.d + v.b + v.z AS n_values FROM p)
+      SELECT path, concat_ws('|', CASE WHEN o > 0 THEN 'object' END, CASE WHEN a > 0 THEN 'array' END,
+          CASE WHEN s > 0 THEN 'string' END, CASE WHEN i > 0 THEN 'bigint' END, CASE WHEN d > 0 THEN 'double' END,
+          CASE WHEN b > 0 THEN 'boolean' END) AS kinds, z > 0 AS nullable, n_values < above AS optional, n_values,
+        o AS n_object, a AS n_array, s AS n_string, i AS n_bigint, d AS n_double, b AS n_boolean, z AS n_null FROM t""",
     "run_rejects": f"{_JUNK} UNION ALL {_JUNK}".replace("n_name FROM", "n_name AS line FROM"),
     "run_counts": f"""
       SELECT unnest(['parsed', 'unique', 'rejected', 'missing', 'failed_batches', 'exported']) AS name, unnest([

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from recordlake.operators import audit, delta, flatten, frequent, textmine, traffic, unwrap
+from recordlake.operators import audit, delta, flatten, frequent, lattice, textmine, traffic, unwrap
 from recordlake.plans import derive
 from recordlake.plans.derive import table
 from recordlake.plans.run import RunResult, arrivals, finish, first_arrivals, run_batch
@@ -165,6 +165,27 @@ def known_ids_joined(spark, sf_dir):
     return textmine.known_id_hits(texts, _mixed_ids(spark, sf_dir), "group", "text", "id", automaton_bytes=4000)
 
 
+# --- the schema of all responses ------------------------------------------------------------------
+
+
+def _orders_as_responses(spark, sf_dir):
+    """Orders as responses whose fields come and go with the key."""
+    kind = F.col("o_orderkey") % 3
+    line = F.concat(
+        F.lit('{"id":'), text("o_orderkey"), F.lit(',"status":'), F.when(kind == 0, F.lit("null")).otherwise(F.lit('"x"')),
+        F.when(kind == 1, F.lit(',"tags":[{"a":1,"b c":2.5},"t",{"a":null}]')).otherwise(F.lit(',"tags":[]')),
+        F.when(kind == 2, F.lit(',"note":"n","note":{"deep":[[true]]}')).otherwise(F.lit("")), F.lit("}"),
+    )
+    return table(spark, sf_dir, "orders").select(kind.alias("kind"), line.alias("body"))
+
+
+def merged_schema(spark, sf_dir):
+    """Kinds, null and optional fields over all responses, from the states of three parts."""
+    lines = _orders_as_responses(spark, sf_dir)
+    states = [lattice.shape_state(lines.where(F.col("kind") == k)) for k in (0, 1, 2)]
+    return lattice.merged_schema(lattice.merge_states(*states))
+
+
 # --- frequent values ---------------------------------------------------------------------------
 
 
@@ -370,7 +391,7 @@ EDGE_QUERIES = {
     for f in (
         repeated_keys, scalar_texts, lenient_attempts, rejected_lines, session_elapsed_nulls, late_attempts,
         delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined, frequent_words,
-        frequent_keys, open_leaf_texts,
+        frequent_keys, merged_schema, open_leaf_texts,
         run_records, run_counts, run_rejects, empty_run, stream_equals_batch, stream_first_arrivals,
         stream_progress, csv_in_splits, page_files, traffic_file,
         stamped_runs, format_round_trip, export_round_trip,
