@@ -29,7 +29,14 @@ _LENIENT = """CASE event_type WHEN 'view' THEN '{''id'':1}' WHEN 'click' THEN '[
   WHEN 'error' THEN '{"body":[{"id":1,}]}' WHEN 'purchase' THEN '[{"id":NaN},{"id":2}]'
   ELSE '"a' || chr(9) || 'b"' END"""
 
+_LINE_NUMBERS = """
+      SELECT 'priority=' || left(o_orderpriority, 1) AS folder,
+        row_number() OVER (PARTITION BY left(o_orderpriority, 1) ORDER BY o_orderkey) AS line_no,
+        '{"id":' || o_orderkey || '}' AS value FROM orders"""
+
 EDGE_ORACLE: dict[str, str] = {
+    "line_numbers": _LINE_NUMBERS,
+    "stream_line_numbers": _LINE_NUMBERS,
     "repeated_keys": """
       SELECT 1 AS pos, p_partkey::VARCHAR AS id, p_name AS city,
         '{"a": ' || p_size || '}; "{\\"a\\":1,\\"a\\":2}"' AS competence, p_name AS "businessType_codes"

@@ -16,6 +16,7 @@ from recordlake.plans.derive import table
 from recordlake.plans.run import RunResult, arrivals, finish, first_arrivals, run_batch
 from recordlake.schema import OUTPUT_COLUMNS
 from recordlake.session import scratch_path
+from recordlake.sources import numbered
 from recordlake.sources import raw as raw_source
 from recordlake.sources import sinks
 from recordlake.sources.csv_split import read_csv_split
@@ -334,6 +335,35 @@ def page_files(spark, sf_dir):
     return raw_source.read_pages(spark, path).select("text")
 
 
+def _numbered_files(spark, sf_dir) -> str:
+    """A file of raw lines per order priority, in the order of the keys."""
+    path = scratch_path(spark, "numbered")
+    lines = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").substr(1, 1).alias("priority"), F.concat(F.lit('{"id":'), text("o_orderkey"), F.lit("}")).alias("value"),
+        "o_orderkey",
+    )
+    ordered = lines.repartition("priority").sortWithinPartitions("priority", "o_orderkey")
+    ordered.select("value", "priority").write.partitionBy("priority").text(path)
+    return path
+
+
+def _numbers(lines):
+    parts = F.split("file_path", "/")
+    return lines.select(F.element_at(parts, -2).alias("folder"), "line_no", "value")
+
+
+def line_numbers(spark, sf_dir):
+    return _numbers(numbered.read_numbered(spark, _numbered_files(spark, sf_dir)))
+
+
+def stream_line_numbers(spark, sf_dir):
+    """The same from a stream that takes two files at a time."""
+    out, state = scratch_path(spark, "numbered-out"), scratch_path(spark, "numbered-state")
+    path = _numbered_files(spark, sf_dir)
+    numbered.land_numbered(spark, f"{path}/*", out, state, max_files=2).awaitTermination()
+    return _numbers(spark.read.parquet(out).drop("batch"))
+
+
 def csv_in_splits(spark, sf_dir):
     """Texts with quotes and line feeds through one CSV file that is read in splits."""
     path = scratch_path(spark, "one-csv")
@@ -393,7 +423,8 @@ EDGE_QUERIES = {
         delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined, frequent_words,
         frequent_keys, merged_schema, open_leaf_texts,
         run_records, run_counts, run_rejects, empty_run, stream_equals_batch, stream_first_arrivals,
-        stream_progress, csv_in_splits, page_files, traffic_file,
+        stream_progress, line_numbers, stream_line_numbers,
+        csv_in_splits, page_files, traffic_file,
         stamped_runs, format_round_trip, export_round_trip,
     )
 }
