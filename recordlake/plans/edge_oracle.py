@@ -87,6 +87,12 @@ EDGE_ORACLE: dict[str, str] = {
     "frequent_words": """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
       WHERE word <> '' GROUP BY word ORDER BY n DESC, word LIMIT 20""",
     "frequent_keys": """SELECT l_orderkey::VARCHAR AS key, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, key LIMIT 20""",
+    "ids_over_runs": """
+      WITH r AS (SELECT c_custkey AS id FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0
+        UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)
+      SELECT 3::BIGINT AS n_runs, count(*) AS n_rows, count(DISTINCT id) AS distinct_ids,
+        count(*) - count(DISTINCT id) AS duplicate_ids, true AS exact, 0::BIGINT AS error,
+        count(*) FILTER (WHERE id % 5 > 0) AS n_filled FROM r""",
     "merged_schema": """
       WITH c AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS n0,
         count(*) FILTER (WHERE o_orderkey % 3 = 1) AS n1, count(*) FILTER (WHERE o_orderkey % 3 = 2) AS n2 FROM orders),

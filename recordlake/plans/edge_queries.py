@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from recordlake.operators import audit, delta, flatten, frequent, lattice, textmine, traffic, unwrap
+from recordlake.operators import audit, delta, flatten, frequent, lattice, runstate, textmine, traffic, unwrap
 from recordlake.plans import derive
 from recordlake.plans.derive import table
 from recordlake.plans.run import RunResult, arrivals, finish, first_arrivals, run_batch
@@ -166,6 +166,24 @@ def known_ids_joined(spark, sf_dir):
     return textmine.known_id_hits(texts, _mixed_ids(spark, sf_dir), "group", "text", "id", automaton_bytes=4000)
 
 
+# --- counts over runs ------------------------------------------------------------------------------
+
+
+def ids_over_runs(spark, sf_dir):
+    """Distinct and duplicate ids of three runs, from what each of them stored of itself."""
+    path = scratch_path(spark, "run-states")
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 5 > 0, F.col("c_name")).otherwise(" ").alias("companyName")
+    )
+    for k in (2, 3, 2):  # the second run of the same stamp takes the place of the first
+        state = runstate.run_state(customer.where(F.col("id") % k == 0), f"run{k}", ["companyName"])
+        state.write.mode("overwrite").parquet(f"{path}/{k}")
+    runstate.run_state(customer, "all", ["companyName"]).write.parquet(f"{path}/all")
+    states = spark.read.parquet(f"{path}/*")
+    filled = runstate.fill_over_runs(states).select(F.col("n_rows").alias("_rows"), F.col("filled").alias("n_filled"))
+    return runstate.over_runs(states).join(filled, F.col("n_rows") == F.col("_rows")).drop("_rows")
+
+
 # --- the schema of all responses ------------------------------------------------------------------
 
 
@@ -421,7 +439,7 @@ EDGE_QUERIES = {
     for f in (
         repeated_keys, scalar_texts, lenient_attempts, rejected_lines, session_elapsed_nulls, late_attempts,
         delta_null_ids, json_blank_country, alias_beside_name, known_ids_any_kind, known_ids_joined, frequent_words,
-        frequent_keys, merged_schema, open_leaf_texts,
+        frequent_keys, ids_over_runs, merged_schema, open_leaf_texts,
         run_records, run_counts, run_rejects, empty_run, stream_equals_batch, stream_first_arrivals,
         stream_progress, line_numbers, stream_line_numbers,
         csv_in_splits, page_files, traffic_file,
