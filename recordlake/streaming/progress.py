@@ -22,7 +22,7 @@ def observed(rows: DataFrame, is_new: Column) -> DataFrame:
 
 
 class UniqueProgress(StreamingQueryListener):
-    """Reports at every ``step`` unique rows of an observed stream.
+    """Reports at every ``step`` unique rows of an observed stream that starts after this was added.
 
     Counts are kept per batch: a batch that is repeated after a failure or a restart replaces
     its own count. ``before`` is what earlier runs of the stream have counted. ``report`` gets
@@ -34,6 +34,7 @@ class UniqueProgress(StreamingQueryListener):
         self.report = report or (lambda n: log.info("unique rows: %d", n))
         self.by_batch: dict[int, int] = {}
         self.reported = before // step
+        self.runs: set = set()
         self.ended = threading.Event()
         self._lock = threading.Lock()
 
@@ -50,15 +51,18 @@ class UniqueProgress(StreamingQueryListener):
                 self.report(self.reported * self.step)
 
     def onQueryStarted(self, event) -> None:
+        # Late events of queries that ran before are not counted.
+        self.runs.add(event.runId)
         self.ended.clear()
 
     def onQueryProgress(self, event) -> None:
         metrics = event.progress.observedMetrics.get(METRICS)
-        if metrics is not None:
+        if metrics is not None and event.progress.runId in self.runs:
             self.count(event.progress.batchId, metrics["n_new"])
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self.ended.set()
+        if event.runId in self.runs:
+            self.ended.set()
