@@ -180,8 +180,8 @@ def ids_over_runs(spark, sf_dir):
         state.write.mode("overwrite").parquet(f"{path}/{k}")
     runstate.run_state(customer, "all", ["companyName"]).write.parquet(f"{path}/all")
     states = spark.read.parquet(f"{path}/*")
-    filled = runstate.fill_over_runs(states).select(F.col("n_rows").alias("_rows"), F.col("filled").alias("n_filled"))
-    return runstate.over_runs(states).join(filled, F.col("n_rows") == F.col("_rows")).drop("_rows")
+    filled = runstate.fill_over_runs(states).first()
+    return runstate.over_runs(states).withColumn("n_filled", F.lit(filled["filled"]).cast("long"))
 
 
 # --- the schema of all responses ------------------------------------------------------------------
