@@ -2,10 +2,10 @@
 
 One pass over the texts gives rule statistics per document; they are stored, so that fitting
 and judging read a few numbers per row only. Two base rules fail a document outright. For the
-others the range of each statistic among rows labelled good is taken, and an isolation forest,
-grown on a bounded sample, measures how few random splits isolate a document by what it has
-below or above these ranges; the largest anomaly score still accepted is calibrated on
-labelled rows.
+others the range of each statistic among all rows labelled good is taken, and an isolation
+forest measures how few random splits isolate a document by what it has below or above these
+ranges. Each tree is grown on its own random subsample of all rows, as the method has it. The
+largest anomaly score still accepted is calibrated on all labelled rows.
 """
 
 from __future__ import annotations
@@ -14,18 +14,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordlake.llm import bytesets as bs
 from recordlake.llm.bpe import _type
 from recordlake.llm.store import bounded, held_out, stored
+from recordlake.session import pin
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-# Bounds of what is fitted and calibrated on; every row is judged.
-FIT_ROWS = 8_000
-CALIBRATION_ROWS = 20_000
+# Trees of the forest and rows of the subsample that each of them is grown on.
 TREES, SUBSAMPLE = 200, 64
 # Without labels: scores above this are anomalous. With labels: the least share of good ones
 # that must be accepted.
@@ -155,11 +154,39 @@ class Forest:
         return 2.0 ** (-total / (len(self.feature) * self.usual))
 
 
-def ranges(good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lowest and highest usual value of each statistic, given those of good rows."""
-    if len(good) < MIN_GOOD:
+def so_far(rows: DataFrame, order_by: list[str], sums: list[str]) -> DataFrame:
+    """``rows``, each with the sums of ``sums`` over all rows up to it, as ``<name>_so_far``.
+
+    Rows are dealt by ranges and added up range by range; the driver sees a row per range.
+    """
+    placed = pin(rows.repartitionByRange(*order_by).withColumn("_part", F.spark_partition_id()))
+    totals = placed.groupBy("_part").agg(*[F.sum(c).alias(c) for c in sums]).collect()
+    ahead, at = [], [0] * len(sums)
+    for r in sorted(totals, key=lambda r: r["_part"]):
+        ahead.append((r["_part"], *at))
+        at = [n + r[c] for n, c in zip(at, sums)]
+    ddl = ", ".join(["_part int", *(f"{c}_so_far long" for c in sums)])
+    before = rows.sparkSession.createDataFrame(ahead, ddl)
+    within = Window.partitionBy("_part").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    joined = placed.join(F.broadcast(before), "_part")
+    return joined.withColumns({f"{c}_so_far": F.col(f"{c}_so_far") + F.sum(c).over(within) for c in sums}).drop("_part")
+
+
+def ranges(good: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Lowest and highest usual value of each statistic, given those of all good rows.
+
+    They are quantiles between two neighbours in order, told from exact counts of every value.
+    """
+    n = good.count()
+    if n < MIN_GOOD:
         return np.full(len(ALLOWED), -np.inf), np.array(list(ALLOWED.values()))
-    low, high = np.quantile(good, [(1 - KEEP_GOOD) / 2, (1 + KEEP_GOOD) / 2], axis=0)
+    values = good.select(F.posexplode(F.array(*SHAPE)).alias("_k", "_v")).groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.col("n_so_far") - F.col("_k") * n  # of the value's last row; every statistic has n rows
+    at = [(n - 1) * q for q in ((1 - KEEP_GOOD) / 2, (1 + KEEP_GOOD) / 2)]
+    ranks = [min(int(p) + k, n - 1) for p in at for k in (0, 1)]
+    found = so_far(values, ["_k", "_v"], ["n"]).groupBy("_k").agg(*[F.min(F.when(rank > r, F.col("_v"))).alias(f"_{i}") for i, r in enumerate(ranks)])
+    around = np.array([tuple(r)[1:] for r in sorted(found.collect())], float)
+    low, high = (np.array([np.quantile(pair, p % 1) for pair in around[:, 2 * i : 2 * i + 2]]) for i, p in enumerate(at))
     return low - MARGIN * (high - low), high + MARGIN * (high - low)
 
 
@@ -175,14 +202,17 @@ def _usual(n: int) -> float:
 
 
 def grow(x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = 5) -> Forest:
-    """Isolation trees on random subsamples of the rows of ``x``."""
+    """Isolation trees on random subsamples of the rows of ``x``; with enough rows no two trees
+    share one."""
     rng = np.random.default_rng(seed)
     size = min(subsample, len(x))
     depth = int(np.ceil(np.log2(max(size, 2))))
+    own = rng.permutation(len(x)) if len(x) >= trees * subsample else None
     grown = []
-    for _ in range(trees):
+    for k in range(trees):
         nodes: list[list[float]] = []
-        todo = [(x[rng.choice(len(x), size, replace=False)], 0, None, 0)]
+        drawn = rng.choice(len(x), size, replace=False) if own is None else own[k * size : (k + 1) * size]
+        todo = [(x[drawn], 0, None, 0)]
         while todo:
             points, level, parent, side = todo.pop()
             here = len(nodes)
@@ -203,62 +233,69 @@ def grow(x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: in
     return Forest(part(0, int), part(1, float), part(2, int), part(3, int), part(4, float), max(_usual(size), 1e-9))
 
 
-def calibrate(scores: np.ndarray, good: np.ndarray) -> float:
+def calibrate(scores: DataFrame) -> float:
     """The limit with the best sum of accepted good and refused bad rows, among those that
-    accept at least ``KEEP_GOOD`` of the good rows."""
-    if not good.any() or good.all():
-        return DEFAULT_LIMIT if not good.any() else float(scores.max())
-    cuts = np.unique(scores)
-    limits = np.append((cuts[1:] + cuts[:-1]) / 2, cuts[-1])
-    accepted = np.searchsorted(np.sort(scores[good]), limits, "right") / good.sum()
-    refused = 1 - np.searchsorted(np.sort(scores[~good]), limits, "right") / (~good).sum()
-    value = np.where(accepted >= KEEP_GOOD, accepted + refused, -1)
-    return float(limits[len(value) - 1 - value[::-1].argmax()])
+    accept at least ``KEEP_GOOD`` of the good rows. ``scores`` has anomaly and _label (good: > 0).
+    """
+    good = F.col("_label") > 0
+    cuts = scores.groupBy("anomaly").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+    n = cuts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("anomaly").alias("most")).first()
+    if not n["good"] or not n["bad"]:
+        return n["most"] if n["good"] else DEFAULT_LIMIT
+    placed = so_far(cuts, ["anomaly"], ["good", "bad"])
+    accepted, refused = F.col("good_so_far") / F.lit(n["good"]), 1 - F.col("bad_so_far") / F.lit(n["bad"])
+    value = F.when(accepted >= KEEP_GOOD, accepted + refused).otherwise(-1.0)
+    best = placed.agg(F.max(F.struct(value.alias("value"), "anomaly")).alias("best")).first()["best"]["anomaly"]
+    above = cuts.where(F.col("anomaly") > best).agg(F.min("anomaly").alias("next")).first()["next"]
+    return best if above is None else (best + above) / 2
 
 
 def fit(stats: DataFrame, labels: DataFrame) -> Forest | None:
-    """A forest on a bounded sample of ``stats``; ranges and limit from a bounded sample of labels.
+    """A forest on subsamples of all rows of ``stats``; ranges and limit from all labelled rows.
 
     Only rows that pass the base rules are used. Labelled rows with crc32(doc_id) mod 4 = 2
     are held out; of conflicting labels the smaller counts, null labels are left out. None if
     no row passes the base rules.
     """
     usable = stats.where(~base_failed() & F.col("doc_id").isNotNull()).select("doc_id", *SHAPE)
-    points = np.array([tuple(r)[1:] for r in bounded(usable, "doc_id", FIT_ROWS).collect()], float)
+    # As many rows as all trees draw, by the hash of their ids.
+    points = np.array([tuple(r)[1:] for r in bounded(usable, "doc_id", TREES * SUBSAMPLE).collect()], float)
     if not len(points):
         return None
     known = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.min("quality").alias("_label"))
     )
-    # The sample has a fixed bound (20,000 small rows), so it can be broadcast.
-    sample = F.broadcast(bounded(known, "doc_id", CALIBRATION_ROWS))
-    rows = usable.join(sample, "doc_id").dropDuplicates(["doc_id"]).drop("doc_id").collect()
-    values = np.array([tuple(r) for r in rows], float).reshape(len(rows), len(SHAPE) + 1)
-    shape, good = values[:, :-1], values[:, -1] > 0
-    low, high = ranges(shape[good])
+    labelled = stored(usable.join(known, "doc_id").dropDuplicates(["doc_id"]).drop("doc_id"), "rules-labelled")
+    low, high = ranges(labelled.where("_label > 0"))
     forest = grow(outside(points, low, high))
     forest.low, forest.high = low, high
-    if rows:
-        forest.limit = calibrate(forest.scores(outside(shape, low, high)), good)
+    if not labelled.isEmpty():
+        forest.limit = calibrate(scored(labelled, forest, ["_label"]))
     return forest
 
 
-def judge(stats: DataFrame, forest: Forest | None) -> DataFrame:
-    """``stats`` with base_failed, anomaly (the forest's score) and kept."""
-    sent = stats.sparkSession.sparkContext.broadcast(forest)
+def scored(rows: DataFrame, forest: Forest | None, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``rows`` and anomaly, the forest's score."""
+    sent = rows.sparkSession.sparkContext.broadcast(forest)
 
     def apply(batches):
         for batch in batches:
-            x = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(1 + len(BASE), batch.num_columns)], 1)
+            x = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(keep), batch.num_columns)], 1)
             f = sent.value
             anomaly = f.scores(outside(x, f.low, f.high)) if f is not None else np.zeros(len(x))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: 1 + len(BASE)], pa.array(anomaly)], ["doc_id", *BASE, "anomaly"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(anomaly)], [*keep, "anomaly"])
+
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in keep), "anomaly double"])
+    return rows.select(*keep, *SHAPE).mapInArrow(apply, schema)
+
 
-    schema = ", ".join([f"doc_id {_type(stats)}", *(f"{c} long" for c in BASE), "anomaly double"])
+def judge(stats: DataFrame, forest: Forest | None) -> DataFrame:
+    """``stats`` with base_failed, anomaly (the forest's score) and kept."""
     limit = F.lit(forest.limit if forest is not None else 1.0)
     return (
-        stats.select("doc_id", *BASE, *SHAPE).mapInArrow(apply, schema)
+        scored(stats, forest, ["doc_id", *BASE])
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= limit))
     )

@@ -175,3 +175,29 @@ def test_word_hashes_follow_the_words():
     assert len(set(hashes.tolist())) == 3 and hashes[0] == hashes[2] == hashes[4] == hashes[6]
     pairs, first = bs.grams(hashes, word_offsets, 2)
     assert first.tolist() == [0, 1, 3, 5] and pairs[1] == pairs[2]
+
+
+def test_rules_learn_from_every_labelled_row(spark):
+    rng = np.random.default_rng(3)
+    n = 45_000
+    shape = np.round(rng.gamma(2.0, 0.05, (n, len(rules.SHAPE))), 3)
+    label = (rng.random(n) < 0.8).astype(int)
+    shape[label == 0] *= 3
+    rows = [(i, 100, 500, 0, 0, 0, *map(float, shape[i])) for i in range(n)]
+    ddl = "doc_id long, " + ", ".join([*(f"{c} long" for c in rules.BASE), *(f"{c} double" for c in rules.SHAPE)])
+    stats = spark.createDataFrame(rows, ddl)
+    labels = spark.createDataFrame([(i, int(label[i])) for i in range(n)], "doc_id long, quality int")
+    forest = rules.fit(stats, labels)
+    known = np.array([zlib.crc32(str(i).encode()) % 4 != 2 for i in range(n)])
+    good = shape[known & (label == 1)]
+    low, high = np.quantile(good, [(1 - rules.KEEP_GOOD) / 2, (1 + rules.KEEP_GOOD) / 2], axis=0)
+    margin = rules.MARGIN * (high - low)
+    assert np.allclose(forest.low, low - margin, rtol=0, atol=1e-12)
+    assert np.allclose(forest.high, high + margin, rtol=0, atol=1e-12)
+    scores = forest.scores(rules.outside(shape[known], forest.low, forest.high))
+    cuts, fine = np.unique(scores), label[known] == 1
+    limits = np.append((cuts[1:] + cuts[:-1]) / 2, cuts[-1])
+    accepted = np.array([(scores[fine] <= c).mean() for c in limits])
+    refused = np.array([(scores[~fine] > c).mean() for c in limits])
+    value = np.where(accepted >= rules.KEEP_GOOD, accepted + refused, -1)
+    assert forest.limit == pytest.approx(limits[np.flatnonzero(value >= value.max() - 1e-12)[-1]])
