@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.functions.automaton import Automaton
 from recordlake.functions.html import leaf_element_texts
+from recordlake.functions.substrings import BLOCK_BITS, MAX_BLOCKS, Filter, word_bits
 from recordlake.functions.text import contains_any, snippet, strip_ws
 from recordlake.functions.typed import typed_json
 from recordlake.session import pin
@@ -136,29 +138,46 @@ def known_id_hits(
 ) -> DataFrame:
     """Ids found anywhere in a text, with the surroundings of the first place.
 
-    An id may be any non-empty text of any length. All ids are searched at once by an
-    automaton over the bytes of the texts, whose work does not grow with their number. Its
-    size is checked: ids of more than ``automaton_bytes`` are dealt by a hash to several
-    automata of about that size, and the texts are read once for each. Place and snippet stay
-    in the row of the text, so texts may repeat a key and are never shuffled; the only rows
-    made are hits.
+    An id may be any non-empty text of any length. Up to ``automaton_bytes`` of ids are searched
+    at once by an automaton over the bytes of the texts. More ids stay distributed: a filter
+    of at most 8 MB tells the places of a text that may begin one, and a join with the ids
+    decides. Either way the texts are read once, and neither work per byte nor what passes the
+    driver grows with the number of ids; with the filter, it grows with their distinct lengths.
+    Place and snippet stay in the row of the text, so texts may repeat a key and are never
+    shuffled; the only rows made are hits and, one in hundreds of places, candidates.
     """
     known = ids.select(F.col(id_column).cast("string").alias("_id")).where("_id <> ''").distinct()
-    # Dealt once: the ids of a shard are read from what is stored.
     size = F.octet_length("_id").cast("long")
     known = pin(known.select("_id", size.alias("_size")))
     total = known.agg(F.sum("_size")).first()[0] or 0
-    shards = max(1, -(-total // automaton_bytes))
-    found = None
-    for shard in range(shards):
-        own = known.where(F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(shards)) == shard)
-        hits = _searched(texts, sorted(r["_id"] for r in own.select("_id").collect()), text_key, text, before, after)
-        found = hits if found is None else found.unionByName(hits)
-    return found
-
-
-def _searched(texts: DataFrame, words: list[str], text_key: str, text: str, before: int, after: int) -> DataFrame:
-    sent = texts.sparkSession.sparkContext.broadcast(Automaton(words))
+    if total <= automaton_bytes:
+        words = Automaton(sorted(r["_id"] for r in known.select("_id").collect()))
+        return _searched(texts, words, text_key, text, before, after)
+    found = _searched(texts, _word_filter(known), text_key, text, before, after)
+    return found.join(known.select(F.col("_id").alias("known_id")), "known_id", "left_semi").select(*found.columns)
+
+
+def _word_filter(known: DataFrame) -> Filter:
+    """The filter of ids (_id, _size): at most 2,048 blocks of a bitmap and the distinct sizes."""
+    wanted = 64 * known.count()
+    blocks = 1
+    while blocks < MAX_BLOCKS and blocks * BLOCK_BITS < wanted:
+        blocks *= 2
+
+    @F.arrow_udf("array<long>")
+    def bits_of(words: pa.Array) -> pa.Array:
+        return word_bits(words, blocks * BLOCK_BITS)
+
+    bits = known.select(F.explode(bits_of("_id")).alias("_bit"))
+    blocked = bits.select((F.col("_bit") / BLOCK_BITS).cast("int").alias("_block"), (F.col("_bit") % BLOCK_BITS).alias("_bit"))
+    bitmap = np.zeros((blocks, BLOCK_BITS // 8), np.uint8)
+    for r in blocked.groupBy("_block").agg(F.bitmap_construct_agg("_bit").alias("_bits")).collect():
+        bitmap[r["_block"]] = np.frombuffer(r["_bits"], np.uint8)
+    return Filter(bitmap.ravel(), [r["_size"] for r in known.select("_size").distinct().collect()])
+
+
+def _searched(texts: DataFrame, words: Automaton | Filter, text_key: str, text: str, before: int, after: int) -> DataFrame:
+    sent = texts.sparkSession.sparkContext.broadcast(words)
 
     @F.arrow_udf("array<struct<word:string,at:int>>")
     def search(bodies: pa.Array) -> pa.Array:

@@ -231,3 +231,19 @@ def test_response_shapes(spark):
     ]
     marks = df.select(jsonpath.has_any_key(F.col("body"))).collect()
     assert [r[0] for r in marks] == [False, False, False, True, True, False, False, False, False]
+
+
+def test_more_ids_than_an_automaton_takes_read_the_texts_once(spark):
+    """Neither the plan nor what the driver holds grows with the number of ids."""
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("ab1é") for _ in range(rng.choice([1, 2, 3, 7, 8, 9, 16, 17, 40]))) for _ in range(600)})
+    texts = spark.createDataFrame(
+        [(k % 5, "".join(rng.choice("ab1é") for _ in range(300)) + rng.choice(words)) for k in range(60)] + [(0, None), (1, "")],
+        "k int, text string",
+    )
+    ids = spark.createDataFrame([(w,) for w in words], "id string")
+    many = textmine.known_id_hits(texts, ids, "k", "text", "id", automaton_bytes=50)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan
+    one = textmine.known_id_hits(texts, ids, "k", "text", "id")
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, one.collect()))
