@@ -382,11 +382,18 @@ def stream_line_numbers(spark, sf_dir):
     return _numbers(spark.read.parquet(out).drop("batch"))
 
 
+CSV_PARTS = 4
+
+
 def csv_in_splits(spark, sf_dir):
-    """Texts with quotes and line feeds through one CSV file that is read in splits."""
-    path = scratch_path(spark, "one-csv")
+    """Texts with quotes and line feeds through CSV files that are read in splits.
+
+    A file takes what up to ``CSV_PARTS`` tasks read, so it is larger than a split, but no file
+    and no task takes a share of the table that grows with it.
+    """
+    path = scratch_path(spark, "split-csv")
     rows = table(spark, sf_dir, "documents").select(text("doc_id").alias("doc_id"), F.replace("text", F.lit("e"), F.lit('"\n')).alias("text"))
-    sinks.write_csv(rows.coalesce(1), path)
+    sinks.write_csv(rows.coalesce(-(-rows.rdd.getNumPartitions() // CSV_PARTS)), path)
     return read_csv_split(spark, path, rows.columns).withColumn("text", F.md5("text"))
 
 

@@ -49,3 +49,21 @@ def test_several_files_and_empty_ones(spark, tmp_path, small_blocks):
     small_blocks(900)
     found = read_csv_split(spark, str(tmp_path / "csv"), COLUMNS)
     assert sorted(tuple(r) for r in found.collect()) == sorted(rows)
+
+
+def test_no_task_writes_the_whole_table(spark, tmp_path, monkeypatch):
+    """The files grow in number, not in the share of the table that one task takes."""
+    from recordlake.plans import edge_queries
+    from recordlake.sources import sinks
+
+    rows = spark.range(40).selectExpr("id AS doc_id", "concat('e,', id, '\n\"') AS text")
+    rows.repartition(10).write.parquet(str(tmp_path / "documents.parquet"))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task per file
+    parts, write = [], sinks.write_csv
+    monkeypatch.setattr(sinks, "write_csv", lambda df, path: parts.append(df.rdd.getNumPartitions()) or write(df, path))
+    try:
+        got = edge_queries.csv_in_splits(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert parts[0] == 3 and sorted(int(r.doc_id) for r in got) == list(range(40))
