@@ -348,8 +348,11 @@ def stream_progress(spark, sf_dir):
 
 
 def page_files(spark, sf_dir):
+    """A file per page in one folder: a folder per page would have to be listed one by one."""
     path = scratch_path(spark, "pages")
-    table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
+    lines = F.array_join(F.sort_array(F.collect_list(F.coalesce("html", F.lit("")))), "\n")
+    pages = table(spark, sf_dir, "pages").groupBy("page_id").agg(lines.alias("html"))
+    pages.select("html").write.option("maxRecordsPerFile", 1).text(path)
     return raw_source.read_pages(spark, path).select("text")
 
 
