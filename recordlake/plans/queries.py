@@ -561,10 +561,11 @@ def json_by_country(spark, sf_dir):
 def stream_records(spark, sf_dir):
     raw_path, out, state = (scratch_path(spark, n) for n in ("lines", "stream", "state"))
     lines = derive.document_lines(spark, sf_dir).drop("doc_id")
-    sinks.write_raw(lines.unionByName(derive.customer_lines(spark, sf_dir).select("value")), raw_path)
+    both = lines.unionByName(derive.customer_lines(spark, sf_dir).select("value"))
+    sinks.write_raw(both, raw_path, compression="gzip")
     for query in ingest.run_stream(spark, raw_path, out, state):
         query.awaitTermination()
-    return ingest.landed_records(spark, out).select("id", "companyName", "city", "country")
+    return ingest.landed_records(spark, out, ["id", "companyName", "city", "country"])
 
 
 def stream_dedupe(spark, sf_dir):

@@ -25,9 +25,9 @@ def run_path(base: str, name: str, run_ts: str) -> str:
     return f"{base.rstrip('/')}/{name}/run_ts={run_ts}"
 
 
-def write_raw(raw: DataFrame, path: str) -> None:
-    """The raw lines as they came."""
-    raw.select("value").write.text(path)
+def write_raw(raw: DataFrame, path: str, compression: str = "none") -> None:
+    """The raw lines as they came; a file that is compressed with gzip is read by one task."""
+    raw.select("value").write.option("compression", compression).text(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from recordlake.operators.dedupe import digest
-from recordlake.plans.run import RunResult, arrivals, finish, first_arrivals
+from recordlake.plans.run import ORDER, RunResult, arrivals, finish, first_arrivals
+from recordlake.schema import FINGERPRINT_COLUMNS
 from recordlake.sources.raw import stream_raw, with_line_ids
 
 DEFAULT_SPREAD = 16
@@ -64,7 +65,7 @@ def land_arrivals(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
     def land(batch: DataFrame, batch_id: int) -> None:
         first = first_arrivals(arrivals(with_line_ids(batch)))
-        first.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        first.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch={batch_id}")
 
     return (
         raw.writeStream.foreachBatch(land)
@@ -95,14 +96,18 @@ def run_stream(
     return queries
 
 
-def landed_records(spark: SparkSession, out_dir: str) -> DataFrame:
+def landed_records(spark: SparkSession, out_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
     """First arrivals over all landed batches: the same rows as in a batch run.
 
     Copies of a record in different batches are told apart by file, block and line, not by
-    which batch came first.
+    which batch came first. With ``columns`` only these, and what tells copies, are shuffled.
     """
     landed = spark.read.parquet(f"{out_dir}/arrivals").drop("batch")
-    return first_arrivals(landed, F.col("copies"))
+    if columns is None:
+        return first_arrivals(landed, F.col("copies"))
+    needed = {*columns, *FINGERPRINT_COLUMNS, *ORDER, "rejected", "copies"}
+    narrow = landed.select(*[c for c in landed.columns if c in needed])
+    return first_arrivals(narrow, F.col("copies")).select(*columns)
 
 
 def finish_stream(
