@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -99,8 +101,26 @@ def typed_text(text: str | None, body: bool = False) -> str | None:
     return _write(value)
 
 
+# Texts of a batch that are Python objects at once: a few MB of them, or one longer text.
+SLICE_BYTES = 1 << 22
+
+
+def _slices(texts: pa.Array):
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    row = 0
+    while row < len(texts):
+        end = int(np.searchsorted(ends, (ends[row - 1] if row else 0) + SLICE_BYTES, "right"))
+        yield texts.slice(row, max(end - row, 1))
+        row = max(end, row + 1)
+
+
 def _column(texts: pa.Array, body: bool) -> pa.Array:
-    out = [typed_text(t, body) for t in texts.to_pylist()]
+    parts = [_written(part.to_pylist(), body) for part in _slices(texts)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
+def _written(texts: list[str | None], body: bool) -> pa.Array:
+    out = [typed_text(t, body) for t in texts]
     try:
         return pa.array(out, pa.string())
     except UnicodeEncodeError:  # half of a surrogate pair: no character

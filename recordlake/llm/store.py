@@ -6,7 +6,7 @@ import gc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.session import scratch_path
+from recordlake.session import scratch_path, small_batches
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -35,20 +35,6 @@ def forget_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-# Rows and bytes that travel to a Python worker at once. The defaults (10,000 rows) are meant
-# for narrow rows; of whole texts they hold tens of MB several times over.
-ARROW_BATCHES = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
-}
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session; results do not depend on it."""
-    for key, value in ARROW_BATCHES.items():
-        spark.conf.set(key, value)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

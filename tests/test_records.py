@@ -181,3 +181,17 @@ def test_known_columns_first_then_extras(spark):
     ordered = flatten.order_columns(df)
     assert ordered.columns == ["id", "city", "zeta", "alpha"]
     assert flatten.drop_empty_columns(ordered).columns == ["id", "zeta", "alpha"]
+
+
+def test_many_large_lines_are_read_in_slices(monkeypatch):
+    """No more than a slice of a batch is held as Python objects."""
+    import pyarrow as pa
+
+
+    held, write = [], typed._written
+    monkeypatch.setattr(typed, "SLICE_BYTES", 1000)
+    monkeypatch.setattr(typed, "_written", lambda texts, body: held.append(sum(len(t or "") for t in texts)) or write(texts, body))
+    lines = [json.dumps({"body": ["x" * (k % 400)]}) for k in range(50)] + [None, "y" * 3000, '{"a":1}']
+    out = typed._column(pa.array(["0", *lines]).slice(1), True)
+    assert out.to_pylist() == [typed.typed_text(t, True) for t in lines]
+    assert sorted(held)[-2] <= 1000 and typed._column(pa.array([], pa.string()), True).to_pylist() == []
