@@ -30,7 +30,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 def _places(hashes: np.ndarray, size: int, bits: int) -> np.ndarray:
     """Bits for pieces of ``size`` bytes; ``bits`` is a power of two."""
-    mixed = (hashes ^ (hashes >> np.uint64(31))) * MIX + np.uint64(size) * BASE
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * MIX + np.uint64(size * int(BASE) % (1 << 64))
     mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX
     return (mixed >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64)
 

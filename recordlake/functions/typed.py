@@ -24,7 +24,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from recordlake.functions.text import let
+from recordlake.functions.text import let, spaced, stripped
 
 NUMBER, BOOLEAN, TEXT = "\x01", "\x02", "\x03"
 _STARTS = frozenset("[{" + NUMBER + BOOLEAN + TEXT)
@@ -57,7 +57,16 @@ def _mark(value):
 
 
 def _fields(pairs):
-    return {k: _mark(v) for k, v in pairs}
+    # As ``_mark`` for each value, without a call for those that stay as they are.
+    out = dict(pairs)
+    for k, v in out.items():
+        kind = type(v)
+        if kind is str:
+            if v[:1] in _STARTS:
+                out[k] = TEXT + v
+        elif kind is list or kind is bool:
+            out[k] = _mark(v)
+    return out
 
 
 def _inner(value):
@@ -197,6 +206,21 @@ def text_of(value: Column) -> Column:
     )
 
 
+# A string of printable ASCII that neither starts like a list or object nor begins or ends with
+# a space: its own clean text.
+_PLAIN = r"\A[!-Z\\-z|-~][ -~]*+(?<! )\z"
+
+
+def clean_text_of(value: Column) -> Column:
+    """As ``clean(text_of(value))``; null, numbers, booleans and plain strings take few steps."""
+    return (
+        F.when(value.isNull(), "")
+        .when(F.ascii(value).isin(1, 2), F.substring(value, 2, 2**31 - 1))
+        .when(value.rlike(_PLAIN), value)
+        .otherwise(let(text_of(value), lambda t: let(spaced(t), stripped)))
+    )
+
+
 # Number texts that JSON writes in another way.
 _WRITTEN = {"nan": "NaN", "inf": "Infinity", "-inf": "-Infinity"}
 
@@ -218,7 +242,7 @@ def compact_json(value: Column) -> Column:
         F.when(F.contains(value, F.lit("\\u0003")), strings)
         .when(F.contains(value, F.lit("\\u000")), text).otherwise(value)
     )
-    return _lower_escapes(unmarked)
+    return F.when(F.contains(value, F.lit("\\u00")), let(unmarked, _lower_escapes)).otherwise(value)
 
 
 def _lower_escapes(json_text: Column) -> Column:
@@ -230,6 +254,10 @@ def _lower_escapes(json_text: Column) -> Column:
     return F.when(some & json_text.rlike(r"\\u00[01][A-F]"), out).otherwise(json_text)
 
 
+# A string of printable ASCII that JSON writes as it is.
+_PLAIN_INSIDE = r'\A[ !#-\[\]-~]++\z'
+
+
 def json_of(value: Column) -> Column:
     """A value as JSON text with a space after each comma and colon."""
     first = F.ascii(value)
@@ -237,11 +265,12 @@ def json_of(value: Column) -> Column:
     number = rest
     for name, written in _WRITTEN.items():
         number = F.when(rest == name, written).otherwise(number)
-    quoted = F.to_json(F.array(text_of(value)))
+    quoted = let(F.to_json(F.array(text_of(value))), lambda q: F.substring(q, F.lit(2), F.length(q) - 2))
     return (
         F.when(value.isNull(), "null").when(first.isin(ord("["), ord("{")), spaced_json(compact_json(value)))
         .when(first == 1, number).when(first == 2, rest)
-        .otherwise(_lower_escapes(F.substring(quoted, F.lit(2), F.length(quoted) - 2)))
+        .when(value.rlike(_PLAIN_INSIDE), F.concat(F.lit('"'), value, F.lit('"')))
+        .otherwise(let(quoted, _lower_escapes))
     )
 
 

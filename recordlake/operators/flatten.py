@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.functions.jsontext import first_default, joined_field
-from recordlake.functions.text import spaced, stripped
-from recordlake.functions.typed import joined_items, text_of
+from recordlake.functions.typed import clean_text_of, joined_items
 from recordlake.schema import (
     FREE_FORM_FIELDS,
     OUTPUT_COLUMNS,
@@ -58,9 +57,7 @@ def flatten_records(records: DataFrame, keep: Sequence[str] = (), rec: str = "re
     """
     flat = flat_columns(rec)
     types = F.from_json(F.col(rec)["businessType"], "array<struct<code:string,name:string>>")
-    leaves = leaf_values(rec)
-    for rule in (text_of, spaced, stripped):  # one after the other, so each is evaluated once
-        leaves = F.transform(leaves, rule)
+    leaves = F.transform(leaf_values(rec), clean_text_of)
     opened = records.select(*keep, rec, leaves.alias("_leaves"), types.alias("_types"))
     return opened.select(*keep, *[flat[c].alias(c) for c in OUTPUT_COLUMNS])
 

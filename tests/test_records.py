@@ -183,6 +183,27 @@ def test_known_columns_first_then_extras(spark):
     assert flatten.drop_empty_columns(ordered).columns == ["id", "zeta", "alpha"]
 
 
+def test_short_ways_of_the_record_rules(spark):
+    """Plain texts skip steps; what they give is what all steps give."""
+    from recordlake.functions import text as tx
+
+    texts = [
+        None, "", " ", "a", " a", "a ", "a b", "a\n", "\n", "a\tb", "a\\", '"', 'a"b', "[", "[x", "{", "a[", "é", " é", "a\x7f", "\x01", "a\x02b",
+        "\x03A", "\\u0001", "nan", "a" * 5000 + " ", 0, -0.0, 1.5, 1e22, True, False, [], {}, [1, "a", " b", 'q"', "\\", None, {"x": [True, "\x01"]}],
+    ]
+    rows = [(i, json.dumps([v])) for i, v in enumerate(texts)]
+    one = spark.createDataFrame(rows, "i int, line string").select(
+        "i", F.explode(typed.items(typed.typed_json(F.col("line")))).alias("v")
+    )
+    for r in one.select("i", typed.clean_text_of(F.col("v")).alias("a"), tx.clean(typed.text_of(F.col("v"))).alias("b")).collect():
+        assert r.a == r.b, texts[r.i]
+    written = spark.createDataFrame(rows, "i int, line string").select(
+        "i", typed.joined_items(typed.typed_json(F.col("line"))).alias("t")
+    )
+    for r in written.collect():
+        assert json.loads(r.t) == texts[r.i]
+
+
 def test_many_large_lines_are_read_in_slices(monkeypatch):
     """No more than a slice of a batch is held as Python objects."""
     import pyarrow as pa
