@@ -56,17 +56,39 @@ def _mark(value):
     return value
 
 
-def _fields(pairs):
-    # As ``_mark`` for each value, without a call for those that stay as they are.
-    out = dict(pairs)
-    for k, v in out.items():
+# Without escapes of control characters no string begins with a mark, so a number's text is
+# told from a string by its mark alone, and objects come as they were read.
+
+
+def _plain_whole(digits: str) -> str:
+    return NUMBER + (str(int(digits)) if len(digits) > 18 or digits == "-0" else digits)
+
+
+def _plain_fraction(digits: str) -> str:
+    return NUMBER + repr(float(digits))
+
+
+def _plain_mark(value):
+    if value is True or value is False:
+        return _WORDS[value]
+    if type(value) is list:
+        return [_plain_mark(v) for v in value]
+    if type(value) is str and (value[:1] == "[" or value[:1] == "{"):
+        return TEXT + value
+    return value
+
+
+def _plain_fields(read: dict) -> dict:
+    # As ``_plain_mark`` for each value, without a call for those that stay as they are.
+    for k, v in read.items():
         kind = type(v)
         if kind is str:
-            if v[:1] in _STARTS:
-                out[k] = TEXT + v
+            first = v[:1]
+            if first == "[" or first == "{":
+                read[k] = TEXT + v
         elif kind is list or kind is bool:
-            out[k] = _mark(v)
-    return out
+            read[k] = _plain_mark(v)
+    return read
 
 
 def _inner(value):
@@ -81,13 +103,12 @@ def _fields_with_marks(pairs):
     return {k.translate(_INNER): _mark(_inner(v)) for k, v in pairs}
 
 
-def _decoder(fields):
-    return json.JSONDecoder(
-        object_pairs_hook=fields, parse_int=_whole, parse_float=_fraction, parse_constant=_fraction
-    ).decode
-
-
-_plain, _careful = _decoder(_fields), _decoder(_fields_with_marks)
+_plain = json.JSONDecoder(
+    object_hook=_plain_fields, parse_int=_plain_whole, parse_float=_plain_fraction, parse_constant=_plain_fraction
+).decode
+_careful = json.JSONDecoder(
+    object_pairs_hook=_fields_with_marks, parse_int=_whole, parse_float=_fraction, parse_constant=_fraction
+).decode
 _write = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"), check_circular=False).encode
 
 
@@ -98,7 +119,7 @@ def typed_text(text: str | None, body: bool = False) -> str | None:
             value = _careful(text)
             value = _mark(value if isinstance(value, (dict, _Marked)) else _inner(value))
         else:
-            value = _mark(_plain(text))
+            value = _plain_mark(_plain(text))
     except (ValueError, TypeError, RecursionError):
         return None
     if body and type(value) is dict and "body" in value:
