@@ -25,9 +25,14 @@ def run_path(base: str, name: str, run_ts: str) -> str:
     return f"{base.rstrip('/')}/{name}/run_ts={run_ts}"
 
 
+# Lines of a compressed file, which one task has to read.
+COMPRESSED_LINES = 10_000
+
+
 def write_raw(raw: DataFrame, path: str, compression: str = "none") -> None:
-    """The raw lines as they came; a file that is compressed with gzip is read by one task."""
-    raw.select("value").write.option("compression", compression).text(path)
+    """The raw lines as they came; compressed ones in files of a bounded number of lines."""
+    most = 0 if compression == "none" else COMPRESSED_LINES
+    raw.select("value").write.option("compression", compression).option("maxRecordsPerFile", most).text(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

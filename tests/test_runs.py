@@ -185,3 +185,25 @@ def test_pages_and_traffic_files(spark, tmp_path):
     (tmp_path / "t.json").write_text('{"t":1.5,"method":"GET","url":"u","status":200,"body":"{}"}\n')
     row = raw_source.read_traffic(spark, str(tmp_path / "t.json")).first()
     assert (row.t, row.method, row.status, row.content_type, row.body) == (1.5, "GET", 200, None, "{}")
+
+
+def test_compressed_raw_lines_stay_in_small_files(spark, tmp_path, monkeypatch):
+    """A compressed file is read by one task, so it has a bounded number of lines."""
+    monkeypatch.setattr(sinks, "COMPRESSED_LINES", 4)
+    lines = spark.range(10).selectExpr("concat('{\"id\":', id, '}') AS value").coalesce(1)
+    sinks.write_raw(lines, str(tmp_path / "gz"), compression="gzip")
+    assert len(list((tmp_path / "gz").glob("*.gz"))) == 3
+    back = spark.read.text(str(tmp_path / "gz"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, lines.collect()))
+
+
+def test_landed_columns_are_those_of_all_landed_rows(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    rows = spark.createDataFrame([('[{"id":1,"city":"A"},{"id":1,"city":"a"}]',), ('{"id":2}',), ("{",)], "value string")
+    sinks.write_raw(rows.coalesce(1), raw)
+    for query in ingest.run_stream(spark, raw, out, str(tmp_path / "state")):
+        query.awaitTermination()
+    some = ingest.landed_records(spark, out, ["id", "city"])
+    assert some.columns == ["id", "city"]
+    whole = ingest.landed_records(spark, out).select("id", "city")
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.collect())) == [("", ""), ("1", "A"), ("2", "")]
