@@ -43,3 +43,16 @@ def test_counts_and_rejects_equal_the_strict_step(spark, lenient):
         assert {r.i: (r.outcome == "parse_error", r.n_records) for r in found} == want
     finally:
         spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+
+
+def test_page_files_lie_in_one_folder(spark, tmp_path, monkeypatch):
+    """A file per page id, and no folder per page."""
+    from recordlake.plans import edge_queries
+
+    rows = [(1, "a"), (2, "b\nc"), (2, "b"), (3, None)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(edge_queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    got = sorted(r.text for r in edge_queries.page_files(spark, str(tmp_path)).collect())
+    assert got == ["\n", "a\n", "b\nb\nc\n"]
+    files = list((tmp_path / "pages").rglob("part-*"))
+    assert len(files) == 3 and {f.parent for f in files} == {tmp_path / "pages"}
