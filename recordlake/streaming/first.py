@@ -8,23 +8,29 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from recordlake.operators.dedupe import digest, first_by
 from recordlake.session import RECOMMENDED_CONF
 from recordlake.streaming.progress import observed
 
-KEY, REVISION = "_key", "revision"
+KEY, REVISION, GROUP = "_key", "revision", "_group"
+# Keys share a call of the processor by a hash; a running stream must not change this number.
+GROUPS = 4096
+# The state of a group is read at once if it has at most so many keys per key of the batch.
+READ_AT_ONCE = 4
 
 
 class _Earliest(StatefulProcessor):
-    """Keeps the place of the earliest row of a key and passes every row that is earlier."""
+    """Keeps the place of the earliest row of each key of a group and passes every row that is earlier."""
 
     def __init__(self, columns: Sequence[str], order_by: Sequence[str], state: StructType, ttl_ms: int | None):
         self.columns, self.order_by, self.state, self.ttl_ms = list(columns), list(order_by), state, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("earliest", self.state, self.ttl_ms)
+        self.kept = handle.getMapState("earliest", StructType([StructField(KEY, BinaryType())]), self.state, self.ttl_ms)
+        # Keys of the group, forgotten ones included; it has no end, so none means no key yet.
+        self.size = handle.getValueState("size", StructType([StructField("n", LongType())]))
 
     @staticmethod
     def _place(values) -> tuple:
@@ -32,15 +38,29 @@ class _Earliest(StatefulProcessor):
         return tuple((v is not None, v) if v is not None else (False, 0) for v in values)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        best = min(rows, key=lambda row: self._place(row[c] for c in self.order_by))
-        values = [best[c] for c in self.order_by]
-        old, revision = self.kept.get(), 0
-        if old is not None:
-            if self._place(old[:-1]) <= self._place(values):
-                return
-            revision = old[-1] + 1
-        self.kept.update((*values, revision))
-        yield Row(**{c: best[c] for c in self.columns}, **{KEY: key[0], REVISION: revision})
+        best: dict[bytes, tuple[tuple, Row]] = {}
+        for row in rows:
+            name = row[KEY] or b""  # a null key; no digest is empty
+            place, held = self._place(row[c] for c in self.order_by), best.get(name)
+            if held is None or place < held[0]:
+                best[name] = place, row
+        size = (self.size.get() or (0,))[0]
+        if size <= READ_AT_ONCE * len(best):
+            old = {k[0]: v for k, v in self.kept.iterator()} if size else {}
+            size = len(old)
+        else:
+            old = {name: self.kept.getValue((name,)) for name in best}
+        for name, (place, row) in best.items():
+            before, revision = old.get(name), 0
+            if before is not None:
+                if self._place(before[:-1]) <= place:
+                    continue
+                revision = before[-1] + 1
+            else:
+                size += 1
+            self.kept.updateValue((name,), (*(row[c] for c in self.order_by), revision))
+            yield Row(**{c: row[c] for c in self.columns}, **{KEY: row[KEY], REVISION: revision})
+        self.size.update((size,))
 
     def close(self) -> None:
         pass
@@ -58,12 +78,16 @@ def first_arrivals_so_far(
     landed to it. State holds a 32-byte digest per key, the place of its row and a number. It
     is kept for good, or for ``keep_ms`` of processing time after it last changed; a key that
     was forgotten starts again at revision 0. Needs the RocksDB state store (see
-    :func:`stateful`). A task reads a key's rows of a batch as a stream and holds one of them.
+    :func:`stateful`). Keys are visited in groups by a hash, as a call per key costs more
+    than its state does: what is read of the state grows with the keys of the batch. A task
+    reads a group's rows of a batch as a stream and holds one per key. Checkpoints from before
+    there were groups cannot be resumed.
     """
     marked = rows.withColumn(KEY, digest(key))
+    grouped = marked.withColumn(GROUP, F.pmod(F.xxhash64(KEY), F.lit(GROUPS))).groupBy(GROUP)
     state = StructType([rows.schema[c] for c in order_by] + [StructField(REVISION, LongType())])
     out = StructType([*rows.schema.fields, marked.schema[KEY], StructField(REVISION, LongType())])
-    return marked.groupBy(KEY).transformWithState(
+    return grouped.transformWithState(
         statefulProcessor=_Earliest(rows.columns, order_by, state, keep_ms),
         outputStructType=out, outputMode="Update", timeMode="None" if keep_ms is None else "ProcessingTime",
     )

@@ -3,8 +3,10 @@
 import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from recordlake.plans import edge_queries
 from recordlake.streaming import first, progress
 
 DDL = "k string, file string, line long, v string"
@@ -118,3 +120,94 @@ def test_progress_goes_on_from_earlier_runs():
     for batch, n in ((5, 2), (6, 30), (6, 31), (6, 31), (7, 0)):
         listener.count(batch, n)
     assert listener.total == 60 and reports == [30, 40, 50, 60]
+
+
+def test_keys_of_a_group_share_a_call(spark, feed, monkeypatch):
+    monkeypatch.setattr(first, "GROUPS", 2)
+    add, start, landed = feed
+    # Every key, then a few of them with late and early copies, then new and old ones.
+    batches = [
+        [(f"k{i}", "f5", i, f"a{i}") for i in range(200)] + [(f"k{i}", "f4", i, f"b{i}") for i in range(0, 200, 7)],
+        [(f"k{i}", "f3" if i % 2 else "f6", 0, f"c{i}") for i in range(10)],
+        [(None, "f2", 0, "n")] + [(f"k{i}", "f2", i, f"d{i}") for i in range(5, 230)],
+    ]
+    expected, place = {}, {}
+    for rows in batches:
+        add(rows)
+        for k in {row[0] for row in rows}:
+            best = min((row for row in rows if row[0] == k), key=lambda row: row[1:3])
+            if k not in place or best[1:3] < place[k]:
+                place[k] = best[1:3]
+                expected[k, sum(key == k for key, _ in expected)] = best[3]
+    query = start()
+    assert query.awaitTermination(120)
+    assert {(r.k, r.revision): r.v for r in landed().collect()} == expected
+    assert landed().count() == len(expected)
+    # One size per group beside the keys themselves.
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["numInputRows"]]
+    assert state == [200 + 2, 200 + 2, 231 + 2]
+
+
+class _State(dict):
+    """A map state and a value state that count their calls."""
+
+    calls, value = 0, None
+
+    def getMapState(self, *_):
+        return self
+
+    getValueState = getMapState
+
+    def _called(self, out=None):
+        self.calls += 1
+        return out
+
+    def iterator(self):
+        return iter(self._called(list(self.items())))
+
+    def getValue(self, key):
+        return self._called(super().get(key))
+
+    def updateValue(self, key, value):
+        self._called(self.__setitem__(key, value))
+
+    def get(self):
+        return self._called(self.value)
+
+    def update(self, value):
+        self.value = self._called(value)
+
+
+def test_state_is_read_by_the_keys_of_the_batch():
+    row = Row("k", first.KEY, "line")
+
+    def visit(keys, line):
+        before = state.calls
+        out = [(r.k, r.revision) for r in earliest.handleInputRows((0,), iter([row(k, k.encode(), line) for k in keys]), None)]
+        return out, state.calls - before
+
+    state, earliest = _State(), first._Earliest(["k", "line"], ["line"], None, None)
+    earliest.init(state)
+    names = [f"k{i}" for i in range(1000)]
+    assert visit(names, 5) == ([(k, 0) for k in names], 1000 + 2)
+    assert visit(names * 3, 6) == ([], 1 + 2)  # many keys: one call reads the state
+    assert visit(["k1", "k2", "new"], 4) == ([("k1", 1), ("k2", 1), ("new", 0)], 2 * 3 + 2)  # few: a call per key
+    assert state.value == (1001,) and state[b"k1",] == (4, 1)
+
+
+def test_events_are_dealt_over_files(spark, tmp_path, monkeypatch):
+    rows = [(i, i % 5, "ab"[i % 2], None) for i in range(40)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, props string")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(edge_queries, "scratch_path", lambda _, name: str(tmp_path / f"made-{name}"))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task per file
+    try:
+        landed = spark.read.parquet(edge_queries._land_events(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(list((tmp_path / "made-events").glob("*.parquet"))) == 12
+    # Three batches, the last third of the events first.
+    assert {(r.batch, r.event_id % 3) for r in landed.collect()} == {(0, 2), (1, 1), (2, 0)}
+    assert {(r.user_id, r.event_type): r.event_id for r in first.last_revisions(landed, ["event_id"]).collect()} == {
+        (i % 5, "ab"[i % 2]): i for i in range(10)
+    }
