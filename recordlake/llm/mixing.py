@@ -10,6 +10,9 @@ other, and the blocks are joined by number. Same input and seed give the same mi
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,8 +26,8 @@ REPEATS = 3
 BLOCK_WORDS = 64
 SLOTS_PER_SHARD = 4096
 MAX_SHARDS = 2048
-# The plan is made on the driver: up to MAX_SHARDS draws of every source. More sources than
-# this are an error.
+# Sizes and targets are planned on the driver, a row per source; up to MAX_SHARDS draws of every
+# source come from one task. More sources than this are an error.
 MAX_SOURCES = 1000
 # Slots that one task fills. The rows that describe them are few bytes, so their number has
 # to be asked for.
@@ -52,18 +55,17 @@ def targets(sizes: list[int], weights: list[float], repeats: int = REPEATS) -> l
     return out
 
 
-def shard_counts(slots: np.ndarray, per_shard: int, seed: int) -> list[tuple[int, int, int, int]]:
+def shard_counts(slots: np.ndarray, per_shard: int, seed: int) -> Iterator[tuple[int, int, int, int]]:
     """(shard, source number, first slot of the source, number of slots), zero counts left out."""
     rng = np.random.default_rng(seed)
-    need, done, out, shard = slots.astype(np.int64).copy(), np.zeros(len(slots), np.int64), [], 0
+    need, done, shard = slots.astype(np.int64).copy(), np.zeros(len(slots), np.int64), 0
     while (left := int(need.sum())) > 0:
         size = min(per_shard, left)
         draw = np.minimum(rng.multinomial(size, need / left), need)
         while (short := size - int(draw.sum())) > 0:  # a source drew more than it needs
             draw += np.minimum(rng.multinomial(short, (need - draw) / (need - draw).sum()), need - draw)
-        out += [(shard, int(i), int(done[i]), int(draw[i])) for i in np.flatnonzero(draw)]
+        yield from ((shard, int(i), int(done[i]), int(draw[i])) for i in np.flatnonzero(draw))
         done, need, shard = done + draw, need - draw, shard + 1
-    return out
 
 
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -145,22 +147,35 @@ class Mix:
         named = self.sources().select("source_no", F.col("source").alias("_source"), "source_size", "target")
         return self.sizes.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
+    def drawn(self) -> DataFrame:
+        """What each shard draws of each source, and where the draw begins in both. One task makes
+        the draws, one shard after the other: they need not fit the driver."""
+        counts, blocks = (np.array([p[i] for p in self.plan], np.int64) for i in (5, 4))
+        per_shard = max(SLOTS_PER_SHARD, -(-int(counts.sum()) // MAX_SHARDS)) if len(counts) else 1
+        seed = self.seed
+
+        def draw(batches):
+            names = ["shard", "source_no", "first", "n", "at", "n_blocks", "shard_slots"]
+            for _ in batches:
+                for shard, own in groupby(shard_counts(counts, per_shard, seed), lambda r: r[0]):
+                    _, source, first, n = np.array(list(own), np.int64).T
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(n), shard, np.int32)), pa.array(source.astype(np.int32)),
+                            pa.array(first), pa.array(n), pa.array(np.cumsum(n) - n),
+                            pa.array(blocks[source]), pa.array(np.full(len(n), n.sum())),
+                        ],
+                        names,
+                    )
+
+        return (
+            self.spark.range(1, numPartitions=1)
+            .mapInArrow(draw, "shard int, source_no int, first long, n long, at long, n_blocks long, shard_slots long")
+            .repartition(max(1, -(-int(counts.sum()) // SLOTS_PER_TASK)), "shard")
+        )
+
     def slots(self) -> DataFrame:
         """(shard, slot, source_no, block_no, pass): every slot of the mix and what fills it."""
-        counts = np.array([p[5] for p in self.plan], np.int64)
-        per_shard = max(SLOTS_PER_SHARD, -(-int(counts.sum()) // MAX_SHARDS)) if len(counts) else 1
-        rows, at, last = [], 0, -1
-        for shard, source, first, n in shard_counts(counts, per_shard, self.seed):
-            at = at if shard == last else 0
-            rows.append((shard, source, first, n, at, self.plan[source][4]))
-            at, last = at + n, shard
-        total = {}
-        for shard, _, _, n, _, _ in rows:
-            total[shard] = total.get(shard, 0) + n
-        rows = [(*r, total[r[0]]) for r in rows]
-        drawn = self.spark.createDataFrame(
-            rows, "shard int, source_no int, first long, n long, at long, n_blocks long, shard_slots long"
-        ).repartition(max(1, -(-int(counts.sum()) // SLOTS_PER_TASK)), "shard")
         seed = self.seed
 
         def fill(batches):
@@ -180,12 +195,14 @@ class Mix:
                             names,
                         )
 
-        return drawn.mapInArrow(fill, "shard int, slot long, source_no int, block_no long, pass int")
+        return self.drawn().mapInArrow(fill, "shard int, slot long, source_no int, block_no long, pass int")
 
     def pieces(self, placed: DataFrame) -> DataFrame:
         """The parts of documents that blocks consist of, joined to the slots by block number.
 
-        Block numbers are spread evenly whatever the source, so the join has no hot key.
+        Block numbers are spread evenly whatever the source, so the join has no hot key. Both
+        sides are made from few bytes and hold many rows, so an estimate of their size, by which
+        one might be broadcast, is far too low: the join is always a shuffle.
         """
         b = F.lit(self.block)
         parts = (
@@ -196,7 +213,7 @@ class Mix:
             .withColumn("end_word", F.least((F.col("block_no") + 1) * b - F.col("start"), F.col("size")))
             .select("source_no", "block_no", "doc_id", "start", "first_word", "end_word")
         )
-        return parts.join(self.slots(), ["source_no", "block_no"])
+        return parts.hint("merge").join(self.slots().hint("merge"), ["source_no", "block_no"])
 
     def taken(self) -> DataFrame:
         """Per document: doc_id, size, source_size, target (its source's), taken (words)."""

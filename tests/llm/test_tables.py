@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -136,6 +137,38 @@ def test_shard_counts_fill_every_source():
     assert set(size.values()) <= {256, sum(slots) % 256}
 
 
+def test_slots_are_not_broadcast_by_a_guess_of_their_size(spark):
+    # 20,000 words in blocks of two: over a megabyte of slots from a few hundred bytes of draws.
+    df = spark.range(40).selectExpr("id AS doc_id", "repeat('w ', 500) AS text", "concat('s', id % 3) AS source")
+    mix = mixing.Mix(df, block_words=2)
+    slots = sum(p[5] for p in mix.plan)
+    taken = mix.taken()
+    assert sum(r.taken for r in taken.collect()) == 2 * slots
+    pieces = mix.pieces(mixing.stored(mix.placed(), "mix-placed"))
+    assert len(pieces.collect()) == slots
+    plan = pieces._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin [source_no" in plan and "Broadcast" not in plan
+
+
+def test_draws_do_not_pass_the_driver(spark):
+    mix = mixing.Mix(spark.createDataFrame([(1, "a b", "s")], "doc_id long, text string, source string"))
+    mix.plan = [(i, f"s{i}", 640_000, 1e6, 10_000, 15_625) for i in range(200)]  # 763 shards
+    tracemalloc.start()
+    drawn = mix.drawn()
+    slots = mix.slots()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2_000_000 and slots.columns == ["shard", "slot", "source_no", "block_no", "pass"]
+    expected, size, at = [], collections.Counter(), collections.Counter()
+    counts = list(mixing.shard_counts(np.full(200, 15_625), mixing.SLOTS_PER_SHARD, mix.seed))
+    for shard, _, _, n in counts:
+        size[shard] += n
+    for shard, source, first, n in counts:
+        expected.append((shard, source, first, n, at[shard], 10_000, size[shard]))
+        at[shard] += n
+    assert sorted(map(tuple, drawn.collect())) == expected
+
+
 def test_mix(spark):
     rows = mix_rows()
     df = spark.createDataFrame(rows, DOCS).withColumn("size", F.lit("x")).repartition(4)
