@@ -144,7 +144,8 @@ class Mix:
         )
 
     def _with_source_no(self) -> DataFrame:
-        named = self.sources().select("source_no", F.col("source").alias("_source"), "source_size", "target")
+        # At most MAX_SOURCES rows; without the mark it is the documents that may be broadcast.
+        named = F.broadcast(self.sources().select("source_no", F.col("source").alias("_source"), "source_size", "target"))
         return self.sizes.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
     def drawn(self) -> DataFrame:

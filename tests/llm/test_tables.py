@@ -150,6 +150,21 @@ def test_slots_are_not_broadcast_by_a_guess_of_their_size(spark):
     assert "SortMergeJoin [source_no" in plan and "Broadcast" not in plan
 
 
+def test_mixed_documents_do_not_pass_the_driver(spark):
+    # Small enough that a whole side of every join could be broadcast.
+    df = spark.range(40).selectExpr("id AS doc_id", "repeat('w ', 500) AS text", "nullif(concat('s', id % 3), 's2') AS source")
+    mix = mixing.Mix(df, block_words=2)
+    made = mix.documents(df)
+    assert sum(len(r.text.split()) for r in made.collect()) == 2 * sum(p[5] for p in mix.plan)
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin [source_no" in plan
+    placed = mix.placed()
+    assert placed.count() == 40
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    sized = [line for line in plan.splitlines() if "HashJoin [coalesce(source" in line or "MergeJoin [coalesce(source" in line]
+    assert sized and all("BroadcastHashJoin" in line and "BuildRight" in line for line in sized)
+
+
 def test_draws_do_not_pass_the_driver(spark):
     mix = mixing.Mix(spark.createDataFrame([(1, "a b", "s")], "doc_id long, text string, source string"))
     mix.plan = [(i, f"s{i}", 640_000, 1e6, 10_000, 15_625) for i in range(200)]  # 763 shards
